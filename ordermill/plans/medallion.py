@@ -74,7 +74,10 @@ def raw_to_silver(
             good, bad = split_valid(with_customer_total(with_line_amount(unique)))
         quarantined = write_quarantine(bad, errors_path)
         good, silver_seen = _counted(good, "silver")
-        write_partitions(good, f"{silver_root.rstrip('/')}/order_lines", "purchase_date", sort_by=["product_id"])
+        write_partitions(
+            good, f"{silver_root.rstrip('/')}/order_lines", "purchase_date",
+            sort_by=["product_id"], max_rows=unique.count(),
+        )
     return SilverCounts(
         raw_seen.get["rows"], raw_seen.get["corrupt"], lines_seen.get["rows"], quarantined, silver_seen.get["rows"]
     )
@@ -100,21 +103,23 @@ def silver_to_gold(
     """Publish product revenue (daily and overall), top products and order figures.
 
     ``changed_dates`` limits the daily tables to these purchase dates, whose silver partitions
-    alone are then read for them. Top lists are ranked from the written revenue tables, which are
-    far smaller than silver.
+    alone are then read for them. Top lists are ranked from the stored revenue totals, which are far
+    smaller than silver.
     """
     gold = gold_root.rstrip("/")
     silver = spark.read.parquet(f"{silver_root.rstrip('/')}/order_lines")
     day = snapshot_date or datetime.datetime.now(datetime.timezone.utc).date()
 
-    changed = _on_dates(silver, changed_dates)
-    write_partitions(product_totals(changed, "daily"), f"{gold}/product_revenue", "purchase_date")
-    daily = _on_dates(spark.read.parquet(f"{gold}/product_revenue"), changed_dates)
-    write_partitions(top_of_totals(daily, top_n, "daily"), f"{gold}/top_products_daily", "purchase_date")
-
-    write_current(product_totals(silver, "overall"), f"{gold}/product_revenue_overall")
-    totals = spark.read.parquet(f"{gold}/product_revenue_overall")
     with staging(spark) as folder:
+        daily = staged(product_totals(_on_dates(silver, changed_dates), "daily"), f"{folder}/daily")
+        rows = daily.count()
+        write_partitions(daily, f"{gold}/product_revenue", "purchase_date", max_rows=rows)
+        write_partitions(
+            top_of_totals(daily, top_n, "daily"), f"{gold}/top_products_daily", "purchase_date", max_rows=rows
+        )
+
+        write_current(product_totals(silver, "overall"), f"{gold}/product_revenue_overall")
+        totals = spark.read.parquet(f"{gold}/product_revenue_overall")
         top = staged(top_of_totals(totals, top_n, "overall"), f"{folder}/top")
         figures = staged(average_order_value(silver), f"{folder}/figures")
         if snapshot:

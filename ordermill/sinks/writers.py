@@ -2,7 +2,8 @@
 
 Rows are gathered by partition value before a partitioned write, so that a partition gets few
 files. The ``rebalance`` hint lets adaptive execution split a partition value that holds much of
-the data over several tasks and join small ones, instead of sending each value to one task.
+the data over several tasks and join small ones, instead of sending each value to one task. A
+frame known to be small has mostly files to create, so that work is shared by all cores.
 """
 
 from __future__ import annotations
@@ -16,6 +17,14 @@ from ..operators.history import upsert
 from ..operators.joins import match
 from ..workspace import staged, staging
 
+SMALL_ROWS = 1_000_000
+
+
+def _over_all_cores(df: DataFrame, by: str) -> DataFrame:
+    """Each value of ``by`` in one task. The hash keeps Spark from falling back on an earlier
+    partitioning by the same column, which adaptive execution may have joined into one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(by))
+
 
 def write_partitions(
     df: DataFrame,
@@ -24,14 +33,19 @@ def write_partitions(
     mode: str = "overwrite",
     incremental: bool = True,
     sort_by: Sequence[str] = (),
+    max_rows: int | None = None,
 ) -> None:
     """Write ``df`` partitioned by ``by``.
 
     With ``incremental`` an overwrite replaces only the partitions that ``df`` has rows for; the
     setting belongs to this write, not to the session. ``sort_by`` orders the rows inside the
-    files, which makes their statistics selective.
+    files, which makes their statistics selective. ``max_rows`` is a known bound on the rows.
     """
-    gathered = df.hint("rebalance", by).sortWithinPartitions(by, *sort_by)
+    if max_rows is not None and max_rows <= SMALL_ROWS:
+        gathered = _over_all_cores(df, by)
+    else:
+        gathered = df.hint("rebalance", by)
+    gathered = gathered.sortWithinPartitions(by, *sort_by)
     (
         gathered.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
@@ -43,7 +57,7 @@ def write_partitions(
 def write_one_file_each(df: DataFrame, path: str, by: str, incremental: bool = True) -> None:
     """One file per partition value. Meant for aggregates: a value goes to a single task."""
     (
-        df.repartition(by).write.mode("overwrite")
+        _over_all_cores(df, by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
         .partitionBy(by)
         .parquet(path)
@@ -104,7 +118,7 @@ def upsert_partitions(
         # A partition whose last row moved away has nothing to be overwritten with: empty its folder.
         emptied = match(touched, merged.select(by), by, "left_anti", null_safe=True)
         values = [row[0] if row[0] is not None else "__HIVE_DEFAULT_PARTITION__" for row in emptied.collect()]
-        write_partitions(merged, path, by)
+        write_partitions(merged, path, by, max_rows=merged.count())
         nothing = merged.drop(by).limit(0)
         for value in values:
             nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{by}={value}")

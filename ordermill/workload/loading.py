@@ -4,30 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions import day_of
+from ..operators import average_order_value, match
 from ..plans import raw_to_silver, run_daily_sales, silver_to_gold
 from ..sinks import upsert_partitions, write_partitions, write_snapshot
 from ..sources import read_table
 from ..workspace import stable, staging
-from .tables import LINES, RAW_SILVER, day_of, match, orders, products, raw_orders, table, unpriced_lines
+from .tables import LINES, RAW_SILVER, order_lines, orders, products, raw_orders, table, unpriced_lines
 
 DAY = "2025-09-25"
 
 
-def _to_gold(spark: SparkSession, folder: str, result: str) -> DataFrame:
+def gold_revenue(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested JSON files to silver to gold, and the product revenue found there."""
     with staging(spark) as root:
         raw_orders(spark, folder).write.json(f"{root}/raw/ingest_date={DAY}")
         raw_to_silver(spark, f"{root}/raw", f"{root}/silver", DAY, multiline=False)
         silver_to_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_date=DAY)
         # The result outlives the folder; it holds one row per product, or fewer.
-        return stable(read_table(spark, f"{root}/gold/{result}"))
-
-
-def gold_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return _to_gold(spark, folder, "product_revenue_overall")
+        return stable(read_table(spark, f"{root}/gold/product_revenue_overall"))
 
 
 def gold_figures(spark: SparkSession, folder: str) -> DataFrame:
-    return _to_gold(spark, folder, "order_kpis_snapshot").withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+    """The order figures as the snapshot of one day."""
+    with staging(spark) as root:
+        write_snapshot(average_order_value(order_lines(spark, folder)), f"{root}/figures", DAY)
+        return stable(read_table(spark, f"{root}/figures"))
 
 
 def csv_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +95,7 @@ SQL = {
     "silver_gold_roundtrip": f"""WITH {RAW_SILVER}
 SELECT product_id, product_name, CAST(sum(line_amount) AS DOUBLE) AS revenue, CAST(sum(quantity) AS BIGINT) AS total_quantity,
        count(DISTINCT order_id) AS order_count FROM silver GROUP BY 1, 2""",
-    "order_kpis_snapshot": f"""WITH {RAW_SILVER}, o AS (SELECT order_id, sum(line_amount) AS total FROM silver GROUP BY 1)
+    "order_kpis_snapshot": f"""WITH {LINES}, o AS (SELECT order_id, sum(line_amount) AS total FROM lines GROUP BY 1)
 SELECT CAST(sum(total) AS DOUBLE) AS total_revenue, count(*) AS order_count,
        round(CAST(sum(total) AS DOUBLE) / count(*), 2) AS average_order_value, '{DAY}' AS snapshot_date FROM o""",
     "csv_daily_sales": f"""WITH {LINES}

@@ -10,6 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 
+# What \s matches in a Java pattern.
+WHITE_SPACE = " \t\n\x0b\f\r"
+
+
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -22,12 +26,13 @@ def blank_to_null(text: Column | str) -> Column:
 
 def number_text(text: Column | str) -> Column:
     """Without white space, and with every comma read as a decimal point."""
-    return F.translate(F.regexp_replace(F.trim(_column(text)), r"\s+", ""), ",", ".")
+    return F.translate(_column(text), "," + WHITE_SPACE, ".")
 
 
 def parse_number(text: Column | str, dtype: str) -> Column:
-    """Dirty number text as ``dtype``; ``int`` goes through double and rounds half up."""
-    clean = number_text(blank_to_null(text))
+    """Dirty number text as ``dtype``; ``int`` goes through double and rounds half up. Blank text
+    is null, as there is nothing left of it to cast."""
+    clean = number_text(text)
     if dtype in ("int", "bigint"):
         return F.round(clean.try_cast("double")).try_cast(dtype)
     return clean.try_cast(dtype)

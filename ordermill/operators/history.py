@@ -10,7 +10,7 @@ from ..functions import surrogate_key
 from .joins import match
 from .lines import deduplicate
 from .ordered import neighbour
-from .skew import GROUP_ROWS
+from .skew import GROUP_ROWS, group_sizes
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -46,13 +46,15 @@ def scd2(
     versions = dim.select(*columns, F.lit(0).alias("_source")).unionByName(
         changes.select(*keys, *tracked, F.col(effective).alias("valid_from"), F.lit(1).alias("_source"))
     )
+    # Neither duplicate removal nor the filter below adds rows, so one count bounds both windows.
+    bound = group_sizes(versions, keys).largest
     versions = deduplicate(versions, [*keys, "valid_from"], order_by=[F.desc("_source")]).drop("_source")
     order = [F.col("valid_from").asc()]
     hashed = versions.withColumn("_hash", surrogate_key(*tracked, null_marker="\u0000"))
-    changed = neighbour(hashed, keys, order, "_hash", "_previous", -1, group_rows).where(
+    changed = neighbour(hashed, keys, order, "_hash", "_previous", -1, group_rows, bound).where(
         ~F.col("_hash").eqNullSafe(F.col("_previous"))
     )
-    dated = neighbour(changed.select(*columns), keys, order, "valid_from", "valid_to", 1, group_rows)
+    dated = neighbour(changed.select(*columns), keys, order, "valid_from", "valid_to", 1, group_rows, bound)
     result = dated.withColumn("is_current", F.col("valid_to").isNull())
     return result if untouched is None else result.unionByName(untouched.select(*result.columns))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import blank_to_null, line_amount, parse_date, parse_number
 from ..schemas import CRITICAL, ORDER_KEY
 from .joins import match
-from .skew import GROUP_ROWS, group_sizes
+from .skew import GROUP_ROWS, groups_fit
 
 
 def explode_lines(raw: DataFrame) -> DataFrame:
@@ -75,10 +75,13 @@ def with_line_amount(df: DataFrame, dtype: str = "decimal(18,2)") -> DataFrame:
 
 
 def with_customer_total(
-    df: DataFrame, col_name: str = "customer_total_revenue", group_rows: int = GROUP_ROWS
+    df: DataFrame,
+    col_name: str = "customer_total_revenue",
+    group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Add the customer's sum of ``line_amount`` to each row; null customers form one group."""
-    if group_sizes(df, ["customer_id"]).largest <= group_rows:
+    if groups_fit(df, ["customer_id"], group_rows, group_bound):
         return df.withColumn(col_name, F.sum("line_amount").over(Window.partitionBy("customer_id")))
     totals = df.groupBy("customer_id").agg(F.sum("line_amount").alias(col_name))
     return match(df, totals, "customer_id", "left", null_safe=True, group_rows=group_rows)

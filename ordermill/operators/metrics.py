@@ -114,10 +114,11 @@ def running_total(
     value: str,
     out: str = "run_total",
     group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` in the group from its first row by ``order`` to this one."""
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    return prefix_sum(df, group, columns, F.col(value), out, group_rows)
+    return prefix_sum(df, group, columns, F.col(value), out, group_rows, group_bound)
 
 
 def line_counts(df: DataFrame, key: str = "order_id") -> DataFrame:

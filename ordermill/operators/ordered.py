@@ -4,7 +4,7 @@ Small groups use one native window. When a group outgrows ``group_rows`` the row
 partitioned by (group, order) into slices, each slice is computed on its own, and what must be
 carried over is worked out from one summary row per slice. In a range partitioning at most one
 group continues from an earlier slice, so there are at most as many carried rows as slices; that
-bounds what is broadcast.
+bounds what is broadcast. A ``group_bound`` that the caller knows saves counting the groups.
 """
 
 from __future__ import annotations
@@ -14,17 +14,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..workspace import stable
-from .skew import GROUP_ROWS, GroupSizes, group_sizes, same_key
+from .skew import GROUP_ROWS, groups_fit, same_key
 
 _SLICE = "_slice"
 _SEQ = "_seq"
 
 
-def _slices(df: DataFrame, group: Sequence[str], order: Sequence[Column], sizes: GroupSizes, group_rows: int) -> DataFrame:
+def _slices(df: DataFrame, group: Sequence[str], order: Sequence[Column], group_rows: int) -> DataFrame:
     """``df`` with its slice number; slices follow (group, order) and hold about a quarter of
     ``group_rows`` rows. The sequence number separates rows that agree in everything else."""
-    count = -(-sizes.rows * 4 // group_rows)
-    numbered = stable(df).withColumn(_SEQ, F.monotonically_increasing_id())
+    stored = stable(df)
+    count = max(1, -(-stored.count() * 4 // group_rows))
+    numbered = stored.withColumn(_SEQ, F.monotonically_increasing_id())
     ranged = numbered.repartitionByRange(count, *[F.col(key) for key in group], *order, F.col(_SEQ))
     return stable(ranged.withColumn(_SLICE, F.spark_partition_id()))
 
@@ -42,13 +43,13 @@ def prefix_sum(
     value: Column,
     out: str,
     group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the group up to and including this one."""
-    sizes = group_sizes(df, group)
-    if sizes.largest <= group_rows:
+    if groups_fit(df, group, group_rows, group_bound):
         window = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(window))
-    sliced = _slices(df.withColumn("_value", value), group, order, sizes, group_rows)
+    sliced = _slices(df.withColumn("_value", value), group, order, group_rows)
     inside = Window.partitionBy(*group, _SLICE).orderBy(*order, _SEQ).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -66,10 +67,15 @@ def prefix_sum(
 
 
 def row_numbers(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str, group_rows: int = GROUP_ROWS
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    out: str,
+    group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """``out`` = 1, 2, 3, ... inside each group."""
-    return prefix_sum(df, group, order, F.lit(1).cast("bigint"), out, group_rows)
+    return prefix_sum(df, group, order, F.lit(1).cast("bigint"), out, group_rows, group_bound)
 
 
 def neighbour(
@@ -80,15 +86,15 @@ def neighbour(
     out: str,
     step: int = -1,
     group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """``out`` = ``column`` of the previous (``step=-1``) or next (``step=1``) row of the group."""
     if step not in (-1, 1):
         raise ValueError("step must be -1 or 1")
     shift = F.lag if step == -1 else F.lead
-    sizes = group_sizes(df, group)
-    if sizes.largest <= group_rows:
+    if groups_fit(df, group, group_rows, group_bound):
         return df.withColumn(out, shift(column).over(Window.partitionBy(*group).orderBy(*order)))
-    sliced = _slices(df, group, order, sizes, group_rows)
+    sliced = _slices(df, group, order, group_rows)
     inside = Window.partitionBy(*group, _SLICE).orderBy(*order, _SEQ)
     # A struct tells a neighbour whose value is null from a missing neighbour.
     local = sliced.withColumn("_shifted", shift(F.struct(column)).over(inside))

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import ORDER_KEY
+from ..workspace import stable
 
 
 def duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEY) -> DataFrame:
@@ -127,8 +128,13 @@ def join_counts(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> D
 
 def total_mismatches(df: DataFrame, col_name: str = "customer_total_revenue") -> DataFrame:
     """Customers whose total on the rows differs from the sum of their lines."""
-    on_rows = df.select("customer_id", col_name).distinct()
-    grouped = df.groupBy(F.col("customer_id").alias("_customer")).agg(F.sum("line_amount").alias("grp_total"))
+    per_total = df.groupBy("customer_id", col_name).agg(F.sum("line_amount").alias("line_amount"))
+    return _mismatches(per_total, col_name)
+
+
+def _mismatches(per_total: DataFrame, col_name: str) -> DataFrame:
+    on_rows = per_total.select("customer_id", col_name)
+    grouped = per_total.groupBy(F.col("customer_id").alias("_customer")).agg(F.sum("line_amount").alias("grp_total"))
     joined = on_rows.join(grouped, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
     return joined.where(~F.col(col_name).eqNullSafe(F.col("grp_total")))
 
@@ -136,21 +142,30 @@ def total_mismatches(df: DataFrame, col_name: str = "customer_total_revenue") ->
 def reconcile(before: DataFrame, after: DataFrame, col_name: str = "customer_total_revenue") -> DataFrame:
     """Checks around duplicate removal and customer totals, one row (check, value) each.
 
-    ``before`` holds the cleansed lines, ``after`` the unique ones with amounts and totals.
+    ``before`` holds the cleansed lines, ``after`` the unique ones with amounts and totals. All
+    figures about totals come from one stored frame with a row per customer and total.
     """
     money = "decimal(38,2)"
-    grouped = after.groupBy("customer_id").agg(F.sum("line_amount").alias("grp_total"))
+    per_total = stable(
+        after.groupBy("customer_id", col_name).agg(
+            F.sum("line_amount").alias("line_amount"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("line_amount").isNull()).alias("null_amounts"),
+        )
+    )
+    grouped = per_total.groupBy("customer_id").agg(F.sum("line_amount").alias("grp_total"))
     checks = [
         before.agg(F.count(F.lit(1)).cast(money).alias("rows_before_dedup")),
-        after.agg(
-            F.count(F.lit(1)).cast(money).alias("rows_after_dedup"),
-            F.count_if(F.col("line_amount").isNull()).cast(money).alias("null_line_amount_rows"),
-            F.count_if(F.col(col_name).isNull()).cast(money).alias("null_customer_total_rows"),
+        per_total.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).cast(money).alias("rows_after_dedup"),
+            F.coalesce(F.sum("null_amounts"), F.lit(0)).cast(money).alias("null_line_amount_rows"),
+            F.coalesce(F.sum(F.when(F.col(col_name).isNull(), F.col("rows"))), F.lit(0)).cast(money)
+            .alias("null_customer_total_rows"),
             F.sum("line_amount").cast(money).alias("sum_of_lines"),
         ),
         grouped.agg(F.sum("grp_total").cast(money).alias("sum_of_customer_totals")),
         duplicates(after).agg(F.count(F.lit(1)).cast(money).alias("remaining_duplicate_keys")),
-        total_mismatches(after, col_name).agg(F.count(F.lit(1)).cast(money).alias("customer_total_mismatches")),
+        _mismatches(per_total, col_name).agg(F.count(F.lit(1)).cast(money).alias("customer_total_mismatches")),
     ]
     tall = [
         check.select(F.inline(F.array(*[

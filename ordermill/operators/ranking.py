@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .joins import match
 from .ordered import prefix_sum, row_numbers
-from .skew import GROUP_ROWS, group_sizes
+from .skew import GROUP_ROWS, groups_fit
 
 # Up to this many rows per group Spark itself cuts each group down before the shuffle.
 NATIVE_TOP = 1000
@@ -33,19 +33,21 @@ def ranked(
     top: int | None = None,
     out: str = "rank",
     group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group by ``order`` (pairs of column and ``"asc"`` or ``"desc"``),
     keeping numbers up to ``top``.
 
     ``how`` is ``row_number``, ``rank`` or ``dense_rank``; the last two give equal rows equal
-    numbers and keep them all. ``group=[]`` ranks the whole frame.
+    numbers and keep them all. ``group=[]`` ranks the whole frame. ``group_bound`` is a known bound
+    on the rows of a group.
     """
     if how not in ("row_number", "rank", "dense_rank"):
         raise ValueError("how must be 'row_number', 'rank' or 'dense_rank'")
     group, columns = list(group), _columns(order)
     if how == "row_number":
-        numbered = _row_number(df, group, columns, top, out, group_rows)
-    elif group_sizes(df, group).largest <= group_rows:
+        numbered = _row_number(df, group, columns, top, out, group_rows, group_bound)
+    elif groups_fit(df, group, group_rows, group_bound):
         function = F.rank() if how == "rank" else F.dense_rank()
         numbered = df.withColumn(out, function.over(Window.partitionBy(*group).orderBy(*columns)))
         numbered = numbered if top is None else numbered.where(F.col(out) <= top)
@@ -54,14 +56,14 @@ def ranked(
     return numbered.withColumn(out, F.col(out).cast("int" if top is not None else "bigint"))
 
 
-def _row_number(df, group, columns, top, out, group_rows):
+def _row_number(df, group, columns, top, out, group_rows, group_bound=None):
     if top is not None and top <= NATIVE_TOP:
         if not group:
             # The limit is taken per task first; the window then sees ``top`` rows.
             df = df.orderBy(*columns).limit(top)
         window = Window.partitionBy(*group).orderBy(*columns)
         return df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= top)
-    numbered = row_numbers(df, group, columns, out, group_rows)
+    numbered = row_numbers(df, group, columns, out, group_rows, group_bound)
     return numbered if top is None else numbered.where(F.col(out) <= top)
 
 

@@ -35,6 +35,14 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
     return GroupSizes(rows, largest)
 
 
+def groups_fit(df: DataFrame, keys: Sequence[str], group_rows: int, group_bound: int | None = None) -> bool:
+    """Whether no group has more than ``group_rows`` rows; a ``group_bound`` known to the caller
+    that is low enough saves the count."""
+    if group_bound is not None and group_bound <= group_rows:
+        return True
+    return group_sizes(df, keys).largest <= group_rows
+
+
 def crowded_keys(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
     """Keys with more than ``group_rows`` rows, and ``_parts``, the number of tasks each needs.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import day_of
 from ..operators import islands, ranked, rolling_daily, running_total
-from .tables import LINES, order_lines, table
+from .tables import LINES, order_lines, products, table
 
 
 def best_units_per_day(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,7 +16,9 @@ def best_units_per_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def best_revenue_per_day(spark: SparkSession, folder: str) -> DataFrame:
     revenue = order_lines(spark, folder).groupBy("purchase_date", "product_id").agg(F.sum("line_amount").alias("revenue"))
-    return ranked(revenue, ["purchase_date"], [("revenue", "desc")], "dense_rank", 1)
+    # A day has at most one row per product.
+    bound = products(spark, folder).count()
+    return ranked(revenue, ["purchase_date"], [("revenue", "desc")], "dense_rank", 1, group_bound=bound)
 
 
 def largest_orders(spark: SparkSession, folder: str) -> DataFrame:

@@ -98,26 +98,17 @@ def dirty_lines(spark: SparkSession, folder: str) -> DataFrame:
     order, line = F.col("order_id"), F.col("line_no")
     key = order + line
     day = F.col("purchase_date").cast("string")
-    date_text = (
-        F.when(order % 23 == 0, "2023-02-30")
-        .when(order % 5 == 0, F.translate(day, "-", "/"))
-        .when(order % 7 == 0, F.concat(F.lit(" "), day, F.lit(" ")))
-        .when(order % 11 == 0, F.concat(day, F.lit("T00:00")))
-        .otherwise(day)
+    slashed = F.when(order % 5 == 0, F.translate(day, "-", "/")).otherwise(day)
+    date_text = F.when(order % 23 == 0, "2023-02-30").otherwise(
+        F.concat(F.lit(" "), slashed, F.when(order % 11 == 0, "T00:00").otherwise(" "))
     )
-    quantity_text = (
-        F.when(order % 17 == 0, F.lit("  "))
-        .when(key % 19 == 0, F.lit("many"))
-        .when(key % 3 == 0, F.concat(F.col("quantity").cast("string"), F.lit(",00")))
-        .when(key % 4 == 0, F.concat(F.lit(" "), F.col("quantity").cast("string"), F.lit(".6")))
-        .otherwise(F.col("quantity").cast("string"))
+    fraction = F.when(key % 3 == 0, ",00").when(key % 4 == 0, ".6").otherwise(" ")
+    quantity_text = F.when(order % 17 == 0, "  ").when(key % 19 == 0, "many").otherwise(
+        F.concat(F.col("quantity").cast("string"), fraction)
     )
-    price = F.col("price").cast("string")
-    price_text = (
-        F.when(key % 29 == 0, F.lit("1,234.50"))
-        .when(key % 2 == 0, F.concat(F.lit(" "), F.translate(price, ".", ","), F.lit(" ")))
-        .when(key % 13 == 0, F.concat(F.lit("1 "), price))
-        .otherwise(price)
+    decimal_comma = F.translate(F.col("price").cast("string"), ".", ",")
+    price_text = F.when(key % 29 == 0, "1,234.50").otherwise(
+        F.concat(F.when(key % 13 == 0, "1 ").otherwise(" "), decimal_comma)
     )
     return clean.select(
         F.concat(F.lit(" "), order.cast("string")).alias("order_id"),
@@ -134,21 +125,19 @@ DIRTY = LINES + """,
 dirty AS (
   SELECT ' ' || order_id AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
          CASE WHEN order_id % 23 = 0 THEN '2023-02-30'
-              WHEN order_id % 5 = 0 THEN replace(CAST(purchase_date AS VARCHAR), '-', '/')
-              WHEN order_id % 7 = 0 THEN ' ' || purchase_date || ' '
-              WHEN order_id % 11 = 0 THEN purchase_date || 'T00:00'
-              ELSE CAST(purchase_date AS VARCHAR) END AS purchase_date,
+              ELSE ' ' || CASE WHEN order_id % 5 = 0 THEN replace(CAST(purchase_date AS VARCHAR), '-', '/')
+                               ELSE CAST(purchase_date AS VARCHAR) END
+                   || CASE WHEN order_id % 11 = 0 THEN 'T00:00' ELSE ' ' END END AS purchase_date,
          CASE WHEN (order_id + line_no) % 31 = 0 THEN NULL ELSE CAST(product_id AS VARCHAR) END AS product_id,
          '  ' || product_name || ' ' AS product_name,
          CASE WHEN order_id % 17 = 0 THEN '  '
               WHEN (order_id + line_no) % 19 = 0 THEN 'many'
               WHEN (order_id + line_no) % 3 = 0 THEN quantity || ',00'
-              WHEN (order_id + line_no) % 4 = 0 THEN ' ' || quantity || '.6'
-              ELSE CAST(quantity AS VARCHAR) END AS quantity,
+              WHEN (order_id + line_no) % 4 = 0 THEN quantity || '.6'
+              ELSE quantity || ' ' END AS quantity,
          CASE WHEN (order_id + line_no) % 29 = 0 THEN '1,234.50'
-              WHEN (order_id + line_no) % 2 = 0 THEN ' ' || replace(CAST(price AS VARCHAR), '.', ',') || ' '
-              WHEN (order_id + line_no) % 13 = 0 THEN '1 ' || price
-              ELSE CAST(price AS VARCHAR) END AS price
+              WHEN (order_id + line_no) % 13 = 0 THEN '1 ' || replace(CAST(price AS VARCHAR), '.', ',')
+              ELSE ' ' || replace(CAST(price AS VARCHAR), '.', ',') END AS price
   FROM lines
 )"""
 
@@ -176,56 +165,49 @@ CLEANSED = DIRTY + "," + _parsed("dirty", "cleansed")
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested raw orders, made row by row from ``orders``: up to four products each, some orders
+    """Nested raw orders, made row by row from ``orders``: up to three products each, some orders
     with an empty list or none at all, repeated products, messy numbers and dates."""
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
     day = day_of("o_orderdate").cast("string")
-    date_text = (
-        F.when(order % 23 == 0, "2023-02-30")
-        .when(order % 5 == 0, F.translate(day, "-", "/"))
-        .when(order % 7 == 0, F.concat(F.lit(" "), day, F.lit(" ")))
-        .otherwise(day)
-    )
-    cents = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
-
-    def item(i: Column) -> Column:
-        number = (customer * 7 + (i % 3) * 13) % 997
-        return F.struct(
-            F.concat(F.lit("P"), number.cast("string")).alias("product_id"),
-            F.concat(F.lit(" Item "), (number % 50).cast("string"), F.lit(" ")).alias("name"),
-            F.when((order + i) % 41 == 0, F.lit(" "))
-            .otherwise(F.concat((order % 9 + i).cast("string"), F.lit(",00"))).alias("quantity"),
-            F.when((order + i) % 43 == 0, F.lit("1,234.50"))
-            .otherwise(F.concat(F.lit(" "), F.translate(cents, ".", ","))).alias("price"),
-        )
-
-    items = F.transform(F.sequence(F.lit(1), (order % 4 + 1)), item)
-    items = F.when(order % 29 == 3, F.lit(None)).when(order % 13 == 0, F.filter(items, lambda _: F.lit(False))).otherwise(items)
-    return table(spark, folder, "orders").select(
+    total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    texts = table(spark, folder, "orders").select(
         F.concat(F.lit("O"), order.cast("string")).alias("order_id"),
         F.concat(F.lit("C"), customer.cast("string")).alias("customer_id"),
-        date_text.alias("purchase_date"),
-        items.alias("products"),
+        F.when(order % 23 == 0, "2023-02-30").when(order % 5 == 0, F.translate(day, "-", "/"))
+        .otherwise(F.concat(F.lit(" "), day)).alias("purchase_date"),
+        F.concat(F.lit("P"), (customer % 997).cast("string")).alias("product"),
+        F.concat(F.lit("Q"), (customer % 991).cast("string")).alias("other_product"),
+        F.concat(F.lit(" "), "o_orderpriority").alias("name"),
+        F.when(order % 41 == 0, "x").otherwise(F.concat((order % 9).cast("string"), F.lit(",00"))).alias("units"),
+        F.when(order % 43 == 0, "1,234.50").otherwise(F.translate(total, ".", ",")).alias("price"),
+        F.when(order % 29 != 3, (order % 4).cast("int")).alias("size"),
     )
 
+    def item(product: str, digit: str) -> Column:
+        quantity = F.concat(F.lit(digit), "units")
+        return F.struct(F.col(product).alias("product_id"), "name", quantity.alias("quantity"), "price")
+
+    # A null size gives no list at all.
+    items = F.array(item("product", "1"), item("other_product", " "), item("product", "2"))
+    return texts.select("order_id", "customer_id", "purchase_date", F.slice(items, F.lit(1), F.col("size")).alias("products"))
+
 
 RAW_LINES = """
 items AS (
-  SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, unnest(range(1, o_orderkey % 4 + 2)) AS i
-  FROM orders
-  WHERE o_orderkey % 29 <> 3 AND o_orderkey % 13 <> 0
+  SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderpriority, unnest(range(1, o_orderkey % 4 + 1)) AS i
+  FROM orders WHERE o_orderkey % 29 <> 3
 ),
 raw_lines AS (
   SELECT 'O' || o_orderkey AS order_id, 'C' || o_custkey AS customer_id,
          CASE WHEN o_orderkey % 23 = 0 THEN '2023-02-30'
               WHEN o_orderkey % 5 = 0 THEN replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '/')
-              WHEN o_orderkey % 7 = 0 THEN ' ' || CAST(o_orderdate AS DATE) || ' '
-              ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS purchase_date,
-         'P' || ((o_custkey * 7 + (i % 3) * 13) % 997) AS product_id,
-         ' Item ' || (((o_custkey * 7 + (i % 3) * 13) % 997) % 50) || ' ' AS product_name,
-         CASE WHEN (o_orderkey + i) % 41 = 0 THEN ' ' ELSE (o_orderkey % 9 + i) || ',00' END AS quantity,
-         CASE WHEN (o_orderkey + i) % 43 = 0 THEN '1,234.50'
-              ELSE ' ' || replace(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), '.', ',') END AS price
+              ELSE ' ' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS purchase_date,
+         CASE WHEN i = 2 THEN 'Q' || o_custkey % 991 ELSE 'P' || o_custkey % 997 END AS product_id,
+         ' ' || o_orderpriority AS product_name,
+         CASE i WHEN 1 THEN '1' WHEN 2 THEN ' ' ELSE '2' END
+           || CASE WHEN o_orderkey % 41 = 0 THEN 'x' ELSE o_orderkey % 9 || ',00' END AS quantity,
+         CASE WHEN o_orderkey % 43 = 0 THEN '1,234.50'
+              ELSE replace(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), '.', ',') END AS price
   FROM items
 )"""
 

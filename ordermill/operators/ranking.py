@@ -10,8 +10,9 @@ from .joins import match
 from .ordered import prefix_sum, row_numbers
 from .skew import GROUP_ROWS, groups_fit
 
-# Up to this many rows per group Spark itself cuts each group down before the shuffle.
-NATIVE_TOP = 1000
+# For a small top Spark itself cuts each group down in every task, before the shuffle. One task then
+# gets at most this many rows of a group from each task before it.
+NATIVE_TOP = 100
 
 
 def _names(order: Sequence[tuple[str, str]]) -> list[str]:

@@ -19,15 +19,15 @@ RAW_ORDERS = T.StructType([
 ])
 
 ORDERS_CSV = T.StructType([
-    T.StructField("order_id", T.IntegerType()),
+    T.StructField("order_id", T.LongType()),
     T.StructField("order_ts", T.TimestampType()),
-    T.StructField("customer_id", T.IntegerType()),
-    T.StructField("product_id", T.IntegerType()),
+    T.StructField("customer_id", T.LongType()),
+    T.StructField("product_id", T.LongType()),
     T.StructField("qty", T.IntegerType()),
 ])
 
 CUSTOMERS_CSV = T.StructType([
-    T.StructField("customer_id", T.IntegerType()),
+    T.StructField("customer_id", T.LongType()),
     T.StructField("first_name", T.StringType()),
     T.StructField("last_name", T.StringType()),
     T.StructField("country", T.StringType()),
@@ -35,7 +35,7 @@ CUSTOMERS_CSV = T.StructType([
 ])
 
 PRODUCTS_CSV = T.StructType([
-    T.StructField("product_id", T.IntegerType()),
+    T.StructField("product_id", T.LongType()),
     T.StructField("sku", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("price", T.DecimalType(10, 2)),

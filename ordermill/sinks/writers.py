@@ -81,10 +81,11 @@ def write_current(df: DataFrame, path: str) -> None:
 
 
 def write_quarantine(bad: DataFrame, path: str) -> bool:
-    """Write the rejected rows, if there are any; tells whether there were."""
+    """Write the rejected rows, if there are any; tells whether there were. They are few and come
+    from every task, so they are gathered into files of a sensible size."""
     if bad.isEmpty():
         return False
-    write_current(bad, path)
+    write_current(bad.hint("rebalance"), path)
     return True
 
 

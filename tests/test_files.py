@@ -128,7 +128,9 @@ def test_daily_sales_job(spark, tmp_path):
     for day in ("2025-03-21", "2025-03-22"):
         assert len([f for f in os.listdir(f"{out}/order_date={day}") if f.endswith(".parquet")]) == 1
     inferred = read_csv(spark, str(tmp_path / "orders.csv"))
-    assert inferred.dtypes == read_orders_csv(spark, str(tmp_path / "orders.csv")).dtypes
+    assert inferred.dtypes == [("order_id", "int"), ("order_ts", "timestamp"), ("customer_id", "int"), ("product_id", "int"), ("qty", "int")]
+    declared = read_orders_csv(spark, str(tmp_path / "orders.csv"))
+    assert tuples(declared) == tuples(inferred) and dict(declared.dtypes)["order_id"] == "bigint"
 
 
 def test_incremental_and_full_overwrite(spark, tmp_path):

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import blank_to_null, line_amount, parse_date, parse_number
 from ..schemas import CRITICAL, ORDER_KEY
-from .joins import match
-from .skew import GROUP_ROWS, groups_fit
+from .joins import BROADCAST_ROWS, match
+from .skew import GROUP_ROWS, group_sizes
 
 
 def explode_lines(raw: DataFrame) -> DataFrame:
@@ -78,13 +78,18 @@ def with_customer_total(
     df: DataFrame,
     col_name: str = "customer_total_revenue",
     group_rows: int = GROUP_ROWS,
-    group_bound: int | None = None,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add the customer's sum of ``line_amount`` to each row; null customers form one group."""
-    if groups_fit(df, ["customer_id"], group_rows, group_bound):
+    """Add the customer's sum of ``line_amount`` to each row; null customers form one group.
+
+    With few customers the totals are broadcast and the lines stay where they are. With many, the
+    lines are shuffled by customer for a window, unless a customer is too large for one task.
+    """
+    sizes = group_sizes(df, ["customer_id"])
+    if sizes.groups > max_rows and sizes.largest <= group_rows:
         return df.withColumn(col_name, F.sum("line_amount").over(Window.partitionBy("customer_id")))
     totals = df.groupBy("customer_id").agg(F.sum("line_amount").alias(col_name))
-    return match(df, totals, "customer_id", "left", null_safe=True, group_rows=group_rows)
+    return match(df, totals, "customer_id", "left", null_safe=True, max_rows=max_rows, group_rows=group_rows)
 
 
 def error_reason(critical: Sequence[str] = CRITICAL) -> Column:

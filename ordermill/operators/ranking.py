@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..workspace import stable
 from .joins import match
 from .ordered import prefix_sum, row_numbers
 from .skew import GROUP_ROWS, groups_fit
@@ -80,7 +81,8 @@ def _tied_rank(df, group, order, how, top, out, group_rows):
             values, group, columns, out, group_rows
         )
     else:
-        ranks = prefix_sum(values, group, columns, F.col("_copies"), "_upto", group_rows)
+        ranks = prefix_sum(values, group, columns, F.col("_copies"), "_upto", group_rows, group_bound=top)
         ranks = ranks.withColumn(out, F.col("_upto") - F.col("_copies") + 1)
         ranks = ranks if top is None else ranks.where(F.col(out) <= top)
-    return match(df, ranks.select(*group, *names, out), [*group, *names], null_safe=True, group_rows=group_rows)
+    ranks = stable(ranks.select(*group, *names, out))
+    return match(df, ranks, [*group, *names], null_safe=True, group_rows=group_rows)

@@ -20,19 +20,20 @@ GROUP_ROWS = 5_000_000
 class GroupSizes(NamedTuple):
     rows: int
     largest: int
+    groups: int
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
-    """Row count of ``df`` and of its largest group; two numbers reach the driver."""
+    """Rows of ``df``, rows of its largest group, and number of groups; only these reach the driver."""
     if not keys:
         rows = df.count()
-        return GroupSizes(rows, rows)
-    rows, largest = (
+        return GroupSizes(rows, rows, 1)
+    sizes = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1)))
         .first()
     )
-    return GroupSizes(rows, largest)
+    return GroupSizes(*sizes)
 
 
 def groups_fit(df: DataFrame, keys: Sequence[str], group_rows: int, group_bound: int | None = None) -> bool:

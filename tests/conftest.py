@@ -74,3 +74,7 @@ def silver(spark):
 
 def tuples(df, *columns):
     return sorted((tuple(row) for row in (df.select(*columns) if columns else df).collect()), key=repr)
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))

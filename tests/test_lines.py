@@ -67,8 +67,8 @@ def test_dedup_strategies(spark):
 def test_amount_and_customer_total(spark):
     df = spark.sql("""SELECT * FROM VALUES ('c1', 'o1', 'p1', 2, 5.50BD), ('c1', 'o2', 'p2', 1, 7.00BD), (null, 'o3', 'p1', 1, 1.00BD),
         (null, 'o4', 'p1', 3, 1.00BD), ('c2', 'o5', 'p1', null, 1.00BD) AS t(customer_id, order_id, product_id, quantity, price)""")
-    for group_rows in (10, 1):
-        out = with_customer_total(with_line_amount(df), group_rows=group_rows)
+    for group_rows, max_rows in ((10, 10), (10, 0), (1, 10), (1, 0)):
+        out = with_customer_total(with_line_amount(df), group_rows=group_rows, max_rows=max_rows)
         assert dict(out.dtypes)["line_amount"] == "decimal(18,2)"
         assert dict(out.dtypes)["customer_total_revenue"] == "decimal(28,2)"
         assert tuples(out, "order_id", "line_amount", "customer_total_revenue") == [

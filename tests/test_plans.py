@@ -8,15 +8,12 @@ from pyspark.sql import functions as F
 from ordermill.operators import deduplicate, match, product_revenue, ranked, split_valid, top_products
 from ordermill.workload import QUERIES
 from ordermill.workload.tables import table
+from tests.conftest import plan
 
 FOLDER = "/root/testdata/sf0.001"
 WRITING = {"silver_gold_roundtrip", "order_kpis_snapshot", "csv_daily_sales", "incremental_overwrite", "snapshot_rerun", "partition_upsert"}
 
 
-def plan(df):
-    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-
-
 def count(df, operator):
     return len(re.findall(rf"^\(\d+\) {operator}\b", plan(df), re.MULTILINE))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ordermill.operators import match, neighbour, prefix_sum, ranked, row_numbers, running_total, scd2, with_customer_total
 from ordermill.operators.joins import fits_broadcast
 from ordermill.operators.skew import crowded_keys, group_sizes
-from tests.conftest import tuples
+from tests.conftest import plan, tuples
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +37,7 @@ def test_group_sizes_and_crowded_keys(facts):
     assert crowded_keys(facts, ["k"], 1000) is None
     largest = group_sizes(facts, ["k"]).largest
     assert tuples(crowded_keys(facts, ["k"], 100)) == [(7, -(-largest // 100))]
-    assert tuple(group_sizes(facts.limit(0), ["k"])) == (0, 0)
+    assert tuple(group_sizes(facts.limit(0), ["k"])) == (0, 0, 0)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -118,7 +118,12 @@ def test_ranks_check_their_arguments(facts):
 
 def test_customer_total_of_a_crowded_customer(facts):
     lines = facts.select(F.col("k").alias("customer_id"), "id", F.col("amount").alias("line_amount"))
-    assert tuples(with_customer_total(lines, group_rows=50)) == tuples(with_customer_total(lines))
+    broadcast, window, spread = (
+        with_customer_total(lines, group_rows=group_rows, max_rows=max_rows)
+        for group_rows, max_rows in ((10_000, 10_000), (10_000, 0), (50, 0))
+    )
+    assert tuples(broadcast) == tuples(window) == tuples(spread)
+    assert "Window" not in plan(broadcast) and "Window" in plan(window) and "Window" not in plan(spread)
 
 
 def test_history_of_a_crowded_key(spark, facts):

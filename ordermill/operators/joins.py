@@ -38,6 +38,7 @@ def match(
     *,
     null_safe: bool = False,
     spread_by: Sequence[str] | None = None,
+    left_counts: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
@@ -47,7 +48,8 @@ def match(
     ``left`` whose key is crowded are spread over several tasks by the hash of ``spread_by`` (all
     columns by default), with the matching rows of ``right`` repeated once per task. Rows that
     agree in all of ``spread_by`` stay together; adaptive execution still splits those.
-    ``left_semi`` and ``left_anti`` use only the distinct keys of ``right``.
+    ``left_semi`` and ``left_anti`` use only the distinct keys of ``right``. ``left_counts``, the key
+    columns and a row count of each key of ``left``, saves counting them.
     """
     if how not in _TYPES:
         raise ValueError(f"how must be one of {_TYPES}")
@@ -66,7 +68,7 @@ def match(
         right = F.broadcast(right)
     else:
         right = right.distinct() if keys_only else right
-        crowded = crowded_keys(left, on, group_rows)
+        crowded = crowded_keys(left, on, group_rows, left_counts)
 
     equal = same_key(on, right_keys)
     if not null_safe:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import blank_to_null, line_amount, parse_date, parse_number
 from ..schemas import CRITICAL, ORDER_KEY
+from ..workspace import stable
 from .joins import BROADCAST_ROWS, match
-from .skew import GROUP_ROWS, group_sizes
+from .skew import GROUP_ROWS
 
 
 def explode_lines(raw: DataFrame) -> DataFrame:
@@ -82,14 +83,16 @@ def with_customer_total(
 ) -> DataFrame:
     """Add the customer's sum of ``line_amount`` to each row; null customers form one group.
 
-    With few customers the totals are broadcast and the lines stay where they are. With many, the
-    lines are shuffled by customer for a window, unless a customer is too large for one task.
+    The totals are computed and stored once, with the lines per customer. Few totals are broadcast,
+    so the lines stay where they are; many are joined by a shuffle that spreads large customers.
     """
-    sizes = group_sizes(df, ["customer_id"])
-    if sizes.groups > max_rows and sizes.largest <= group_rows:
-        return df.withColumn(col_name, F.sum("line_amount").over(Window.partitionBy("customer_id")))
-    totals = df.groupBy("customer_id").agg(F.sum("line_amount").alias(col_name))
-    return match(df, totals, "customer_id", "left", null_safe=True, max_rows=max_rows, group_rows=group_rows)
+    totals = stable(
+        df.groupBy("customer_id").agg(F.sum("line_amount").alias(col_name), F.count(F.lit(1)).alias("_rows"))
+    )
+    return match(
+        df, totals.drop("_rows"), "customer_id", "left", null_safe=True,
+        left_counts=totals.select("customer_id", "_rows"), max_rows=max_rows, group_rows=group_rows,
+    )
 
 
 def error_reason(critical: Sequence[str] = CRITICAL) -> Column:

@@ -142,10 +142,11 @@ def _mismatches(per_total: DataFrame, col_name: str) -> DataFrame:
 def reconcile(before: DataFrame, after: DataFrame, col_name: str = "customer_total_revenue") -> DataFrame:
     """Checks around duplicate removal and customer totals, one row (check, value) each.
 
-    ``before`` holds the cleansed lines, ``after`` the unique ones with amounts and totals. All
-    figures about totals come from one stored frame with a row per customer and total.
+    ``before`` holds the cleansed lines, ``after`` the unique ones with amounts and totals. The
+    columns in question of ``after`` are stored once, and so are their sums per customer and total.
     """
     money = "decimal(38,2)"
+    after = stable(after.select(*ORDER_KEY, "customer_id", "line_amount", col_name))
     per_total = stable(
         after.groupBy("customer_id", col_name).agg(
             F.sum("line_amount").alias("line_amount"),

@@ -20,17 +20,16 @@ GROUP_ROWS = 5_000_000
 class GroupSizes(NamedTuple):
     rows: int
     largest: int
-    groups: int
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> GroupSizes:
-    """Rows of ``df``, rows of its largest group, and number of groups; only these reach the driver."""
+    """Rows of ``df`` and of its largest group; only these two numbers reach the driver."""
     if not keys:
         rows = df.count()
-        return GroupSizes(rows, rows, 1)
+        return GroupSizes(rows, rows)
     sizes = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1)))
+        .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)))
         .first()
     )
     return GroupSizes(*sizes)
@@ -44,19 +43,22 @@ def groups_fit(df: DataFrame, keys: Sequence[str], group_rows: int, group_bound:
     return group_sizes(df, keys).largest <= group_rows
 
 
-def crowded_keys(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
+def crowded_keys(
+    df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS, counts: DataFrame | None = None
+) -> DataFrame | None:
     """Keys with more than ``group_rows`` rows, and ``_parts``, the number of tasks each needs.
 
     Returns None when there is none. The list has fewer than rows / ``group_rows`` entries, so
     broadcasting it is safe, and it is stored once so that every use sees the same keys.
+    ``counts`` holds the keys and their numbers of rows, where they are known already.
     """
-    if group_sizes(df, keys).largest <= group_rows:
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return stable(
-        counts.where(F.col("n") > group_rows)
-        .select(*keys, F.ceil(F.col("n") / group_rows).cast("int").alias("_parts"))
-    )
+    if counts is None:
+        if group_sizes(df, keys).largest <= group_rows:
+            return None
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)))
+    counts = counts.toDF(*keys, "n").where(F.col("n") > group_rows)
+    crowded = stable(counts.select(*keys, F.ceil(F.col("n") / group_rows).cast("int").alias("_parts")))
+    return None if crowded.isEmpty() else crowded
 
 
 def same_key(left: Sequence[str], right: Sequence[str]) -> Column:

@@ -68,6 +68,16 @@ def fits(spec: dict) -> bool:
             and not spec.get("post_processor") and not spec.get("truncation") and not spec.get("padding"))
 
 
+def shared_encoder(path: str) -> Encoder:
+    """One encoder per worker, kept from task to task with the pieces it remembers."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them with ``add_special_tokens=False``."""
 

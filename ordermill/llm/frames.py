@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ordermill-{name}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per application; a worker keeps it from task to task."""
+    context = spark.sparkContext
+    if getattr(context, "_ordermill_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(dir=context._temp_dir)  # the driver's own, until it ends; executors get the file from Spark
+    tree = shutil.copytree(package, f"{folder}/tree/{os.path.basename(package)}", ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(f"{folder}/ordermill_package", "zip", os.path.dirname(tree)))
+    context._ordermill_shipped = True
+
+
+def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` stored once as Parquet in the shared folder and read again: cuts the lineage, survives lost executors."""
     path = new_path(df.sparkSession, name)
@@ -47,10 +68,14 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def byte_lengths(array: pa.Array) -> np.ndarray:
+    return pc.binary_length(array).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def slices(batches: Iterator[pa.RecordBatch], field: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut to about ``size`` bytes of ``field``; no row is split."""
     for batch in batches:
-        lengths = np.cumsum(batch.column(field).cast(pa.large_binary()).value_lengths().to_numpy(zero_copy_only=False))
+        lengths = np.cumsum(byte_lengths(batch.column(field)))
         at = 0
         while at < batch.num_rows:
             before = lengths[at - 1] if at else 0

@@ -4,18 +4,74 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from .frames import new_path
+from .mixing import mix
 from .token_counts import count_tokens
+from .token_files import read_tokens, with_starts, write_tokens
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+MIX_WEIGHTS = (3, 1, 2)
+
+
 def _read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_files(spark, sf_dir):
+    folder = new_path(spark, "tokens")
+    write_tokens(_read(spark, sf_dir, "documents"), folder, BPE, end_id=2)
+    return with_starts(read_tokens(spark, folder, digest=True)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_mix_sources(spark, sf_dir):
+    mixed = mix(_read(spark, sf_dir, "documents"), weights=MIX_WEIGHTS, share=1.5, epochs=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_token_counts(spark, sf_dir):
     return count_tokens(_read(spark, sf_dir, "documents"), BPE, limit=512)
 
 
-QUERIES = {"op7_token_counts": op7_token_counts}
-SQL: dict[str, str] = {}
+QUERIES = {"op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+SQL = {
+    "op5_mix_sources": r"""
+        WITH sized AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                   md5(concat_ws(':', '0', coalesce(doc_id::VARCHAR, 'null'), coalesce(text, ''))) AS tie
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+            FROM sized GROUP BY source),
+        levels AS (  -- the level at which a source with the given ratio is just full
+            SELECT s.source, 2.0::DOUBLE * s.source_size / s.weight AS ratio FROM sources s),
+        filled AS (  -- what all sources hold at each such level, against the budget
+            SELECT l.ratio, sum(least(2.0::DOUBLE * s.source_size, s.weight * l.ratio)) AS held,
+                   (SELECT sum(source_size) * 1.5::DOUBLE FROM sources) AS budget
+            FROM (SELECT DISTINCT ratio FROM levels) l, sources s GROUP BY l.ratio),
+        highest AS (SELECT coalesce(max(ratio), 0.0::DOUBLE) AS full_at FROM filled WHERE held <= budget),
+        level AS (
+            SELECT full_at,
+                   ((SELECT sum(source_size) * 1.5::DOUBLE FROM sources)
+                    - coalesce((SELECT sum(2.0::DOUBLE * source_size) FROM sources WHERE 2.0::DOUBLE * source_size / weight <= full_at), 0))
+                   AS left_over,
+                   (SELECT sum(weight) FROM sources WHERE 2.0::DOUBLE * source_size / weight > full_at) AS open
+            FROM highest),
+        targets AS (
+            SELECT source, source_size,
+                   CASE WHEN open IS NULL OR 2.0::DOUBLE * source_size / weight <= full_at THEN 2.0::DOUBLE * source_size
+                        ELSE least(weight * left_over / open, 2.0::DOUBLE * source_size) END AS target
+            FROM sources, level),
+        ordered AS (
+            SELECT s.doc_id, s.size, t.source_size, t.target,
+                   CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
+                   coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.tie, s.doc_id, s.size
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               (size * (whole + CASE WHEN 2 * earlier + size <= 2 * (target - whole * source_size) AND target - whole * source_size > 0
+                                     THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM ordered""",
+}

@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import Encoder
-from .frames import id_type, slices, texts
+from .bpe import Encoder, shared_encoder
+from .frames import arrow_map, byte_lengths, id_type, slices, texts
 
 #: Characters of a chunk, and of the first overlap with the next.
 CHUNK, OVERLAP = 50_000, 400
@@ -100,13 +100,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, id_col: str
             model = sentencepiece.SentencePieceProcessor(model_file=tokenizer)
             count = lambda values: [len(x) for x in model.encode(values, num_threads=1)] if values else []
         else:
-            encoder = Encoder(tokenizer)
+            encoder = shared_encoder(tokenizer)
             count = lambda values: np.diff(encoded(encoder, values, chunk, overlap)[1])
         for batch in slices(batches):
             column = batch.column("text")
             n = pa.array(count(column.to_pylist()), pa.int64())
-            size = column.cast(pa.large_binary()).value_lengths().cast(pa.int64())
+            size = pa.array(byte_lengths(column), pa.int64())
             over = pa.array(n.to_numpy() > limit, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), size, n, over], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type(docs)}, n_bytes long, n_tokens long, over_limit boolean")
+    return arrow_map(docs, run, f"doc_id {id_type(docs)}, n_bytes long, n_tokens long, over_limit boolean")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +16,11 @@ UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
 BUCKETS = 16_384
 #: Added to every count.
 SMOOTHING = 1.0
-#: Scores are compared with thresholds in steps of so much; steps outside the span count as its ends.
-STEP, SPAN = 0.01, 40.0
+#: Trusted rows the target model is fitted on, those of the smallest id hashes: a bound for what is broadcast.
+TRUSTED_ROWS = 20_000
+#: A document is kept if its score per n-gram, in nats, is at least this: what the raw corpus explains much better than
+#: the trusted rows goes, whatever its length.
+THRESHOLD = -0.2
 
 
 def _let(value: Column, body) -> Column:
@@ -49,25 +53,69 @@ def _buckets(units: Column) -> Column:
     return F.concat(one, two)
 
 
-def ngram_counts(docs: DataFrame) -> DataFrame:
-    """doc key and the classes of its n-grams, one row each."""
-    units = F.regexp_extract_all(F.lower("text"), F.lit(UNIT), F.lit(0))
-    return docs.withColumn("bucket", F.explode(_let(units, _buckets))).where("bucket is not null")
+def _units(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(UNIT), F.lit(0))
 
 
-def fitted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """bucket, weight: log-likelihood ratio of each class between the trusted rows' and all rows' n-gram multinomials.
+def fitted(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> np.ndarray:
+    """The weight of every n-gram class: log-likelihood ratio between the trusted rows' and all rows' multinomials.
 
-    ``docs`` has doc_id and text, ``trusted`` one doc_id per row. At most BUCKETS rows come out, whatever goes in.
+    ``docs`` has doc_id and text; ``trusted`` has doc_id. Counts of the raw corpus are over all rows. BUCKETS numbers
+    reach the driver, whatever goes in. Without trusted rows every weight is 0.
     """
-    marked = docs.join(trusted.withColumn("is_trusted", F.lit(1)), "doc_id", "left")
-    counts = (ngram_counts(marked.select("text", F.coalesce("is_trusted", F.lit(0)).alias("is_trusted"))).groupBy("bucket")
-              .agg(F.count("*").alias("raw"), F.sum("is_trusted").alias("target")))
-    everything = counts.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target")).withColumn("one", F.lit(1))
-    of = lambda n, total: F.log((F.col(n) + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS))
-    ratio = F.when(F.col("all_target") > 0, of("target", "all_target") - of("raw", "all_raw")).otherwise(0.0)
-    return counts.withColumn("one", F.lit(1)).join(F.broadcast(everything), "one").select("bucket", ratio.alias("weight"))
-
-
-def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    raise NotImplementedError
+    chosen = trusted.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
+    marked = docs.join(F.broadcast(chosen.withColumn("trusted", F.lit(1))), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    counts = (marked.select("trusted", F.explode(_let(_units(F.col("text")), _buckets)).alias("bucket")).where("bucket is not null")
+              .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")).collect())
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for bucket, all_rows, trusted_rows in counts:
+        raw[bucket], target[bucket] = all_rows, trusted_rows
+    if not target.any():
+        return np.zeros(BUCKETS)
+    of = lambda n: np.log((n + SMOOTHING) / (n.sum() + SMOOTHING * BUCKETS))
+    return of(target) - of(raw)
+
+
+def judged(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Base counts, score and verdict for every row of ``docs``, next to its own columns' id.
+
+    ``trusted`` holds the ids (column ``id_col``) of documents known to be good. Result: doc_id, n_words, word_chars (code
+    points in words), n_symbols, n_dup_lines (lines with a word, equal to an earlier one), n_repeat_words (words in 5-word
+    windows that the text has twice or more), base_failed (under 10 words, or over 20 % repeated), score (mean weight of
+    the text's n-grams; none: 0), kept (not base_failed and score >= ``threshold``).
+
+    Null and empty texts have no words and fail. Null and repeated ids are judged row by row; null ids are never trusted.
+    An empty table gives an empty result; other columns are ignored, whatever their names. Nothing is shuffled but n-gram
+    class counts, so neither crowded sources nor copies matter.
+    """
+    return _counted(docs, trusted, threshold, id_col, text_col, [column(id_col).alias("doc_id")])
+
+
+def clean_only(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns."""
+    row = F.struct(*(column(c) for c in docs.columns)).alias("row")
+    return _counted(docs, trusted, threshold, id_col, text_col, [row]).where("kept").select(
+        *(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
+def _counted(docs, trusted, threshold, id_col, text_col, carried):
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    known = docs.select(column(id_col).alias("doc_id"), text.alias("text"))
+    weights = F.lit(fitted(known, trusted.select(column(id_col).alias("doc_id"))))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
+    total = lambda b: F.aggregate(b, F.lit(0.0), lambda a, x: a + F.coalesce(F.get(weights, x), F.lit(0.0)))
+    score = _let(_let(_units(F.col("text")), _buckets), lambda b: F.when(F.size(b) > 1, total(b) / (F.size(b) - 1)).otherwise(0.0))
+    return (
+        docs.select(*carried, text.alias("text"))
+        .withColumn("measured", _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"))))
+        .withColumn("n_words", F.col("measured.n_words"))
+        .withColumn("word_chars", (F.char_length("text") - F.regexp_count("text", F.lit(SPACE))).cast("long"))
+        .withColumn("n_symbols", F.regexp_count("text", F.lit(SYMBOL)).cast("long"))
+        .withColumn("n_dup_lines", _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
+        .withColumn("n_repeat_words", F.col("measured.n_repeat_words"))
+        .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+        .withColumn("score", score)
+        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+        .drop("text", "measured")
+    )

@@ -6,6 +6,7 @@ import public_tokenizers
 
 from .frames import new_path
 from .mixing import mix
+from .quality import judged
 from .token_counts import count_tokens
 from .token_files import read_tokens, with_starts, write_tokens
 
@@ -34,7 +35,12 @@ def op7_token_counts(spark, sf_dir):
     return count_tokens(_read(spark, sf_dir, "documents"), BPE, limit=512)
 
 
-QUERIES = {"op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+def op9_quality_rules(spark, sf_dir):
+    trusted = _read(spark, sf_dir, "labels").where("quality = 1")
+    return judged(_read(spark, sf_dir, "documents"), trusted)
+
+
+QUERIES = {"op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
 SQL = {
     "op5_mix_sources": r"""
         WITH sized AS (

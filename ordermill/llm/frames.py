@@ -91,3 +91,12 @@ def buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = array.buffers()[2]
     values = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return values[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(values.tobytes(), asbytes=True)
+
+
+def unsqueezed(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` bytes that ``squeezed`` was given."""
+    return np.frombuffer(pa.Codec("zstd").decompress(data, decompressed_size=n, asbytes=True) if n else b"", np.uint8)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .frames import new_path
+from .minhash import components
 from .mixing import mix
 from .quality import judged
 from .token_counts import count_tokens
@@ -40,7 +41,11 @@ def op9_quality_rules(spark, sf_dir):
     return judged(_read(spark, sf_dir, "documents"), trusted)
 
 
-QUERIES = {"op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+def op10_near_duplicates(spark, sf_dir):
+    return components(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
 SQL = {
     "op5_mix_sources": r"""
         WITH sized AS (

@@ -18,15 +18,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import shared_encoder
-from .frames import arrow_map, id_type, new_path, remove, slices, texts
+from .frames import arrow_map, id_type, new_path, remove, slices, squeezed, texts, unsqueezed
 from .token_counts import encoded
 
 #: For each control byte: the bytes of its four ranks, and which of 16 places (four per rank) they fill.
 WIDTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 PLACES = np.arange(4) < WIDTHS[:, :, None]
 TOTALS = WIDTHS.sum(axis=1)
-#: Binary form of ids between the passes.
-_ZSTD = pa.Codec("zstd", compression_level=3)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -52,11 +50,11 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def _planes(ids: np.ndarray) -> bytes:
     """Ids with their lowest bytes first, then the next, and so on: compresses well."""
-    return _ZSTD.compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T), asbytes=True)
+    return squeezed(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T))
 
 
 def _ids(planes: bytes, n: int) -> np.ndarray:
-    raw = np.frombuffer(_ZSTD.decompress(planes, decompressed_size=4 * n, asbytes=True), np.uint8)
+    raw = unsqueezed(planes, 4 * n)
     return np.ascontiguousarray(raw.reshape(4, -1).T).reshape(-1).view("<u4")
 
 

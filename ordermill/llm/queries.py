@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from .frames import new_path
+from .licenses import scan, scan_sql
 from .minhash import components
 from .mixing import mix
 from .quality import judged
+from .superkmers import deduplicate
 from .token_counts import count_tokens
 from .token_files import read_tokens, with_starts, write_tokens
+from .url_rules import filter_urls
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: verdict, host, path
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 MIX_WEIGHTS = (3, 1, 2)
 
 
@@ -45,8 +51,25 @@ def op10_near_duplicates(spark, sf_dir):
     return components(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+def op8_repeated_passages(spark, sf_dir):
+    rows = deduplicate(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_url_filters(spark, sf_dir):
+    pages = _read(spark, sf_dir, "pages")
+    labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 or toxic = 1").alias("bad"))
+    labelled = pages.select("page_id", "url").join(labels, "page_id").select("url", F.coalesce("bad", F.lit(False)).alias("bad"))
+    return filter_urls(pages, labelled, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_license_scans(spark, sf_dir):
+    return scan(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_url_filters": op2_url_filters, "op6_license_scans": op6_license_scans, "op8_repeated_passages": op8_repeated_passages, "op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
 SQL = {
+    "op6_license_scans": scan_sql(),
     "op5_mix_sources": r"""
         WITH sized AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .decontaminate import find_leaks
 from .frames import new_path
 from .licenses import scan, scan_sql
 from .minhash import components
@@ -67,7 +68,12 @@ def op6_license_scans(spark, sf_dir):
     return scan(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_url_filters": op2_url_filters, "op6_license_scans": op6_license_scans, "op8_repeated_passages": op8_repeated_passages, "op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+def op3_decontaminate(spark, sf_dir):
+    leaks = find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return leaks.drop("text_key")
+
+
+QUERIES = {"op3_decontaminate": op3_decontaminate, "op2_url_filters": op2_url_filters, "op6_license_scans": op6_license_scans, "op8_repeated_passages": op8_repeated_passages, "op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
 SQL = {
     "op6_license_scans": scan_sql(),
     "op5_mix_sources": r"""

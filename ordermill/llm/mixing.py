@@ -53,6 +53,11 @@ def water_filled(sources: DataFrame, share: float, epochs: int) -> DataFrame:
     return sources.withColumn("target", F.coalesce(F.least(target, F.col("cap")), F.lit(0.0))).drop("left", "open", "turn", "level", "cap")
 
 
+def tie(docs: DataFrame, seed: int, id_col: str, text_col: str) -> Column:
+    """The seeded hash of a row's id and text that orders the documents of a source."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(column(id_col).cast("string"), F.lit("null")), F.coalesce(column(text_col).cast("string"), F.lit(""))))
+
+
 def mix(docs: DataFrame, weights: Sequence[int] | Mapping[str | None, int], share: float = 1.5, epochs: int = 2, seed: int = 0,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """How often the mix takes each row of ``docs``: doc_id, source, tie, size, source_size, target, repeats, taken.
@@ -67,10 +72,8 @@ def mix(docs: DataFrame, weights: Sequence[int] | Mapping[str | None, int], shar
 
     Texts are read once: what follows works on the stored sizes. A crowded source is summed in slices of its hash order.
     """
-    text = column(text_col)
-    known = F.concat_ws(":", F.lit(str(seed)), F.coalesce(column(id_col).cast("string"), F.lit("null")), F.coalesce(text, F.lit("")))
     sized = written(docs.select(column(id_col).alias("doc_id"), column(source_col).cast("string").alias("source"),
-                                word_count(text).alias("size"), F.md5(known).alias("tie")), "sizes")
+                                word_count(column(text_col)).alias("size"), tie(docs, seed, id_col, text_col).alias("tie")), "sizes")
     sources = weighed(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), weights)
     sources = water_filled(sources, share, epochs).select(
         "source", "place", "source_size", "target", F.ceil(F.col("n") / SLICE_ROWS).alias("slices"),
@@ -86,3 +89,18 @@ def mix(docs: DataFrame, weights: Sequence[int] | Mapping[str | None, int], shar
     once_more = (2 * (F.col("earlier") + F.col("inside")) + F.col("size") <= 2 * rest) & (rest > 0)
     return (placed.withColumn("repeats", F.col("whole") + once_more.cast("long"))
             .select("doc_id", "source", "tie", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken")))
+
+
+def mixed_rows(docs: DataFrame, weights: Sequence[int] | Mapping[str | None, int], share: float = 1.5, epochs: int = 2, seed: int = 0,
+               id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as ``mix`` takes it.
+
+    Rows with the same id and text share what is taken of them evenly, the rest going to any of them.
+    """
+    taken = mix(docs, weights, share, epochs, seed, id_col, text_col, source_col)
+    taken = taken.groupBy("tie").agg(F.sum("repeats").alias("__taken"), F.count("*").alias("__rows")).where("__taken > 0").withColumnRenamed("tie", "__tie")
+    rows = docs.withColumn("__key", tie(docs, seed, id_col, text_col)).join(taken, F.col("__key") == F.col("__tie"))
+    turn = F.row_number().over(Window.partitionBy("__tie").orderBy("__taken"))
+    times = F.floor(F.col("__taken") / F.col("__rows")) + (turn <= F.col("__taken") % F.col("__rows")).cast("int")
+    rows = rows.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
+    return rows.select(*(column(c) for c in docs.columns))

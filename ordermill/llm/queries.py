@@ -11,6 +11,7 @@ from .licenses import scan, scan_sql
 from .minhash import components
 from .mixing import mix
 from .quality import judged
+from .suffix_dedup import remove_repeats
 from .superkmers import deduplicate
 from .token_counts import count_tokens
 from .token_files import read_tokens, with_starts, write_tokens
@@ -73,7 +74,12 @@ def op3_decontaminate(spark, sf_dir):
     return leaks.drop("text_key")
 
 
-QUERIES = {"op3_decontaminate": op3_decontaminate, "op2_url_filters": op2_url_filters, "op6_license_scans": op6_license_scans, "op8_repeated_passages": op8_repeated_passages, "op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+def op4_repeated_strings(spark, sf_dir):
+    rows = remove_repeats(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op4_repeated_strings": op4_repeated_strings, "op3_decontaminate": op3_decontaminate, "op2_url_filters": op2_url_filters, "op6_license_scans": op6_license_scans, "op8_repeated_passages": op8_repeated_passages, "op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
 SQL = {
     "op6_license_scans": scan_sql(),
     "op5_mix_sources": r"""

@@ -1,0 +1,161 @@
+"""Passage removal, near-duplicates and decontamination against plain versions."""
+
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import suffix_dedup, superkmers
+from ordermill.llm.components import labelled
+from ordermill.llm.decontaminate import MASKS, SPAN, SUBSTITUTIONS, WINDOW, find_leaks, without_leaks
+from ordermill.llm.minhash import COORDINATES, components, one_of_each, sketches
+from ordermill.llm.suffix_dedup import remove_repeats, repeated_windows
+from ordermill.llm.superkmers import deduplicate
+
+from . import brute
+from tests.conftest import tuples
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+@pytest.mark.parametrize("part_bytes", [2_000, 1 << 20])
+def test_repeated_words(documents, prose, part_bytes):
+    got = deduplicate(documents, part_bytes=part_bytes).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert tuples(got) == ordered(brute.repeated_words(prose))
+
+
+def test_repeated_words_with_crowded_minimisers(documents, prose, monkeypatch):
+    monkeypatch.setattr(superkmers, "crowded_minimisers", lambda docs: superkmers.Cut(_texts(prose), np.zeros(0, np.uint64)).least[::2])
+    got = deduplicate(documents, part_bytes=3_000).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256))
+    assert tuples(got) == ordered(brute.repeated_words(prose))
+
+
+def _texts(prose):
+    import pyarrow as pa
+
+    return pa.array([text or "" for _, text in prose], pa.string())
+
+
+def test_equal_hashes_are_told_apart_by_bytes():
+    values = np.frombuffer(b"abcabdabc", np.uint8)
+    start, stop, order = np.array([0, 3, 6]), np.array([3, 6, 9]), np.array([0, 1, 2])
+    order, group = superkmers._same_texts(values, start, stop, order, np.array([0, 0, 0]))
+    by = dict(zip(order.tolist(), group.tolist()))
+    assert by[0] == by[2] != by[1]
+
+
+@pytest.mark.parametrize("part_bytes", [2_000, 1 << 20])
+def test_repeated_bytes(documents, prose, part_bytes):
+    got = remove_repeats(documents, part_bytes=part_bytes).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert tuples(got) == ordered(brute.repeated_bytes(prose))
+
+
+def test_repeated_bytes_with_crowded_grams(documents, prose, monkeypatch):
+    values, offsets = suffix_dedup.buffer(_texts(prose))
+    grams = np.unique(suffix_dedup.Runs(values, offsets, np.zeros(0, np.uint64)).places)
+    monkeypatch.setattr(suffix_dedup, "crowded_grams", lambda docs: grams[::2])
+    got = remove_repeats(documents, part_bytes=3_000).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert tuples(got) == ordered(brute.repeated_bytes(prose))
+
+
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"acgt"])
+def test_suffix_order_finds_every_repeat(letters):
+    rng = np.random.default_rng(2)
+    text = np.frombuffer(letters, np.uint8)[rng.integers(0, len(letters), 1500)]
+    text = np.concatenate([text, text[100:700], text[50:333]])
+    judged = np.arange(len(text) - 199)
+    raw = text.tobytes()
+    seen = {}
+    for k in judged.tolist():
+        seen.setdefault(raw[k:k + 200], []).append(k)
+    want = np.zeros(len(judged), bool)
+    for places in seen.values():
+        if len(places) > 1:
+            want[places] = True
+    assert (repeated_windows(text, judged) == want).all()
+
+
+def test_long_names_fall_back_to_sorting_columns():
+    wide = np.array([2**40, 5, 2**40, 7]), np.array([2**40, 1, 2**40, 2**41])
+    one, two = suffix_dedup._joint(wide, (wide[0][:1], wide[1][:1]))
+    assert one.tolist() == [3, 1, 3, 2] and two.tolist() == [3]
+
+
+def test_near_duplicates(documents, prose):
+    got = components(documents)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert tuples(got) == ordered(brute.components(prose))
+
+
+def test_one_of_each_keeps_columns(documents):
+    kept = one_of_each(documents)
+    assert kept.columns == documents.columns
+    want = {r.doc_id for r in components(documents).where("kept and doc_id is not null").collect()}
+    assert {r.doc_id for r in kept.collect()} == want
+
+
+def test_crowd_of_near_copies(spark):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(base[:k % 50] + [f"new{k}"] + base[k % 50 + 1:])) for k in range(120)] + [(500, " ".join(base[::-1]))]
+    assert tuples(components(spark.createDataFrame(rows, "doc_id long, text string"))) == ordered(brute.components(rows))
+
+
+def test_sketches_are_full_and_like_their_sets():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 2**63, 400).astype(np.uint64)
+    b = np.concatenate([a[:320], rng.integers(0, 2**63, 80).astype(np.uint64)])
+    single = a[:1]
+    s = sketches(np.concatenate([a, b, single]), np.array([0, 400, 800, 801]))
+    assert s.shape == (3, COORDINATES) and (s != np.uint64(2**64 - 1)).all()
+    assert abs((s[0] == s[1]).mean() - 320 / 480) < 0.15
+    assert (sketches(a[::-1].copy(), np.array([0, 400]))[0] == s[0]).all()
+
+
+def test_components_of_a_path(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)], "a long, b long")
+    assert {r.node: r.label for r in labelled(edges).collect()} == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+
+
+def test_masks_see_through_two_substitutions():
+    for away in combinations(range(WINDOW), SUBSTITUTIONS):
+        assert any(all(at + o not in away for o in mask) for mask in MASKS for at in range(WINDOW - SPAN + 1))
+
+
+def test_leaks(spark, documents, prose):
+    items = [(k, text) for k, text in prose[:25]] + [(None, None), (900, "too short to tell"), (901, prose[30][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("seed", F.lit(1))
+    got = {}
+    for r in find_leaks(documents, benchmark).collect():
+        got.setdefault((r.doc_id, r.item_id), []).append((r.doc_start, r.n_words, r.n_equal, r.item_words))
+    assert {k: sorted(v) for k, v in got.items()} == brute.leaks(prose, items)
+
+
+def test_leaks_block_by_block(spark, documents, prose, monkeypatch):
+    from ordermill.llm import decontaminate
+
+    items = [(k, text) for k, (_, text) in enumerate(prose[:12])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = tuples(find_leaks(documents, benchmark))
+    monkeypatch.setattr(decontaminate, "BLOCK_SEEDS", 400)
+    assert tuples(find_leaks(documents, benchmark)) == whole
+
+
+def test_without_leaks_keeps_clean_rows_whole(spark, documents, prose):
+    benchmark = spark.createDataFrame([(1, prose[0][1]), (2, prose[1][1])], "item_id long, text string")
+    hit = {(r.doc_id, r.text_key) for r in find_leaks(documents, benchmark).collect()}
+    keyed = documents.withColumn("k", F.xxhash64(F.coalesce("text", F.lit(""))))
+    want = [r for r in keyed.collect() if (r.doc_id, r.k) not in hit]
+    got = without_leaks(documents, benchmark)
+    assert got.columns == documents.columns and got.count() == len(want)
+
+
+def test_empty_tables(spark, nothing):
+    assert deduplicate(nothing).count() == remove_repeats(nothing).count() == components(nothing).count() == one_of_each(nothing).count() == 0
+    assert find_leaks(nothing, nothing.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+def test_no_benchmark_leaves_all(documents, nothing):
+    assert without_leaks(documents, nothing.withColumnRenamed("doc_id", "item_id")).count() == documents.count()

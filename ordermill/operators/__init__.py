@@ -1,5 +1,5 @@
 from .history import islands, scd2, upsert
-from .joins import fits_broadcast, match
+from .joins import match
 from .lines import (
     cleanse, deduplicate, explode_lines, split_valid, tag_errors, with_customer_total, with_line_amount,
 )
@@ -17,7 +17,7 @@ from .reshape import json_fields, pivot, unpivot
 
 __all__ = [
     "average_order_value", "category_revenue", "cleanse", "daily_sales", "daily_totals", "deduplicate",
-    "duplicates", "explode_check", "explode_lines", "fits_broadcast", "freshness", "grain", "islands",
+    "duplicates", "explode_check", "explode_lines", "freshness", "grain", "islands",
     "join_counts", "json_fields", "line_counts", "match", "neighbour", "non_positive", "null_or_blank",
     "null_safe_totals", "orders_by_country", "pivot", "prefix_sum", "product_revenue", "product_totals",
     "profile", "ranked", "reconcile", "rolling_daily", "row_numbers", "rule_breaks", "running_total",

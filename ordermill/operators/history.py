@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions import surrogate_key
 from .joins import match
 from .lines import deduplicate
 from .ordered import neighbour
@@ -41,8 +40,8 @@ def scd2(
     columns = [*keys, *tracked, "valid_from"]
     untouched = None
     if {"valid_to", "is_current"} <= set(dim.columns):
-        untouched = match(dim, changes, keys, "left_anti", null_safe=True, group_rows=group_rows)
-        dim = match(dim, changes, keys, "left_semi", null_safe=True, group_rows=group_rows)
+        untouched = match(dim, changes, keys, "left_anti", null_safe=True)
+        dim = match(dim, changes, keys, "left_semi", null_safe=True)
     versions = dim.select(*columns, F.lit(0).alias("_source")).unionByName(
         changes.select(*keys, *tracked, F.col(effective).alias("valid_from"), F.lit(1).alias("_source"))
     )
@@ -50,9 +49,9 @@ def scd2(
     bound = group_sizes(versions, keys).largest
     versions = deduplicate(versions, [*keys, "valid_from"], order_by=[F.desc("_source")]).drop("_source")
     order = [F.col("valid_from").asc()]
-    hashed = versions.withColumn("_hash", surrogate_key(*tracked, null_marker="\u0000"))
-    changed = neighbour(hashed, keys, order, "_hash", "_previous", -1, group_rows, bound).where(
-        ~F.col("_hash").eqNullSafe(F.col("_previous"))
+    states = versions.withColumn("_state", F.struct(*tracked))
+    changed = neighbour(states, keys, order, "_state", "_previous", -1, group_rows, bound).where(
+        ~F.col("_state").eqNullSafe(F.col("_previous"))
     )
     dated = neighbour(changed.select(*columns), keys, order, "valid_from", "valid_to", 1, group_rows, bound)
     result = dated.withColumn("is_current", F.col("valid_to").isNull())
@@ -65,6 +64,8 @@ def islands(df: DataFrame, key: str, day: str) -> DataFrame:
     Rows are reduced to one per key and day first, so the ordered window never sees more rows of
     a key than there are calendar days.
     """
+    if not isinstance(df.schema[day].dataType, T.DateType):
+        raise ValueError(f"{day} must be a date")
     days = df.select(key, day).where(F.col(day).isNotNull()).distinct()
     place = F.row_number().over(Window.partitionBy(key).orderBy(day))
     return (

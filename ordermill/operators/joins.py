@@ -4,32 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .skew import GROUP_ROWS, crowded_keys, part_counts, same_key
 
-BROADCAST_ROWS = 250_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 _TYPES = ("inner", "left", "left_semi", "left_anti")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` is measured to be small: its rows first (file footers for plain Parquet),
-    then the bytes of its variable-width columns."""
-    rows = df.count()
-    if rows > max_rows:
-        return False
-    wide = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    nested = [f.name for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    size = rows * 16 * len(df.columns)
-    if wide or nested:
-        texts = [F.col(c) for c in wide] + [F.to_json(F.struct(c)) for c in nested]
-        total = sum((F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint") for text in texts), F.lit(0))
-        size += df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
-    return size <= max_bytes
-
-
 def match(
     left: DataFrame,
     right: DataFrame,
@@ -39,23 +20,22 @@ def match(
     null_safe: bool = False,
     spread_by: Sequence[str] | None = None,
     left_counts: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Join ``left`` with ``right`` on equal ``on`` columns, kept once, taken from ``left``.
 
-    A ``right`` measured to be small is broadcast. Otherwise both sides are shuffled, and rows of
-    ``left`` whose key is crowded are spread over several tasks by the hash of ``spread_by`` (all
-    columns by default), with the matching rows of ``right`` repeated once per task. Rows that
-    agree in all of ``spread_by`` stay together; adaptive execution still splits those.
-    ``left_semi`` and ``left_anti`` use only the distinct keys of ``right``. ``left_counts``, the key
-    columns and a row count of each key of ``left``, saves counting them.
+    Spark picks the join from the sizes it knows, adaptive execution corrects it at run time and splits
+    skewed partitions; building the join starts no job. ``left_semi`` and ``left_anti`` use only the keys
+    of ``right``.
+
+    Callers that have counted the keys of ``left`` anyway pass ``left_counts``, the key columns and a row
+    count. Rows of ``left`` whose key is crowded are then spread over several tasks by the hash of
+    ``spread_by`` (all columns by default), with the matching rows of ``right`` repeated once per task.
     """
     if how not in _TYPES:
         raise ValueError(f"how must be one of {_TYPES}")
     on = [on] if isinstance(on, str) else list(on)
-    keys_only = how in ("left_semi", "left_anti")
-    if keys_only:
+    if how in ("left_semi", "left_anti"):
         right = right.select(*on)
     right_keys = [f"_right_{key}" for key in on]
     right = right.select(
@@ -63,18 +43,12 @@ def match(
         *[c for c in right.columns if c not in on],
     )
 
-    crowded = None
-    if fits_broadcast(right, max_rows):
-        right = F.broadcast(right)
-    else:
-        right = right.distinct() if keys_only else right
-        crowded = crowded_keys(left, on, group_rows, left_counts)
-
     equal = same_key(on, right_keys)
     if not null_safe:
         equal = F.lit(True)
         for key, name in zip(on, right_keys):
             equal = equal & (F.col(key) == F.col(name))
+    crowded = None if left_counts is None else crowded_keys(left_counts, on, group_rows)
     if crowded is not None:
         spread = F.xxhash64(*(spread_by or left.columns))
         left = part_counts(left, on, crowded).withColumn("_part", F.pmod(spread, F.col("_parts")).cast("int"))

@@ -9,19 +9,27 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import blank_to_null, line_amount, parse_date, parse_number
 from ..schemas import CRITICAL, ORDER_KEY
 from ..workspace import stable
-from .joins import BROADCAST_ROWS, match
+from .joins import match
 from .skew import GROUP_ROWS
 
 
-def explode_lines(raw: DataFrame) -> DataFrame:
-    """One row per product of an order, still text; orders without products give no row."""
+def explode_lines(raw: DataFrame, keep: str | None = None) -> DataFrame:
+    """One row per product of an order, still text; orders without products give no row.
+
+    ``keep`` names a column that marks records which are no orders: such a record gives one row with only that column.
+    """
     order = ["order_id", "customer_id", "purchase_date"]
-    return raw.select(*order, F.explode("products").alias("item")).select(
+    products, extra = F.col("products"), []
+    if keep is not None:
+        none = F.array(F.lit(None).cast(raw.schema["products"].dataType.elementType))
+        products, extra = F.when(F.col(keep).isNotNull(), none).otherwise(products), [keep]
+    return raw.select(*order, *extra, F.explode(products).alias("item")).select(
         *order,
         "item.product_id",
         F.col("item.name").alias("product_name"),
         "item.quantity",
         "item.price",
+        *extra,
     )
 
 
@@ -79,19 +87,18 @@ def with_customer_total(
     df: DataFrame,
     col_name: str = "customer_total_revenue",
     group_rows: int = GROUP_ROWS,
-    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the customer's sum of ``line_amount`` to each row; null customers form one group.
 
-    The totals are computed and stored once, with the lines per customer. Few totals are broadcast,
-    so the lines stay where they are; many are joined by a shuffle that spreads large customers.
+    The totals are computed and stored once, with the lines per customer; the join spreads customers with
+    more than ``group_rows`` lines over several tasks.
     """
     totals = stable(
         df.groupBy("customer_id").agg(F.sum("line_amount").alias(col_name), F.count(F.lit(1)).alias("_rows"))
     )
     return match(
         df, totals.drop("_rows"), "customer_id", "left", null_safe=True,
-        left_counts=totals.select("customer_id", "_rows"), max_rows=max_rows, group_rows=group_rows,
+        left_counts=totals.select("customer_id", "_rows"), group_rows=group_rows,
     )
 
 

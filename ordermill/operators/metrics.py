@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import line_amount
 from .joins import match
@@ -95,6 +95,8 @@ def rolling_daily(
     days without lines count as zero and lines without a day are left out, so ``rows`` means
     calendar days.
     """
+    if not isinstance(lines.schema[day].dataType, T.DateType):
+        raise ValueError(f"{day} must be a date")
     daily = lines.groupBy(day).agg(F.sum(value).alias(value))
     if contiguous:
         calendar = daily.agg(F.min(day).alias("first"), F.max(day).alias("last")).select(

@@ -4,7 +4,8 @@ Small groups use one native window. When a group outgrows ``group_rows`` the row
 partitioned by (group, order) into slices, each slice is computed on its own, and what must be
 carried over is worked out from one summary row per slice. In a range partitioning at most one
 group continues from an earlier slice, so there are at most as many carried rows as slices; that
-bounds what is broadcast. A ``group_bound`` that the caller knows saves counting the groups.
+bounds what is broadcast. A ``group_bound`` that the caller knows saves counting the groups. Both ways
+give the same types and values. A whole frame as one group (``group=[]``) always takes the slices.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..workspace import stable
+from ..workspace import kept
 from .skew import GROUP_ROWS, groups_fit, same_key
 
 _SLICE = "_slice"
@@ -23,11 +24,11 @@ _SEQ = "_seq"
 def _slices(df: DataFrame, group: Sequence[str], order: Sequence[Column], group_rows: int) -> DataFrame:
     """``df`` with its slice number; slices follow (group, order) and hold about a quarter of
     ``group_rows`` rows. The sequence number separates rows that agree in everything else."""
-    stored = stable(df)
+    stored = kept(df, "rows")
     count = max(1, -(-stored.count() * 4 // group_rows))
     numbered = stored.withColumn(_SEQ, F.monotonically_increasing_id())
     ranged = numbered.repartitionByRange(count, *[F.col(key) for key in group], *order, F.col(_SEQ))
-    return stable(ranged.withColumn(_SLICE, F.spark_partition_id()))
+    return kept(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
 def _carry(local: DataFrame, carried: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -46,24 +47,23 @@ def prefix_sum(
     group_bound: int | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the group up to and including this one."""
-    if groups_fit(df, group, group_rows, group_bound):
-        window = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(window))
-    sliced = _slices(df.withColumn("_value", value), group, order, group_rows)
-    inside = Window.partitionBy(*group, _SLICE).orderBy(*order, _SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    window = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    native = df.withColumn(out, F.sum(value).over(window))
+    if group and groups_fit(df, group, group_rows, group_bound):
+        return native
+    kind = native.schema[out].dataType
+    sliced = _slices(df.withColumn("_value", value.cast(kind)), group, order, group_rows)
     before = Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         sliced.groupBy(*group, _SLICE).agg(F.sum("_value").alias("_total"))
-        .withColumn("_before", F.sum("_total").over(before))
-        .where(F.col("_before").isNotNull())
-    )
-    local = sliced.withColumn("_local", F.sum("_value").over(inside))
-    total = F.coalesce(F.col("_before") + F.col("_local"), F.col("_before"), F.col("_local"))
-    return (
-        _carry(local, carried, group, ["_before"])
-        .withColumn(out, total)
-        .drop("_value", "_local", "_before", _SLICE, _SEQ)
+        .withColumn("_value", F.sum("_total").over(before).cast(kind))
+        .where(F.col("_value").isNotNull())
+        .select(*group, _SLICE, "_value", F.lit(True).alias("_carried"))
     )
+    # What earlier slices add up to is the first row of its slice, so one sum gives every total and no scale is lost.
+    rows = sliced.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    inside = Window.partitionBy(*group, _SLICE).orderBy(F.col("_carried").desc(), *order, _SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(out, F.sum("_value").over(inside).cast(kind)).where(~F.col("_carried")).select(*df.columns, out)
 
 
 def row_numbers(
@@ -92,7 +92,7 @@ def neighbour(
     if step not in (-1, 1):
         raise ValueError("step must be -1 or 1")
     shift = F.lag if step == -1 else F.lead
-    if groups_fit(df, group, group_rows, group_bound):
+    if group and groups_fit(df, group, group_rows, group_bound):
         return df.withColumn(out, shift(column).over(Window.partitionBy(*group).orderBy(*order)))
     sliced = _slices(df, group, order, group_rows)
     inside = Window.partitionBy(*group, _SLICE).orderBy(*order, _SEQ)

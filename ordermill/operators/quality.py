@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import ORDER_KEY
-from ..workspace import stable
+from ..workspace import kept, stable
 
 
 def duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEY) -> DataFrame:
@@ -146,7 +146,7 @@ def reconcile(before: DataFrame, after: DataFrame, col_name: str = "customer_tot
     columns in question of ``after`` are stored once, and so are their sums per customer and total.
     """
     money = "decimal(38,2)"
-    after = stable(after.select(*ORDER_KEY, "customer_id", "line_amount", col_name))
+    after = kept(after.select(*ORDER_KEY, "customer_id", "line_amount", col_name), "lines")
     per_total = stable(
         after.groupBy("customer_id", col_name).agg(
             F.sum("line_amount").alias("line_amount"),

@@ -11,9 +11,9 @@ from .joins import match
 from .ordered import prefix_sum, row_numbers
 from .skew import GROUP_ROWS, groups_fit
 
-# For a small top Spark itself cuts each group down in every task, before the shuffle. One task then
-# gets at most this many rows of a group from each task before it.
-NATIVE_TOP = 100
+# Up to this top Spark itself cuts each group down in every task, before the shuffle: the default of
+# spark.sql.optimizer.windowGroupLimitThreshold. One task then gets at most this many rows of a group from each before it.
+NATIVE_TOP = 1000
 
 
 def _names(order: Sequence[tuple[str, str]]) -> list[str]:
@@ -42,14 +42,15 @@ def ranked(
 
     ``how`` is ``row_number``, ``rank`` or ``dense_rank``; the last two give equal rows equal
     numbers and keep them all. ``group=[]`` ranks the whole frame. ``group_bound`` is a known bound
-    on the rows of a group.
+    on the rows of a group. Tops beyond ``NATIVE_TOP`` number all rows, in slices where a group is
+    large or is the whole frame, and give the same rows.
     """
     if how not in ("row_number", "rank", "dense_rank"):
         raise ValueError("how must be 'row_number', 'rank' or 'dense_rank'")
     group, columns = list(group), _columns(order)
     if how == "row_number":
         numbered = _row_number(df, group, columns, top, out, group_rows, group_bound)
-    elif groups_fit(df, group, group_rows, group_bound):
+    elif group and groups_fit(df, group, group_rows, group_bound):
         function = F.rank() if how == "rank" else F.dense_rank()
         numbered = df.withColumn(out, function.over(Window.partitionBy(*group).orderBy(*columns)))
         numbered = numbered if top is None else numbered.where(F.col(out) <= top)

@@ -1,8 +1,9 @@
 """Group sizes and crowded keys.
 
-One rule holds for every operator that must see a whole group at once: measure the largest group
-first (a map-side combined count of the key columns alone). Groups of at most ``GROUP_ROWS`` rows
-use Spark's own window or join; anything larger takes a path that spreads the group over tasks.
+One rule holds for windows that must see a whole group at once: measure the largest group first (a
+map-side combined count of the key columns alone). Groups of at most ``GROUP_ROWS`` rows use Spark's
+own window; anything larger takes a path that spreads the group over tasks and gives the same rows.
+Joins are left to Spark, unless the caller has the counts at hand.
 """
 
 from __future__ import annotations
@@ -43,19 +44,13 @@ def groups_fit(df: DataFrame, keys: Sequence[str], group_rows: int, group_bound:
     return group_sizes(df, keys).largest <= group_rows
 
 
-def crowded_keys(
-    df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS, counts: DataFrame | None = None
-) -> DataFrame | None:
-    """Keys with more than ``group_rows`` rows, and ``_parts``, the number of tasks each needs.
+def crowded_keys(counts: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
+    """Of ``counts``, keys and their numbers of rows: those with more than ``group_rows`` rows, and
+    ``_parts``, the number of tasks each needs.
 
     Returns None when there is none. The list has fewer than rows / ``group_rows`` entries, so
     broadcasting it is safe, and it is stored once so that every use sees the same keys.
-    ``counts`` holds the keys and their numbers of rows, where they are known already.
     """
-    if counts is None:
-        if group_sizes(df, keys).largest <= group_rows:
-            return None
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)))
     counts = counts.toDF(*keys, "n").where(F.col("n") > group_rows)
     crowded = stable(counts.select(*keys, F.ceil(F.col("n") / group_rows).cast("int").alias("_parts")))
     return None if crowded.isEmpty() else crowded

@@ -20,23 +20,15 @@ from ..workspace import staged, staging
 
 @dataclass(frozen=True)
 class SilverCounts:
-    """Counts for the log. Raw orders, corrupt records and lines are counted while the job runs, so a
-    stage that had to be repeated counts twice; silver lines are counted from the stored lines."""
+    """What a load did, counted from what it stored, but for raw orders: those are counted while the job reads
+    them, so a stage that had to be repeated counts twice."""
 
     raw_orders: int
     corrupt_records: int
     lines: int
-    quarantined: bool
+    quarantined: int
     silver_lines: int
-
-
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows, and corrupt records where the source reports them, while another action runs."""
-    figures = [F.count(F.lit(1)).alias("rows")]
-    if CORRUPT in df.columns:
-        figures.append(F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"))
-    seen = Observation(name)
-    return df.observe(seen, *figures), seen
+    purchase_dates: tuple[datetime.date, ...]
 
 
 def raw_to_silver(
@@ -50,38 +42,46 @@ def raw_to_silver(
     multiline: bool = True,
     quarantine_first: bool = False,
     blank_ids_are_null: bool = False,
+    tasks: int | None = None,
 ) -> SilverCounts:
     """Clean one ingest day into ``<silver>/order_lines``, replacing the purchase dates it has.
 
-    Rows without a critical value go to ``<silver>/_errors/ingest_date=<day>``. By default
-    duplicates are removed and customer totals computed before bad rows are set aside, so totals
-    include them; ``quarantine_first`` turns that round.
+    Rows without a critical value go to ``<silver>/_errors/ingest_date=<day>``, and so does every record that
+    is no order: its text is in ``corrupt_record``, and its reason ``corrupt record``. A rerun replaces that
+    folder, also by an empty one. By default duplicates are removed and customer totals computed before bad
+    rows are set aside, so totals include them; ``quarantine_first`` turns that round.
 
-    The raw data is read once: the unique lines are staged, and both outputs read the stage.
+    The raw data is read once: corrupt records and unique lines are staged, and the outputs read the stage.
+    Which rows are bad is seen before the customer totals are joined. ``tasks`` is passed to ``write_partitions``.
     """
     errors_path = errors_path or f"{silver_root.rstrip('/')}/_errors/ingest_date={ingest_date}"
-    raw, raw_seen = _counted(read_raw_orders(spark, ingest_path(raw_root, ingest_date), multiline), "raw")
-    lines, lines_seen = _counted(cleanse(explode_lines(raw), blank_ids_are_null), "lines")
+    raw = read_raw_orders(spark, ingest_path(raw_root, ingest_date), multiline)
+    seen = Observation("raw")
+    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     with staging(spark) as folder:
+        lines = cleanse(explode_lines(raw, keep=CORRUPT), blank_ids_are_null)
+        lines = staged(lines, f"{folder}/lines")
+        corrupt, lines = lines.where(F.col(CORRUPT).isNotNull()), lines.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
         if quarantine_first:
-            valid, bad = split_valid(staged(lines, f"{folder}/lines"))
+            valid, bad = split_valid(lines)
             unique = staged(deduplicate(valid, strategy=strategy), f"{folder}/unique")
             good = with_customer_total(with_line_amount(unique))
-            bad = with_line_amount(bad).withColumn(
-                "customer_total_revenue", F.lit(None).cast(good.schema["customer_total_revenue"].dataType)
-            ).select(*good.columns, "error_reason")
+            bad = with_line_amount(bad).withColumn("customer_total_revenue", F.lit(None).cast(good.schema["customer_total_revenue"].dataType))
+            kept = unique
         else:
             unique = staged(deduplicate(lines, strategy=strategy), f"{folder}/unique")
-            good, bad = split_valid(with_customer_total(with_line_amount(unique)))
-        quarantined = write_quarantine(bad, errors_path)
-        write_partitions(
-            good, f"{silver_root.rstrip('/')}/order_lines", "purchase_date",
-            sort_by=["product_id"], max_rows=unique.count(),
+            totalled = with_customer_total(with_line_amount(unique))
+            good, bad = split_valid(totalled)
+            kept = split_valid(unique)[0]
+        rejected = bad.select(*good.columns, "error_reason", F.lit(None).cast("string").alias("corrupt_record")).unionByName(
+            corrupt.select(F.lit("corrupt record").alias("error_reason"), F.col(CORRUPT).alias("corrupt_record")), allowMissingColumns=True)
+        quarantined = write_quarantine(rejected, errors_path)
+        write_partitions(good, f"{silver_root.rstrip('/')}/order_lines", "purchase_date", sort_by=["product_id"], tasks=tasks)
+        days = kept.groupBy("purchase_date").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per date
+        return SilverCounts(
+            seen.get["rows"], corrupt.count(), lines.count(), quarantined, sum(day.n for day in days),
+            tuple(sorted(day.purchase_date for day in days)),
         )
-        silver_lines = split_valid(unique)[0].count()
-    return SilverCounts(
-        raw_seen.get["rows"], raw_seen.get["corrupt"], lines_seen.get["rows"], quarantined, silver_lines
-    )
 
 
 def _on_dates(df: DataFrame, dates: Sequence[datetime.date | str] | None) -> DataFrame:
@@ -100,12 +100,13 @@ def silver_to_gold(
     snapshot: bool = True,
     write_current_tables: bool = True,
     changed_dates: Sequence[datetime.date | str] | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Publish product revenue (daily and overall), top products and order figures.
 
     ``changed_dates`` limits the daily tables to these purchase dates, whose silver partitions
-    alone are then read for them. Top lists are ranked from the stored revenue totals, which are far
-    smaller than silver.
+    alone are then read for them. Silver is read for daily totals, overall totals and order totals; top lists
+    are ranked from the stored revenue totals, which are far smaller. ``tasks`` is passed to ``write_partitions``.
     """
     gold = gold_root.rstrip("/")
     silver = spark.read.parquet(f"{silver_root.rstrip('/')}/order_lines")
@@ -113,11 +114,8 @@ def silver_to_gold(
 
     with staging(spark) as folder:
         daily = staged(product_totals(_on_dates(silver, changed_dates), "daily"), f"{folder}/daily")
-        rows = daily.count()
-        write_partitions(daily, f"{gold}/product_revenue", "purchase_date", max_rows=rows)
-        write_partitions(
-            top_of_totals(daily, top_n, "daily"), f"{gold}/top_products_daily", "purchase_date", max_rows=rows
-        )
+        write_partitions(daily, f"{gold}/product_revenue", "purchase_date", tasks=tasks)
+        write_partitions(top_of_totals(daily, top_n, "daily"), f"{gold}/top_products_daily", "purchase_date", tasks=tasks)
 
         write_current(product_totals(silver, "overall"), f"{gold}/product_revenue_overall")
         totals = spark.read.parquet(f"{gold}/product_revenue_overall")

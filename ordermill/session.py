@@ -4,7 +4,7 @@ from pyspark.sql import SparkSession
 
 
 def build(app_name: str = "ordermill", **options: str) -> SparkSession:
-    """A session in UTC with adaptive execution; ``options`` are extra Spark settings.
+    """A session in UTC with adaptive execution that removes old checkpoints; ``options`` are extra Spark settings.
 
     No operator depends on these settings: parsing and casting give the same result under any
     ANSI mode, parser policy or time zone.
@@ -13,6 +13,7 @@ def build(app_name: str = "ordermill", **options: str) -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for name, value in options.items():
         builder = builder.config(name.replace("__", "."), value)

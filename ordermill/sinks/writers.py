@@ -2,8 +2,8 @@
 
 Rows are gathered by partition value before a partitioned write, so that a partition gets few
 files. The ``rebalance`` hint lets adaptive execution split a partition value that holds much of
-the data over several tasks and join small ones, instead of sending each value to one task. A
-frame known to be small has mostly files to create, so that work is shared by all cores.
+the data over several tasks and join small ones, instead of sending each value to one task. Where
+creating many small files is most of the work, the caller passes how many tasks are to share it.
 """
 
 from __future__ import annotations
@@ -15,15 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..operators.history import upsert
 from ..operators.joins import match
-from ..workspace import staged, staging
+from ..workspace import remove, staged, staging
 
-SMALL_ROWS = 1_000_000
-
-
-def _over_all_cores(df: DataFrame, by: str) -> DataFrame:
-    """Each value of ``by`` in one task. The hash keeps Spark from falling back on an earlier
+def _by_value(df: DataFrame, by: str, tasks: int) -> DataFrame:
+    """Each value of ``by`` in one of ``tasks`` tasks. The hash keeps Spark from falling back on an earlier
     partitioning by the same column, which adaptive execution may have joined into one task."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(by))
+    return df.repartition(tasks, F.xxhash64(by))
 
 
 def write_partitions(
@@ -33,18 +30,18 @@ def write_partitions(
     mode: str = "overwrite",
     incremental: bool = True,
     sort_by: Sequence[str] = (),
-    max_rows: int | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Write ``df`` partitioned by ``by``.
 
     With ``incremental`` an overwrite replaces only the partitions that ``df`` has rows for; the
     setting belongs to this write, not to the session. ``sort_by`` orders the rows inside the
-    files, which makes their statistics selective. ``max_rows`` is a known bound on the rows.
+    files, which makes their statistics selective. Adaptive execution spreads the rows over tasks, unless
+    ``tasks`` gives their number; then a partition is one file.
     """
-    if max_rows is not None and max_rows <= SMALL_ROWS:
-        gathered = _over_all_cores(df, by)
-    else:
-        gathered = df.hint("rebalance", by)
+    if tasks is None and df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise RuntimeError("spark.sql.adaptive.enabled is off: pass tasks, as nothing else gathers the rows")
+    gathered = df.hint("rebalance", by) if tasks is None else _by_value(df, by, tasks)
     gathered = gathered.sortWithinPartitions(by, *sort_by)
     (
         gathered.write.mode(mode)
@@ -57,7 +54,7 @@ def write_partitions(
 def write_one_file_each(df: DataFrame, path: str, by: str, incremental: bool = True) -> None:
     """One file per partition value. Meant for aggregates: a value goes to a single task."""
     (
-        _over_all_cores(df, by).write.mode("overwrite")
+        _by_value(df, by, df.sparkSession.sparkContext.defaultParallelism).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
         .partitionBy(by)
         .parquet(path)
@@ -80,13 +77,12 @@ def write_current(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def write_quarantine(bad: DataFrame, path: str) -> bool:
-    """Write the rejected rows, if there are any; tells whether there were. They are few and come
-    from every task, so they are gathered into files of a sensible size."""
-    if bad.isEmpty():
-        return False
+def write_quarantine(bad: DataFrame, path: str) -> int:
+    """Replace what ``path`` holds by the rejected rows, also by none; returns their number.
+
+    They are few and come from every task, so they are gathered into files of a sensible size."""
     write_current(bad.hint("rebalance"), path)
-    return True
+    return bad.sparkSession.read.schema(bad.schema).parquet(path).count()
 
 
 def save_table(df: DataFrame, name: str, by: str | None = None) -> None:
@@ -106,20 +102,21 @@ def upsert_partitions(
     """Apply ``upsert`` to a partitioned table, rewriting only the partitions it touches: those of
     the updates and those that hold an older row of an updated key.
 
-    The merged rows are staged first, so no folder is overwritten while it is read.
+    The updates and the merged rows are staged first, so no folder is overwritten while it is read. Partitions
+    whose last row moved away are removed after the merged rows are in place: a run that failed in between leaves a moved
+    row in both, and running the same updates again removes it from the old one.
     """
     target = spark.read.parquet(path)
     if not isinstance(target.schema[by].dataType, (T.DateType, T.IntegralType)):
         raise ValueError("partitions must be dates or whole numbers")
-    outdated = match(target.select(*dict.fromkeys([*keys, by])), updates, keys, "left_semi", null_safe=True)
-    touched = outdated.select(by).union(updates.select(by)).distinct()
-    affected = match(target, touched, by, "left_semi", null_safe=True)
     with staging(spark) as folder:
+        updates = staged(updates, f"{folder}/updates")
+        outdated = match(target.select(*dict.fromkeys([*keys, by])), updates, keys, "left_semi", null_safe=True)
+        touched = staged(outdated.select(by).union(updates.select(by)).distinct(), f"{folder}/touched")
+        affected = match(target, touched, by, "left_semi", null_safe=True)
         merged = staged(upsert(affected, updates, keys, order_by), f"{folder}/merged")
-        # A partition whose last row moved away has nothing to be overwritten with: empty its folder.
-        emptied = match(touched, merged.select(by), by, "left_anti", null_safe=True)
-        values = [row[0] if row[0] is not None else "__HIVE_DEFAULT_PARTITION__" for row in emptied.collect()]
-        write_partitions(merged, path, by, max_rows=merged.count())
-        nothing = merged.drop(by).limit(0)
-        for value in values:
-            nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{by}={value}")
+        emptied = match(touched, merged.select(by).distinct(), by, "left_anti", null_safe=True)
+        values = [row[0] for row in emptied.collect()]  # partition values, never more than the table has folders
+        write_partitions(merged, path, by)
+    for value in values:
+        remove(spark, f"{path.rstrip('/')}/{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")

@@ -35,8 +35,8 @@ def ingest_path(raw_root: str, ingest_date: datetime.date | str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; ``schema=None`` infers the types."""
-    reader = spark.read.option("header", True)
+    """CSV with a header; ``schema=None`` infers the types. Times without an offset are UTC in any session."""
+    reader = spark.read.option("header", True).option("timeZone", "UTC")
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.csv(path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import day_of
@@ -9,22 +11,70 @@ from ..operators import average_order_value, match
 from ..plans import raw_to_silver, run_daily_sales, silver_to_gold
 from ..sinks import upsert_partitions, write_partitions, write_snapshot
 from ..sources import read_table
-from ..workspace import stable, staging
+from ..workspace import kept, stable, staging
 from .tables import LINES, RAW_SILVER, order_lines, orders, products, raw_orders, table, unpriced_lines
 
 DAY = "2025-09-25"
 
 
+def _loaded(spark: SparkSession, folder: str, root: str, **options):
+    """The raw orders as nested JSON files, loaded to silver. Most of the work is creating files, so all cores share it."""
+    raw_orders(spark, folder).write.json(f"{root}/raw/ingest_date={DAY}")
+    tasks = spark.sparkContext.defaultParallelism
+    return raw_to_silver(spark, f"{root}/raw", f"{root}/silver", DAY, multiline=False, tasks=tasks, **options)
+
+
 def gold_revenue(spark: SparkSession, folder: str) -> DataFrame:
     """Nested JSON files to silver to gold, and the product revenue found there."""
     with staging(spark) as root:
-        raw_orders(spark, folder).write.json(f"{root}/raw/ingest_date={DAY}")
-        raw_to_silver(spark, f"{root}/raw", f"{root}/silver", DAY, multiline=False)
-        silver_to_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_date=DAY)
+        _loaded(spark, folder, root)
+        silver_to_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_date=DAY, tasks=spark.sparkContext.defaultParallelism)
         # The result outlives the folder; it holds one row per product, or fewer.
         return stable(read_table(spark, f"{root}/gold/product_revenue_overall"))
 
 
+def gold_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """What the gold job writes next to overall revenue: daily revenue, daily and overall top lists, current and as snapshot."""
+    with staging(spark) as root:
+        _loaded(spark, folder, root)
+        silver_to_gold(spark, f"{root}/silver", f"{root}/gold", snapshot_date=DAY, top_n=5, tasks=spark.sparkContext.defaultParallelism)
+        lists = {"product_revenue": ("purchase_date", None), "top_products_daily": ("purchase_date", "rank"),
+                 "top_products_current": (None, "rank"), "top_products_snapshot": ("snapshot_date", "rank")}
+        rows = [
+            read_table(spark, f"{root}/gold/{name}").select(
+                F.lit(name).alias("list"), (F.col(day).cast("string") if day else F.lit(None).cast("string")).alias("day"),
+                "product_id", "product_name", "revenue", (F.col(rank) if rank else F.lit(None).cast("int")).alias("rank"))
+            for name, (day, rank) in lists.items()
+        ]
+        return kept(reduce(DataFrame.unionByName, rows), "lists")
+
+
+def silver_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The silver lines as stored, with their customers' totals."""
+    with staging(spark) as root:
+        _loaded(spark, folder, root)
+        return kept(read_table(spark, f"{root}/silver/order_lines"), "lines")
+
+
+def silver_lines_quarantine_first(spark: SparkSession, folder: str) -> DataFrame:
+    """The same when bad rows are set aside before duplicates are removed."""
+    with staging(spark) as root:
+        _loaded(spark, folder, root, quarantine_first=True)
+        return kept(read_table(spark, f"{root}/silver/order_lines"), "lines")
+
+
+def rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load sets aside: rows without a critical value, and records that are no orders."""
+    broken = table(spark, folder, "orders").where("o_orderkey % 50 = 1").select(
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"), F.struct(F.col("o_orderkey").alias("n")).alias("products"))
+    with staging(spark) as root:
+        broken.write.json(f"{root}/raw/ingest_date={DAY}")
+        raw_orders(spark, folder).write.mode("append").json(f"{root}/raw/ingest_date={DAY}")
+        raw_to_silver(spark, f"{root}/raw", f"{root}/silver", DAY, multiline=False, tasks=spark.sparkContext.defaultParallelism)
+        bad = spark.read.parquet(f"{root}/silver/_errors/ingest_date={DAY}")
+        return kept(bad.select("order_id", "product_id", "quantity", "error_reason", "corrupt_record"), "rejected")
+
+
 def gold_figures(spark: SparkSession, folder: str) -> DataFrame:
     """The order figures as the snapshot of one day."""
     with staging(spark) as root:
@@ -32,12 +82,12 @@ def gold_figures(spark: SparkSession, folder: str) -> DataFrame:
         return stable(read_table(spark, f"{root}/figures"))
 
 
-def csv_sales(spark: SparkSession, folder: str) -> DataFrame:
+def csv_sales(spark: SparkSession, folder: str, mark: str = "T12:00:00Z") -> DataFrame:
     """The daily sales job over the lines and products as CSV files."""
     lines = match(unpriced_lines(spark, folder), orders(spark, folder), "order_id")
     facts = lines.select(
         "order_id",
-        F.concat(F.col("purchase_date").cast("string"), F.lit("T12:00:00Z")).alias("order_ts"),
+        F.concat(F.col("purchase_date").cast("string"), F.lit(mark)).alias("order_ts"),
         "customer_id", "product_id", F.col("quantity").alias("qty"),
     )
     catalogue = products(spark, folder).select("product_id", F.col("product_name").alias("sku"), "category", "price")
@@ -48,6 +98,11 @@ def csv_sales(spark: SparkSession, folder: str) -> DataFrame:
         return stable(read_table(spark, f"{root}/out"))
 
 
+def csv_sales_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with times near midnight that have no offset: they are UTC in any session."""
+    return csv_sales(spark, folder, "T23:30:00")
+
+
 def replaced_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Orders per year after a second, incremental write of the urgent orders of 1995 alone."""
     source = table(spark, folder, "orders").select(
@@ -86,12 +141,50 @@ QUERIES = {
     "silver_gold_roundtrip": gold_revenue,
     "order_kpis_snapshot": gold_figures,
     "csv_daily_sales": csv_sales,
+    "csv_daily_sales_late": csv_sales_late,
+    "silver_lines": silver_lines,
+    "silver_lines_quarantine_first": silver_lines_quarantine_first,
+    "gold_lists": gold_lists,
+    "quarantine_sink": rejected,
     "incremental_overwrite": replaced_dates,
     "snapshot_rerun": snapshots,
     "partition_upsert": upserted_years,
 }
 
+_DAILY_SQL = f"""WITH {LINES}
+SELECT CAST(purchase_date AS VARCHAR) AS order_date, CAST(sum(line_amount) AS DOUBLE) AS gross_sales,
+       count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units FROM lines GROUP BY purchase_date"""
+_STORED_SQL = """SELECT order_id, customer_id, product_id, product_name, quantity, CAST(price AS DOUBLE) AS price,
+  CAST(line_amount AS DOUBLE) AS line_amount, CAST(total AS DOUBLE) AS customer_total_revenue, CAST(purchase_date AS VARCHAR) AS purchase_date"""
+_VALID_SQL = "order_id IS NOT NULL AND product_id IS NOT NULL AND purchase_date IS NOT NULL AND quantity IS NOT NULL AND price IS NOT NULL"
+_LATEST_SQL = """row_number() OVER (PARTITION BY order_id, product_id ORDER BY purchase_date DESC NULLS LAST, customer_id DESC NULLS LAST,
+  product_name DESC NULLS LAST, quantity DESC NULLS LAST, price DESC NULLS LAST)"""
+
 SQL = {
+    "csv_daily_sales_late": _DAILY_SQL,
+    "silver_lines": f"""WITH {RAW_SILVER}, t AS (SELECT *, CAST(quantity * price AS DECIMAL(18,2)) AS line_amount FROM raw_unique),
+w AS (SELECT *, sum(line_amount) OVER (PARTITION BY customer_id) AS total FROM t)
+{_STORED_SQL} FROM w WHERE {_VALID_SQL}""",
+    "silver_lines_quarantine_first": f"""WITH {RAW_SILVER}, v AS (SELECT *, {_LATEST_SQL} AS rn FROM raw_cleansed WHERE {_VALID_SQL}),
+t AS (SELECT *, CAST(quantity * price AS DECIMAL(18,2)) AS line_amount FROM v WHERE rn = 1),
+w AS (SELECT *, sum(line_amount) OVER (PARTITION BY customer_id) AS total FROM t)
+{_STORED_SQL} FROM w""",
+    "gold_lists": f"""WITH {RAW_SILVER},
+d AS (SELECT purchase_date, product_id, product_name, sum(line_amount) AS revenue FROM silver GROUP BY 1, 2, 3),
+o AS (SELECT product_id, product_name, sum(line_amount) AS revenue FROM silver GROUP BY 1, 2),
+dr AS (SELECT *, row_number() OVER (PARTITION BY purchase_date ORDER BY revenue DESC, product_id, product_name) AS rank FROM d),
+r AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, product_id, product_name) AS rank FROM o),
+u AS (SELECT 'product_revenue' AS list, CAST(purchase_date AS VARCHAR) AS day, product_id, product_name, revenue, NULL AS rank FROM d
+  UNION ALL SELECT 'top_products_daily', CAST(purchase_date AS VARCHAR), product_id, product_name, revenue, rank FROM dr WHERE rank <= 5
+  UNION ALL SELECT 'top_products_current', NULL, product_id, product_name, revenue, rank FROM r WHERE rank <= 5
+  UNION ALL SELECT 'top_products_snapshot', '{DAY}', product_id, product_name, revenue, rank FROM r WHERE rank <= 5)
+SELECT list, day, product_id, product_name, CAST(revenue AS DOUBLE) AS revenue, CAST(rank AS INTEGER) AS rank FROM u""",
+    "quarantine_sink": f"""WITH {RAW_SILVER}
+SELECT order_id, product_id, quantity, concat_ws(', ', CASE WHEN order_id IS NULL THEN 'order_id=NULL' END, CASE WHEN product_id IS NULL THEN 'product_id=NULL' END,
+  CASE WHEN purchase_date IS NULL THEN 'purchase_date=NULL' END, CASE WHEN quantity IS NULL THEN 'quantity=NULL' END,
+  CASE WHEN price IS NULL THEN 'price=NULL' END) AS error_reason, NULL AS corrupt_record
+FROM raw_unique WHERE NOT ({_VALID_SQL})
+UNION ALL SELECT NULL, NULL, NULL, 'corrupt record', '{{"order_id":"O' || o_orderkey || '","products":{{"n":' || o_orderkey || '}}}}' FROM orders WHERE o_orderkey % 50 = 1""",
     "silver_gold_roundtrip": f"""WITH {RAW_SILVER}
 SELECT product_id, product_name, CAST(sum(line_amount) AS DOUBLE) AS revenue, CAST(sum(quantity) AS BIGINT) AS total_quantity,
        count(DISTINCT order_id) AS order_count FROM silver GROUP BY 1, 2""",

@@ -29,6 +29,12 @@ def largest_orders(spark: SparkSession, folder: str) -> DataFrame:
     return ranked(totals, ["customer_id"], [("total", "desc")], "rank", 3, "rnk")
 
 
+def largest_1200(spark: SparkSession, folder: str) -> DataFrame:
+    """A top longer than Spark cuts groups down for: the 1,200 largest orders of all."""
+    totals = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
+    return ranked(totals, [], [("total", "desc"), ("order_id", "asc")], "row_number", 1200, "rnk")
+
+
 def priority_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """All orders of a customer, densely ranked by priority; many are equal."""
     totals = table(spark, folder, "orders").select(
@@ -63,6 +69,7 @@ def active_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "largest_1200_orders": largest_1200,
     "top_product_per_day_units": best_units_per_day,
     "dense_rank_daily": best_revenue_per_day,
     "rank_top3": largest_orders,
@@ -74,6 +81,8 @@ QUERIES = {
 }
 
 SQL = {
+    "largest_1200_orders": """SELECT order_id, total, CAST(rnk AS INTEGER) AS rnk FROM (
+  SELECT o_orderkey AS order_id, o_totalprice AS total, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rnk FROM orders) WHERE rnk <= 1200""",
     "top_product_per_day_units": f"""WITH {LINES},
 u AS (SELECT purchase_date, product_id, CAST(sum(quantity) AS BIGINT) AS units FROM lines GROUP BY 1, 2),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY purchase_date ORDER BY units DESC, product_id) AS INTEGER) AS rnk FROM u)

@@ -42,6 +42,14 @@ def name_parts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def open_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Open orders next to all others."""
+    totals = table(spark, folder, "orders").select(
+        F.year(day_of("o_orderdate")).alias("year"), "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("total")
+    )
+    return pivot(totals, ["year"], "o_orderstatus", ["O"], "total")
+
+
 def status_by_year(spark: SparkSession, folder: str) -> DataFrame:
     totals = table(spark, folder, "orders").select(
         F.year(day_of("o_orderdate")).alias("year"), "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("total")
@@ -92,6 +100,18 @@ def customer_history(spark: SparkSession, folder: str) -> DataFrame:
     return scd2(customers, changes, ["customer_id"], ["priority"], "seen")
 
 
+def order_history(spark: SparkSession, folder: str) -> DataFrame:
+    """History of two columns: a text with bars in it, and one that is often null."""
+    seen = table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("customer_id"), day_of("o_orderdate").alias("seen"), "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, "x|y").otherwise("x").alias("left_part"),
+        F.when(F.col("o_orderkey") % 3 == 0, "z").when(F.col("o_orderkey") % 3 == 1, "y|z").alias("right_part"))
+    first = seen.groupBy("customer_id", "seen").agg(F.min_by(F.struct("left_part", "right_part"), "o_orderkey").alias("state"))
+    none = first.limit(0).select("customer_id", "state.left_part", "state.right_part", F.col("seen").alias("valid_from"))
+    changes = first.select("customer_id", "state.left_part", "state.right_part", "seen")
+    return scd2(none, changes, ["customer_id"], ["left_part", "right_part"], "seen")
+
+
 QUERIES = {
     "surrogate_key": order_keys,
     "day_bucket": events_per_day,
@@ -99,11 +119,19 @@ QUERIES = {
     "text_fields": name_parts,
     "pivot_status": status_by_year,
     "unpivot_metrics": line_metrics,
+    "pivot_open_or_other": open_by_year,
     "upsert_orders": merged_orders,
     "scd2_customer": customer_history,
+    "scd2_two_columns": order_history,
 }
 
 SQL = {
+    "scd2_two_columns": """WITH s AS (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS day, min(o_orderkey) AS k FROM orders GROUP BY 1, 2),
+v AS (SELECT customer_id, day, CASE WHEN k % 3 = 0 THEN 'x|y' ELSE 'x' END AS l, CASE k % 3 WHEN 0 THEN 'z' WHEN 1 THEN 'y|z' END AS r FROM s),
+c AS (SELECT *, row_number() OVER w AS n, lag(l) OVER w AS pl, lag(r) OVER w AS pr FROM v WINDOW w AS (PARTITION BY customer_id ORDER BY day)),
+k AS (SELECT * FROM c WHERE n = 1 OR l IS DISTINCT FROM pl OR r IS DISTINCT FROM pr),
+d AS (SELECT *, lead(day) OVER (PARTITION BY customer_id ORDER BY day) AS until FROM k)
+SELECT customer_id, l AS left_part, r AS right_part, CAST(day AS VARCHAR) AS valid_from, CAST(until AS VARCHAR) AS valid_to, until IS NULL AS is_current FROM d""",
     "surrogate_key": """SELECT o_orderkey AS order_id, sha256(concat_ws('|', o_orderkey, o_custkey, o_orderstatus)) AS sk,
   md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus)) AS sk_md5,
   sha256(CASE WHEN o_orderstatus = 'P' THEN '?' ELSE o_orderstatus END || '|' || o_custkey) AS sk_marked FROM orders""",
@@ -115,7 +143,12 @@ SQL = {
     "pivot_status": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS "F",
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE) AS "O",
-  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'P') AS DOUBLE) AS "P"
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'P') AS DOUBLE) AS "P",
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')) AS DOUBLE) AS other
+FROM orders GROUP BY 1""",
+    "pivot_open_or_other": """SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE) AS "O",
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus <> 'O') AS DOUBLE) AS other
 FROM orders GROUP BY 1""",
     "unpivot_metrics": """SELECT l_orderkey AS order_id, l_linenumber AS line_no, 'discount' AS metric, l_discount AS value FROM lineitem
 UNION ALL SELECT l_orderkey, l_linenumber, 'tax', l_tax FROM lineitem""",

@@ -28,15 +28,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """``df`` written once to reliable storage: later reads see the same rows in the same order."""
+    """A small ``df`` (a list of keys, totals) checkpointed: later reads see the same rows in the same order."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as compressed Parquet to the shared folder, for results that the caller goes on to use.
+
+    For whole tables, where a checkpoint would store uncompressed rows. Spark does not remove these files; the folder
+    ``spark.checkpoint.dir`` is scratch space, to be emptied with the application.
+    """
+    return staged(df, f"{new_folder(df.sparkSession)}/{name}")
+
+
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/ordermill-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[str]:
     """A fresh shared folder, removed at the end."""
@@ -44,8 +58,7 @@ def staging(spark: SparkSession) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
 
 
 def staged(df: DataFrame, folder: str) -> DataFrame:

@@ -49,7 +49,8 @@ def test_json_array_and_json_lines(spark, tmp_path):
 def test_raw_to_silver(spark, tmp_path, lines):
     raw, silver = _write(tmp_path, ORDERS, lines=lines), str(tmp_path / "silver")
     counts = raw_to_silver(spark, raw, silver, DAY, multiline=not lines)
-    assert (counts.raw_orders, counts.corrupt_records, counts.lines, counts.quarantined, counts.silver_lines) == (4, 0, 8, True, 5)
+    assert (counts.raw_orders, counts.corrupt_records, counts.lines, counts.quarantined, counts.silver_lines) == (4, 0, 8, 2, 5)
+    assert [str(day) for day in counts.purchase_dates] == ["2023-01-01", "2023-01-02"]
     table = read_table(spark, f"{silver}/order_lines")
     assert tuples(table.select("order_id", "product_id", "quantity", F.col("line_amount").cast("double"),
                                F.col("customer_total_revenue").cast("double"), F.col("purchase_date").cast("string"))) == [
@@ -89,7 +90,9 @@ def test_corrupt_records_are_counted(spark, tmp_path):
     with open(f"{raw}/ingest_date={DAY}/more.json", "w") as file:
         file.write('{"order_id": "x", \n')
     counts = raw_to_silver(spark, raw, str(tmp_path / "silver"), DAY, multiline=False)
-    assert (counts.corrupt_records, counts.silver_lines) == (1, 2)
+    assert (counts.corrupt_records, counts.quarantined, counts.silver_lines) == (1, 1, 2)
+    bad = read_table(spark, str(tmp_path / "silver" / "_errors" / f"ingest_date={DAY}"))
+    assert tuples(bad, "order_id", "error_reason", "corrupt_record") == [(None, "corrupt record", '{"order_id": "x", ')]
 
 
 def test_empty_ingest(spark, tmp_path):
@@ -137,7 +140,7 @@ def test_incremental_and_full_overwrite(spark, tmp_path):
     df = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b') AS t(day, v)")
     path = str(tmp_path / "t")
     write_partitions(df, path, "day")
-    write_partitions(df.where("day = 2").withColumn("v", F.lit("c")), path, "day", max_rows=1)
+    write_partitions(df.where("day = 2").withColumn("v", F.lit("c")), path, "day", tasks=1)
     assert tuples(read_table(spark, path), "day", "v") == [(1, "a"), (2, "c")]
     write_partitions(df.where("day = 2"), path, "day", incremental=False)
     assert tuples(read_table(spark, path), "day", "v") == [(2, "b")]
@@ -171,8 +174,8 @@ def test_other_sinks(spark, tmp_path):
     write_current(spark.range(3), path)
     write_current(spark.range(1), path)
     assert read_table(spark, path).count() == 1
-    assert not write_quarantine(spark.range(0), str(tmp_path / "q")) and not os.path.exists(tmp_path / "q")
-    assert write_quarantine(spark.range(1), str(tmp_path / "q")) and read_table(spark, str(tmp_path / "q")).count() == 1
+    assert write_quarantine(spark.range(3), str(tmp_path / "q")) == 3 and read_table(spark, str(tmp_path / "q")).count() == 3
+    assert write_quarantine(spark.range(0), str(tmp_path / "q")) == 0 and read_table(spark, str(tmp_path / "q")).count() == 0
     aggregated = spark.range(30).groupBy((F.col("id") % 3).alias("day")).count()
     write_one_file_each(aggregated, str(tmp_path / "d"), "day")
     assert all(len([f for f in os.listdir(tmp_path / "d" / f"day={n}") if f.endswith(".parquet")]) == 1 for n in range(3))
@@ -195,6 +198,50 @@ def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
         upsert_partitions(spark, str(tmp_path / "text"), updates, ["k"], [F.desc("day")], "day")
 
 
+def test_an_upsert_that_failed_halfway_is_healed_by_a_rerun(spark, tmp_path, monkeypatch):
+    from ordermill.sinks import writers
+
+    path = str(tmp_path / "t")
+    write_partitions(spark.sql("SELECT * FROM VALUES (1, 'a', 2001), (2, 'b', 2002) AS t(k, v, year)"), path, "year")
+    updates = spark.sql("SELECT 2 AS k, 'B' AS v, 2003 AS year")
+    with monkeypatch.context() as patch:
+        patch.setattr(writers, "remove", lambda spark, folder: (_ for _ in ()).throw(OSError("gone")) if "year=" in folder else None)
+        with pytest.raises(OSError):
+            upsert_partitions(spark, path, updates, ["k"], [F.desc("year")], "year")
+    assert read_table(spark, path).count() == 3
+    upsert_partitions(spark, path, updates, ["k"], [F.desc("year")], "year")
+    assert tuples(read_table(spark, path), "k", "v", "year") == [(1, "a", 2001), (2, "B", 2003)]
+
+
+def test_upsert_starts_no_job_per_emptied_partition(spark, tmp_path):
+    def jobs(n):
+        path = str(tmp_path / f"t{n}")
+        write_partitions(spark.range(n).select("id", F.col("id").alias("year")), path, "year", tasks=2)
+        group = f"upsert {n}"
+        spark.sparkContext.setJobGroup(group, group)
+        upsert_partitions(spark, path, spark.range(n).select("id", F.lit(99).cast("bigint").alias("year")), ["id"], [F.desc("year")], "year")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted(d for d in os.listdir(path) if d.startswith("year=")) == ["year=99"]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(12) <= jobs(2) + 2
+
+
+def test_writes_need_adaptive_execution_or_a_number_of_tasks(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__enabled="false")
+    df = spark.range(5).select("id", F.lit(1).alias("day"))
+    with pytest.raises(RuntimeError):
+        write_partitions(df, str(tmp_path / "t"), "day")
+    write_partitions(df, str(tmp_path / "t"), "day", tasks=2)
+
+
+def test_csv_times_without_offset_are_utc(spark, settings, tmp_path):
+    (tmp_path / "o.csv").write_text("order_id,order_ts,customer_id,product_id,qty\n1,2025-03-21T23:30:00,1,10,2\n2,2025-03-21T23:30:00Z,1,10,2\n")
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        settings(spark__sql__session__timeZone=zone)
+        assert {r.t for r in read_orders_csv(spark, str(tmp_path / "o.csv")).select(F.unix_timestamp("order_ts").alias("t")).collect()} == {1742599800}
+
+
 def test_workspace(spark):
     with staging(spark) as folder:
         assert folder.startswith(shared_folder(spark))

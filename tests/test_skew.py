@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from ordermill.operators import match, neighbour, prefix_sum, ranked, row_numbers, running_total, scd2, with_customer_total
-from ordermill.operators.joins import fits_broadcast
 from ordermill.operators.skew import crowded_keys, group_sizes
 from tests.conftest import plan, tuples
 
@@ -34,9 +33,10 @@ def dim(spark):
 def test_group_sizes_and_crowded_keys(facts):
     assert group_sizes(facts, ["k"]).rows == 900
     assert group_sizes(facts, []).largest == 900
-    assert crowded_keys(facts, ["k"], 1000) is None
+    counts = facts.groupBy("k").count()
+    assert crowded_keys(counts, ["k"], 1000) is None
     largest = group_sizes(facts, ["k"]).largest
-    assert tuples(crowded_keys(facts, ["k"], 100)) == [(7, -(-largest // 100))]
+    assert tuples(crowded_keys(counts, ["k"], 100)) == [(7, -(-largest // 100))]
     assert tuple(group_sizes(facts.limit(0), ["k"])) == (0, 0)
 
 
@@ -45,21 +45,21 @@ def test_group_sizes_and_crowded_keys(facts):
 def test_spread_join_equals_plain_join(facts, dim, how, null_safe):
     condition = facts.k.eqNullSafe(dim.k) if null_safe else facts.k == dim.k
     plain = facts.join(dim, condition, how).drop(dim.k)
-    broadcast = match(facts, dim, "k", how, null_safe=null_safe)
-    shuffled = match(facts, dim, "k", how, null_safe=null_safe, max_rows=0)
-    spread = match(facts, dim, "k", how, null_safe=null_safe, max_rows=0, group_rows=20)
-    assert broadcast.columns == shuffled.columns == spread.columns == plain.columns
-    assert tuples(broadcast) == tuples(shuffled) == tuples(spread) == tuples(plain)
+    left_to_spark = match(facts, dim, "k", how, null_safe=null_safe)
+    spread = match(facts, dim, "k", how, null_safe=null_safe, left_counts=facts.groupBy("k").count(), group_rows=20)
+    assert left_to_spark.columns == spread.columns == plain.columns
+    assert tuples(left_to_spark) == tuples(spread) == tuples(plain)
 
 
 def test_spread_join_uses_many_tasks(facts, dim):
-    spread = match(facts.where("k = 7"), dim, "k", max_rows=0, group_rows=20).hint("merge")
+    crowd = facts.where("k = 7")
+    spread = match(crowd, dim, "k", left_counts=crowd.groupBy("k").count(), group_rows=20).hint("merge")
     assert spread.select(F.spark_partition_id()).distinct().count() > 1
 
 
 def test_spread_join_with_several_rows_per_key(facts, dim):
     twice = dim.unionByName(dim.withColumn("name", F.lit("again")))
-    assert tuples(match(facts, twice, "k", max_rows=0, group_rows=20)) == tuples(facts.join(twice, "k").select(*facts.columns, "name"))
+    assert tuples(match(facts, twice, "k", left_counts=facts.groupBy("k").count(), group_rows=20)) == tuples(facts.join(twice, "k").select(*facts.columns, "name"))
 
 
 def test_match_checks_its_arguments(facts, dim):
@@ -67,12 +67,42 @@ def test_match_checks_its_arguments(facts, dim):
         match(facts, dim, "k", "full")
 
 
-def test_fits_broadcast_counts_rows_and_bytes(spark):
-    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"))
-    assert fits_broadcast(df)
-    assert not fits_broadcast(df, max_rows=99)
-    assert not fits_broadcast(df, max_bytes=50_000)
-    assert fits_broadcast(df.select("id"), max_bytes=50_000)
+def test_adaptive_execution_splits_a_hot_key(spark, facts, dim, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+             spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1k", spark__sql__adaptive__advisoryPartitionSizeInBytes="1k",
+             spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    wide = facts.withColumn("text", F.sha2(F.col("id").cast("string"), 512))
+    joined = match(wide, dim.withColumn("more", F.sha2("name", 512)), "k")
+    assert joined.count() == facts.join(dim, "k").count()
+    rows = joined.collect()
+    assert rows and "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "decimal(30,10)", "decimal(38,10)", "int", "bigint", "double"])
+@pytest.mark.parametrize("group", [["k"], []])
+def test_sliced_sums_have_the_plain_type_and_value(facts, kind, group):
+    value = (F.col("id") * F.lit("0.0000000004" if kind == "decimal(30,10)" else "0.25").cast("decimal(20,10)")).cast(kind)
+    rows = facts.select("k", "id", F.when(F.col("id") % 11 != 0, value).alias("x"))
+    window = Window.partitionBy(*group).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    native = rows.withColumn("run_total", F.sum("x").over(window))
+    for group_rows in (20, 10_000):
+        got = running_total(rows, group, ["id"], "x", group_rows=group_rows)
+        assert got.dtypes == native.dtypes
+        assert tuples(got) == tuples(native)
+
+
+@pytest.mark.parametrize("group", [["k"], []])
+@pytest.mark.parametrize("how", ["row_number", "rank", "dense_rank"])
+def test_rows_agree_across_the_native_top(facts, group, how, monkeypatch):
+    from ordermill.operators import ranking
+
+    order = [("v", "desc"), ("id", "asc")]
+    for top in (99, 100, 101):
+        native = tuples(ranked(facts, group, order, how, top))
+        with monkeypatch.context() as patch:
+            patch.setattr(ranking, "NATIVE_TOP", 100)
+            got = ranked(facts, group, order, how, top, group_rows=30)
+            assert tuples(got) == native
 
 
 @pytest.mark.parametrize("group", [["k"], []])
@@ -94,8 +124,8 @@ def test_sliced_prefix_sum_splits_exact_copies(facts):
 @pytest.mark.parametrize("column", ["id", "amount"])
 def test_sliced_neighbours(facts, step, column):
     order = [F.col("v").desc(), F.col("id")]
-    assert tuples(neighbour(facts, ["k"], order, column, "other", step, 30)) == tuples(
-        neighbour(facts, ["k"], order, column, "other", step))
+    sliced, native = neighbour(facts, ["k"], order, column, "other", step, 30), neighbour(facts, ["k"], order, column, "other", step)
+    assert tuples(sliced) == tuples(native) and sliced.dtypes == native.dtypes
     with pytest.raises(ValueError):
         neighbour(facts, ["k"], order, column, "other", 2)
 
@@ -118,13 +148,10 @@ def test_ranks_check_their_arguments(facts):
 
 def test_customer_total_of_a_crowded_customer(facts):
     lines = facts.select(F.col("k").alias("customer_id"), "id", F.col("amount").alias("line_amount"))
-    broadcast, shuffled, spread = (
-        with_customer_total(lines, group_rows=group_rows, max_rows=max_rows)
-        for group_rows, max_rows in ((10_000, 10_000), (10_000, 0), (50, 0))
-    )
+    plain, spread = (with_customer_total(lines, group_rows=group_rows) for group_rows in (10_000, 50))
     by_window = lines.withColumn("customer_total_revenue", F.sum("line_amount").over(Window.partitionBy("customer_id")))
-    assert tuples(broadcast) == tuples(shuffled) == tuples(spread) == tuples(by_window)
-    assert "_right_part" in plan(spread) and "_right_part" not in plan(shuffled)
+    assert tuples(plain) == tuples(spread) == tuples(by_window) and plain.dtypes == spread.dtypes
+    assert "_right_part" in plan(spread) and "_right_part" not in plan(plain)
 
 
 def test_history_of_a_crowded_key(spark, facts):

@@ -35,7 +35,8 @@ def common_cut(text: str, left: np.ndarray, right: np.ndarray, low: int, high: i
     before it, and tokens after it only on text after it. Special strings hold no blank.
     """
     both = np.intersect1d(left[(left > low) & (left < high)], right)
-    return next((int(p) for p in both if text[p] in BLANKS and not text[p - 1].isspace()), None)
+    solid = lambda c: c.isalnum() or (c.isascii() and not c.isspace())  # noqa: E731  surely no blank in any table
+    return next((int(p) for p in both if text[p] in BLANKS and solid(text[p - 1])), None)
 
 
 def spliced(encode, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> np.ndarray:

@@ -106,16 +106,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
     Null ids come first; rows with the same id stand next to each other, ordered by a hash of their texts; equal rows all
     stay. An empty table gives an empty set. Other columns are ignored, whatever their names.
 
-    One pass encodes, deals the ids out by ranges of doc_id and stores them; the second counts them; the third replaces
-    them by ranks. Texts are encoded once, and only compressed ids are shuffled.
+    Texts are encoded once: the first pass stores compressed ids as the documents come, the second counts them, the third
+    deals them out by ranges of doc_id and replaces them by ranks. The ranges are sampled from the stored rows, not by
+    encoding again.
     """
     spark = docs.sparkSession
     staged = new_path(spark, "ids")
     try:
-        tokens = tokenized(texts(docs, id_col, text_col), tokenizer, end_id)
-        (tokens.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-         .select(F.monotonically_increasing_id().alias("position"), "doc_id", "n_tokens", "ids")
-         .write.option("compression", "none").parquet(staged))
+        tokenized(texts(docs, id_col, text_col), tokenizer, end_id).write.option("compression", "none").parquet(staged)
         tokens = spark.read.parquet(staged)
         order = token_ranks(tokens)
         rank = np.zeros(int(order.max()) + 1 if len(order) else 1, np.uint32)
@@ -129,6 +127,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
                            pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["position", "doc_id", "n_tokens", "control", "data"])
 
+        tokens = (tokens.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+                  .select(F.monotonically_increasing_id().alias("position"), "doc_id", "n_tokens", "ids"))
         (arrow_map(tokens, run, f"position long, doc_id {id_type(tokens)}, n_tokens long, control binary, data binary")
          .write.option("compression", "zstd").parquet(f"{folder}/documents"))
         table = spark.createDataFrame([(i, int(t)) for i, t in enumerate(order)], "rank long, token long")

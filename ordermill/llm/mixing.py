@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .frames import column, written
 
 #: A source's documents are ordered by a hash and cut into slices of about so many rows, each summed by itself.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 1_000
 WORD = r"[^\x20\x09-\x0D]+"
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -39,16 +39,16 @@ def water_filled(sources: DataFrame, share: float, epochs: int) -> DataFrame:
     in that order: L is what the first unclamped source and all after it share. One row per source, so the one task of
     these windows holds as many rows as there are sources.
     """
-    order = Window.orderBy(F.col("cap") / F.col("weight"), "place")
+    order = Window.orderBy(F.try_divide("cap", "weight").asc_nulls_last(), "place")
     everything = Window.partitionBy(F.lit(0))
     sources = (
         sources.withColumn("cap", (F.col("source_size") * epochs).cast("double"))
         .withColumn("left", F.sum("source_size").over(everything) * F.lit(float(share)) - F.coalesce(F.sum("cap").over(order.rowsBetween(*_BEFORE)), F.lit(0.0)))
         .withColumn("open", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(order.rowsBetween(*_BEFORE)), F.lit(0.0)))
         .withColumn("turn", F.row_number().over(order))
-        .withColumn("level", F.min(F.when(F.col("weight") * F.col("left") <= F.col("cap") * F.col("open"), F.struct("turn", "left", "open"))).over(everything))
+        .withColumn("level", F.min(F.when((F.col("weight") > 0) & (F.col("weight") * F.col("left") <= F.col("cap") * F.col("open")), F.struct("turn", "left", "open"))).over(everything))
     )
-    poured = F.col("weight") * F.col("level.left") / F.col("level.open")
+    poured = F.try_divide(F.col("weight") * F.col("level.left"), F.col("level.open"))
     target = F.when(F.col("weight") <= 0, 0.0).when(F.col("level").isNull() | (F.col("turn") < F.col("level.turn")), F.col("cap")).otherwise(poured)
     return sources.withColumn("target", F.coalesce(F.least(target, F.col("cap")), F.lit(0.0))).drop("left", "open", "turn", "level", "cap")
 

@@ -120,11 +120,11 @@ def _reach(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 class Runs:
-    """Runs of neighbouring windows with one anchor: ``first`` window (byte), ``size`` in windows, ``anchor``; and ``places``, the anchors' hashes wherever they stand."""
+    """Runs of neighbouring windows with one anchor: ``first`` window (byte), ``size`` in windows, ``anchor``; and ``places``, the anchors' hashes wherever they stand (``at``)."""
 
     def __init__(self, values: np.ndarray, offsets: np.ndarray, crowded: np.ndarray):
         none = np.zeros(0, np.int64)
-        self.first, self.size, self.anchor, self.places = none, none, none.astype(np.uint64), none.astype(np.uint64)
+        self.first, self.size, self.anchor, self.places, self.at = none, none, none.astype(np.uint64), none.astype(np.uint64), none
         n, width = len(values), WINDOW - GRAM + 1
         if n < WINDOW:
             return
@@ -147,7 +147,16 @@ class Runs:
         # a gram anchors some window if the largest of the least hashes of the windows around it is its own
         around = np.zeros(len(gram) + width - 1, np.uint64)
         around[width - 1:width - 1 + len(least)] = np.where(whole, least, np.uint64(0))
-        self.places = gram[_reach(around, width, np.maximum) == gram]
+        self.at = np.flatnonzero(_reach(around, width, np.maximum) == gram)
+        self.places = gram[self.at]
+
+    def alone(self) -> np.ndarray:
+        """Which runs hold their anchor only once."""
+        low = np.searchsorted(self.at, self.first)
+        n = np.searchsorted(self.at, self.first + self.size + WINDOW - GRAM) - low
+        inner = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        same = self.places[inner] == np.repeat(self.anchor, n)
+        return np.bincount(np.repeat(np.arange(len(n)), n), weights=same, minlength=len(n)) == 1
 
 
 def _steps(array: pa.Array):
@@ -193,7 +202,7 @@ def _split(part: int, bucket: np.ndarray):
 
 _ANCHORS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("grams", pa.binary()), ("twice", pa.binary())])
 _REPEATED = pa.schema([("part", pa.int64()), ("grams", pa.binary())])
-_STRINGS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("sizes", pa.binary()), ("twice", pa.binary()), ("packed", pa.binary()), ("n_bytes", pa.int64())])
+_STRINGS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("sizes", pa.binary()), ("grams", pa.binary()), ("twice", pa.binary()), ("alone", pa.binary()), ("packed", pa.binary()), ("n_bytes", pa.int64())])
 _FOUND = pa.schema([("part", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("bits", pa.binary())])
 
 
@@ -255,28 +264,33 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             runs = Runs(values, offsets, crowded)
             some = np.isin(runs.anchor, repeated)
             text = values.tobytes()
-            for a, n, gram in zip(runs.first[some].tolist(), runs.size[some].tolist(), runs.anchor[some].tolist()):
-                seen.setdefault(text[a:a + n + WINDOW - 1], [0, gram])[0] += 1
+            for a, n, gram, alone in zip(*(x[some].tolist() for x in (runs.first, runs.size, runs.anchor, runs.alone()))):
+                seen.setdefault(text[a:a + n + WINDOW - 1], [0, gram, alone])[0] += 1
         strings = list(seen)
         times = np.array([seen[s][0] for s in strings], np.int64)
+        grams = np.array([seen[s][1] for s in strings], np.uint64)
+        alone = np.array([seen[s][2] for s in strings], bool)
         rows = []
-        for b, own in _split(0, bucket_of(np.array([seen[s][1] for s in strings], np.uint64))):
+        for b, own in _split(0, bucket_of(grams)):
             chosen = [strings[i] for i in own.tolist()]
             joined = np.frombuffer(b"".join(chosen), np.uint8)
             rows.append({"bucket": b, "part": key[0].as_py(), "sizes": np.array([len(s) for s in chosen], "<i8").tobytes(), "twice": (times[own] > 1).tobytes(),
-                         "packed": squeezed(joined), "n_bytes": len(joined)})
+                         "grams": grams[own].tobytes(), "alone": alone[own].tobytes(), "packed": squeezed(joined), "n_bytes": len(joined)})
         return pa.Table.from_pylist(rows, _STRINGS)
 
     def compare(table: pa.Table) -> pa.Table:
         strings: dict[bytes, int] = {}
-        twice, of = [], []
-        for sizes, more, packed, n in zip(*(table.column(c).to_pylist() for c in ("sizes", "twice", "packed", "n_bytes"))):
+        twice, once, grams, of = [], [], [], []
+        for sizes, gram, more, alone, packed, n in zip(*(table.column(c).to_pylist() for c in ("sizes", "grams", "twice", "alone", "packed", "n_bytes"))):
             text, stop = unsqueezed(packed, n).tobytes(), np.cumsum(np.frombuffer(sizes, "<i8"))
             own = []
-            for a, b, again in zip([0, *stop[:-1].tolist()], stop.tolist(), np.frombuffer(more, bool).tolist()):
+            each = zip([0, *stop[:-1].tolist()], stop.tolist(), *(np.frombuffer(x, kind).tolist() for x, kind in ((gram, np.uint64), (more, bool), (alone, bool))))
+            for a, b, g, again, single in each:
                 k = strings.setdefault(text[a:b], len(strings))
                 if k == len(twice):
                     twice.append(again)
+                    once.append(single)
+                    grams.append(g)
                 else:
                     twice[k] = True
                 own.append(k)
@@ -285,8 +299,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         length = np.fromiter(map(len, strings), np.int64, len(strings))
         first, size = np.cumsum(length) - length, length - WINDOW + 1
         stop = np.cumsum(size)
-        judged = np.repeat(first - (stop - size), size) + np.arange(stop[-1])
-        found = repeated_windows(values, judged) | np.repeat(np.array(twice, bool), size)
+        # a string that is the only one with its anchor, and holds it once, has no window in common with any other place but its copies
+        _, which, n = np.unique(np.array(grams, np.uint64), return_inverse=True, return_counts=True)
+        sort = (n[which] > 1) | ~np.array(once, bool)
+        found = np.repeat(np.array(twice, bool), size)
+        some = np.flatnonzero(sort)
+        if len(some):
+            own = np.concatenate([values[first[k]:first[k] + length[k]] for k in some])
+            at = np.cumsum(length[some]) - length[some]
+            n = size[some]
+            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            place = np.repeat(stop[some] - n, n) + inner
+            found[place] |= repeated_windows(own, np.repeat(at, n) + inner)
         any_found = np.logical_or.reduceat(found, stop - size)
         keys = _keys(values, first, size)
         rows = []
@@ -334,6 +358,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_part = grouped.groupBy("part")
     anchors = by_part.applyInArrow(send_anchors, "bucket long, part long, grams binary, twice binary")
     repeated = anchors.groupBy("bucket").applyInArrow(match_anchors, "part long, grams binary")
-    strings = by_part.cogroup(repeated.groupBy("part")).applyInArrow(send_strings, "bucket long, part long, sizes binary, twice binary, packed binary, n_bytes long")
+    strings = by_part.cogroup(repeated.groupBy("part")).applyInArrow(send_strings, "bucket long, part long, sizes binary, grams binary, twice binary, alone binary, packed binary, n_bytes long")
     found = strings.groupBy("bucket").applyInArrow(compare, "part long, keys binary, sizes binary, bits binary")
     return by_part.cogroup(found.groupBy("part")).applyInArrow(remove, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .frames import written
@@ -21,7 +21,8 @@ def labelled(edges: DataFrame) -> DataFrame:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         nearer = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        new = written(nearer.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("label")), "labels")
-        if new.where("label <> old").isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+        new = nearer.join(jump, "mid").select("node", "old", F.least("mid", "far").alias("label"))
+        moved = Observation()  # counted while the labels are stored
+        labels = written(new.observe(moved, F.count_if(F.col("label") != F.col("old")).alias("n")), "labels").select("node", "label")
+        if not moved.get["n"]:
+            return labels

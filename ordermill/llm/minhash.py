@@ -21,8 +21,8 @@ COORDINATES, ROWS = 160, 4
 #: Pairs that no star links are confirmed only if this many of the sketches' low bits agree: at 0.75 similarity 140 of 160
 #: do on average, with a standard deviation of 4.2.
 AGREEING = 118
-#: Stars per bucket, before all pairs that are still apart in a bucket are looked at.
-STARS = 2
+#: Members of a bucket that are compared in one task with as many others.
+BLOCK = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -124,9 +124,7 @@ def _confirmed(pairs: DataFrame, kept: DataFrame) -> DataFrame:
             a, b, pa_, na, pb, nb = (batch.column(c).to_pylist() for c in ("a", "b", "packed_a", "n_a", "packed_b", "n_b"))
             good = []
             for i in range(len(a)):
-                one, two = shingle_set(a[i], pa_[i], na[i]), shingle_set(b[i], pb[i], nb[i])
-                same = len(one) + len(two) - len(np.unique(np.concatenate([one, two])))
-                good.append(100 * same >= SIMILAR * (len(one) + len(two) - same))
+                good.append(_similar(shingle_set(a[i], pa_[i], na[i]), shingle_set(b[i], pb[i], nb[i])))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     of = lambda x: kept.select(F.col("row").alias(x), F.col("packed").alias(f"packed_{x}"), F.col("n_bytes").alias(f"n_{x}"), F.col("n_shingles").alias(f"s_{x}"))
@@ -135,13 +133,67 @@ def _confirmed(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     return arrow_map(both, run, "a long, b long")
 
 
-def _apart(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows (bucket, row, label) of buckets whose members do not all have one label yet."""
-    if labels is None:
-        return members.withColumn("label", F.col("row"))
     members = members.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    mixed_ = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    return members.join(mixed_, "bucket")
+    differing = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
+    return members.join(differing, "bucket")
+
+
+def _links_in_blocks(apart: DataFrame, kept: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a bucket whose labels differ; of those that join the same two labels in one block, one.
+
+    A bucket is cut into blocks of about BLOCK members, and every two of its blocks meet in a task of their own: candidates
+    are compared and confirmed there and only links come out, so neither pairs nor a whole bucket are ever held together.
+    A pair is looked at in the first band it shares.
+    """
+    sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = apart.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("bucket", "row", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    rows = rows.join(kept.select("row", "packed", "n_bytes", "n_shingles", "bits0", "bits1", "bits2", "bands"), "row")
+
+    def run(table: pa.Table) -> pa.Table:
+        column_of = lambda c: table.column(c).to_numpy()
+        row, label, block, size = (column_of(c) for c in ("row", "label", "block", "n_shingles"))
+        bits = np.stack([column_of(f"bits{k}") for k in range(3)], axis=1)
+        bands = np.array(table.column("bands").to_pylist(), np.int64)
+        bucket, same_block = table.column("bucket")[0].as_py(), table.column("low")[0] == table.column("high")[0]
+        packed, n_bytes = table.column("packed"), column_of("n_bytes")
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        @lru_cache(maxsize=4 * BLOCK)
+        def shingle_set(i):
+            return np.unique(shingles(unsqueezed(packed[i].as_py(), n_bytes[i]), np.array([0, n_bytes[i]]))[2])
+
+        found = []
+        for i in np.argsort(row).tolist():
+            fits = (label != label[i]) & ((row > row[i]) if same_block else ((block != block[i]) & (block > block[i])))
+            fits &= (size * 100 >= size[i] * SIMILAR) & (size[i] * 100 >= size * SIMILAR)
+            fits &= np.bitwise_count(bits ^ bits[i]).sum(axis=1) <= COORDINATES - AGREEING
+            some = np.flatnonzero(fits)
+            if len(some):
+                equal = bands[some] == bands[i]
+                some = some[bands[i][equal.argmax(axis=1)] == bucket]
+            for j in some.tolist():
+                if root(label[i]) != root(label[j]) and _similar(shingle_set(i), shingle_set(j)):
+                    parent[root(label[i])] = root(label[j])
+                    found.append((row[i], row[j]))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table([pa.array(pairs.min(axis=1) if len(pairs) else pairs[:, 0]), pa.array(pairs.max(axis=1) if len(pairs) else pairs[:, 1])], ["a", "b"])
+
+    return rows.groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long")
+
+
+def _similar(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sets, as sorted arrays, are similar enough."""
+    same = len(one) + len(two) - len(np.unique(np.concatenate([one, two])))
+    return 100 * same >= SIMILAR * (len(one) + len(two) - same)
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -154,37 +206,29 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     smallest; a group of only null ids has a null component and keeps all its rows. An empty table gives an empty result;
     other columns are ignored, whatever their names.
 
-    Pairs come from the buckets of banded sketches, first as stars: one member of a bucket with all others. Only buckets
-    whose members are still apart after that are looked at in full, and only pairs of different components whose sketches
-    agree enough are confirmed. So a group of many near copies costs a few pairs per member, and no link is left out but
-    with the sketch's own probability. Every link is confirmed on the full sets. Hot buckets and hot members meet in inner
-    joins only, which Spark splits.
+    Pairs come from the buckets of banded sketches, first as stars: the member with most company in all its buckets is
+    compared with all others, so that the text which many are copies of is found. Only buckets whose members are still
+    apart after that are looked at in full, block by block, and of those only pairs of different components whose sizes
+    and sketches' bits allow a link. So a group of many near copies sends a few rows per member, and no link is left out
+    but with the sketch's own probability. Every link is confirmed on the full sets. Hot buckets and hot members meet in
+    inner joins and bounded blocks only.
     """
     staged = written(_sketched(texts(docs, id_col, text_col)), "sketches")
     classes = written(staged.where("key is not null").groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id")), "classes")
     banded = staged.select("row", "bands").join(classes.select("row"), "row").select("row", F.explode("bands").alias("bucket"))
-    crowded = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("row").alias("centre")).where("n > 1")
-    members = written(banded.join(crowded, "bucket").select("bucket", "row", "centre"), "buckets")
-    kept = staged.select("row", "packed", "n_bytes", "n_shingles", "bits0", "bits1", "bits2")
-    kept = written(kept.join(members.select("row").distinct(), "row"), "candidates")
-
-    links = written(_confirmed(members.where("row <> centre").select(F.col("centre").alias("a"), F.col("row").alias("b")).distinct(), kept), "links")
+    crowded = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = written(banded.join(crowded, "bucket"), "buckets")
+    company = members.groupBy("row").agg(F.sum("n").alias("company"))
+    kept = staged.select("row", "packed", "n_bytes", "n_shingles", "bits0", "bits1", "bits2", "bands").join(company, "row")
+    kept = written(kept, "candidates")
+    centres = members.join(kept.select("row", "company"), "row").groupBy("bucket").agg(F.max(F.struct("company", "row")).alias("c"))
+    stars = members.join(centres.select("bucket", F.col("c.row").alias("centre")), "bucket").where("row <> centre")
+    stars = stars.select(F.least("centre", "row").alias("a"), F.greatest("centre", "row").alias("b")).distinct()
+    links = written(_confirmed(stars, kept), "links")
     labels = labelled(links)
-    members = members.select("bucket", "row")
-    for turn in range(1, STARS):
-        apart = written(_apart(members, labels), "apart")
-        spread = F.xxhash64(F.lit(turn), "bucket", "row")
-        centres = apart.groupBy("bucket").agg(F.min(F.struct(spread.alias("h"), "row", "label")).alias("c")).select("bucket", "c.row", "c.label")
-        star = apart.alias("m").join(centres.alias("c"), "bucket").where("m.label <> c.label").select(
-            F.least("m.row", "c.row").alias("a"), F.greatest("m.row", "c.row").alias("b")).distinct()
-        links = written(links.union(_confirmed(star, kept)), "links")
-        labels = labelled(links)
-    apart = written(_apart(members, labels).join(kept.select("row", "n_shingles", "bits0", "bits1", "bits2"), "row"), "apart")
-    differing = sum(F.bit_count(F.col(f"x.bits{k}").bitwiseXOR(F.col(f"y.bits{k}"))) for k in range(3))
-    rest = apart.alias("x").join(apart.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.row") < F.col("y.row")) & (F.col("x.label") != F.col("y.label"))
-                                 & (F.col("x.n_shingles") * 100 >= F.col("y.n_shingles") * SIMILAR) & (F.col("y.n_shingles") * 100 >= F.col("x.n_shingles") * SIMILAR)
-                                 & (differing <= COORDINATES - AGREEING)).select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
-    links = written(links.union(_confirmed(rest, kept)), "links")
+
+    apart = written(_apart(members.select("bucket", "row"), labels), "apart")
+    links = written(links.union(_links_in_blocks(apart, kept)), "links")
     labels = labelled(links)
 
     named = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ordermill.workspace import shared_folder
 
 #: Text handled at once inside a task; larger single texts are handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def column(name: str) -> Column:
@@ -93,8 +93,8 @@ def buffer(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def squeezed(values: np.ndarray) -> bytes:
-    return pa.Codec("zstd", compression_level=3).compress(values.tobytes(), asbytes=True)
+def squeezed(values: np.ndarray, level: int = 3) -> bytes:
+    return pa.Codec("zstd", compression_level=level).compress(values.tobytes(), asbytes=True)
 
 
 def unsqueezed(data: bytes, n: int) -> np.ndarray:

@@ -31,15 +31,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Values hashed at once; the tables of powers need not be longer than this and the longest span.
+STRETCH = 1 << 20
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for each span; equal spans hash alike wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    sums = np.empty(len(values) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(values)), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * powers(INVERSE, len(values) + 1)[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of values[start:end] for each span; equal spans hash alike wherever they stand.
+
+    Starts and ends must not decrease.
+    """
+    out = np.empty(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + STRETCH)))
+        low, part = starts[a], values[starts[a]:ends[b - 1]]
+        begin, end = starts[a:b] - low, ends[a:b] - low
+        sums = np.empty(len(part) + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(part)), out=sums[1:])
+        hashes = (sums[end] - sums[begin]) * powers(INVERSE, len(part) + 1)[begin]
+        out[a:b] = mixed(hashes + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        a = b
+    return out
 
 
 def words(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -16,9 +16,9 @@ from .frames import arrow_map, buffer, column, ship, slices, squeezed, unsqueeze
 from .hashing import BASE, mixed, span_hashes, windows, words
 
 #: Words of a window and of a minimiser.
-WINDOW, MINIMISER = 13, 4
-#: Text of a part: the documents one task call handles together. There are as many buckets as parts.
-PART_BYTES = 8 << 20
+WINDOW, MINIMISER = 13, 3
+#: Text of a part: the documents one task call handles together.
+PART_BYTES = 2 << 20
 #: A minimiser is crowded if it has more than this share of all super-k-mers, so there are fewer than 1 / CROWDED of them.
 CROWDED = 1 / 4000
 #: Ids above all: what a null id counts as.
@@ -144,7 +144,7 @@ def _pack(part: int, bucket: np.ndarray, texts: list[bytes], ids: np.ndarray):
         own = order[a:b]
         joined = b"\n".join([texts[i] for i in own.tolist()])
         yield {"bucket": int(bucket[own[0]]), "part": part, "numbers": own.astype("<i4").tobytes(), "ids": ids[own].astype("<i8").tobytes(),
-               "packed": squeezed(np.frombuffer(joined, np.uint8)), "n_bytes": len(joined)}
+               "packed": squeezed(np.frombuffer(joined, np.uint8), level=6), "n_bytes": len(joined)}
 
 
 _SENT = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("numbers", pa.binary()), ("ids", pa.binary()), ("packed", pa.binary()), ("n_bytes", pa.int64())])

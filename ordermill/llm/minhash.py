@@ -97,17 +97,17 @@ def _sketched(docs: DataFrame) -> DataFrame:
             rows = {i: k for k, i in enumerate(some.tolist())}
             pick = [rows.get(i) for i in range(len(n))]
             columns = [
-                batch.column("doc_id"), batch.column("row"), pa.array(size),
+                batch.column("doc_id"), batch.column("row"), batch.column("text_key"), pa.array(size),
                 pa.array([None if k is None else key[k].tobytes() for k in pick], pa.binary()),
                 *(pa.array([None if k is None else bits[k, j] for k in pick], pa.int64()) for j in range(3)),
                 pa.array([None if k is None else bands[k] for k in pick], pa.list_(pa.int64())),
                 pa.array([None if k is None else squeezed(values[offsets[i]:offsets[i + 1]]) for i, k in enumerate(pick)], pa.binary()),
                 pa.array(np.diff(offsets), pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "key", "bits0", "bits1", "bits2", "bands", "packed", "n_bytes"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "text_key", "n_shingles", "key", "bits0", "bits1", "bits2", "bands", "packed", "n_bytes"])
 
-    docs = docs.withColumn("row", F.monotonically_increasing_id())
-    return arrow_map(docs, run, f"doc_id {id_type(docs)}, row long, n_shingles long, key binary, bits0 long, bits1 long, bits2 long, "
+    docs = docs.withColumn("row", F.monotonically_increasing_id()).withColumn("text_key", F.xxhash64("text"))
+    return arrow_map(docs, run, f"doc_id {id_type(docs)}, row long, text_key long, n_shingles long, key binary, bits0 long, bits1 long, bits2 long, "
                                 "bands array<long>, packed binary, n_bytes long")
 
 
@@ -213,6 +213,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     but with the sketch's own probability. Every link is confirmed on the full sets. Hot buckets and hot members meet in
     inner joins and bounded blocks only.
     """
+    return _judged(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``components``, and of each the xxhash64 of its text as ``text_key``."""
     staged = written(_sketched(texts(docs, id_col, text_col)), "sketches")
     classes = written(staged.where("key is not null").groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id")), "classes")
     banded = staged.select("row", "bands").join(classes.select("row"), "row").select("row", F.explode("bands").alias("bucket"))
@@ -234,15 +239,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     named = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = named.join(smallest, "label").select("key", "component_id")
-    rows = staged.select("doc_id", "n_shingles", "key").join(found, "key", "left")
+    rows = staged.select("doc_id", "text_key", "n_shingles", "key").join(found, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rows.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``components`` keeps, with all their columns; equal rows become one.
+    """The rows of ``docs`` that ``components`` keeps, with all their columns.
 
-    Rows with null ids are all kept.
+    Rows are told apart by their ids and texts, null ids included: what ``components`` says of a row holds for the rows
+    with its id and text only.
     """
-    kept = components(docs, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, column(id_col) == F.col("__kept_id"), "left_semi")
+    kept = _judged(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key")).distinct()
+    same = column(id_col).eqNullSafe(F.col("__kept_id")) & (F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit(""))) == F.col("__kept_key"))
+    return docs.join(kept, same, "left_semi")

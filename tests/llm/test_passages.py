@@ -97,6 +97,12 @@ def test_one_of_each_keeps_columns(documents):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_one_of_each_keeps_rows_without_ids(documents, prose):
+    kept = {text for (_, text), (key, _, _, keep) in zip(prose, brute.components(prose)) if keep and key is None}
+    got = [r.text for r in one_of_each(documents).where("doc_id is null").collect()]
+    assert sorted(got) == sorted(text for key, text in prose if key is None and text in kept) == ["only here and nowhere else at all"]
+
+
 def test_crowd_of_near_copies(spark):
     base = [f"w{k}" for k in range(60)]
     rows = [(k, " ".join(base[:k % 50] + [f"new{k}"] + base[k % 50 + 1:])) for k in range(120)] + [(500, " ".join(base[::-1]))]

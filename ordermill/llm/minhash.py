@@ -6,7 +6,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .components import labelled
@@ -213,13 +213,23 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     but with the sketch's own probability. Every link is confirmed on the full sets. Hot buckets and hot members meet in
     inner joins and bounded blocks only.
     """
-    return _judged(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+    staged, named = _linked(docs, id_col, text_col)
+    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    found = named.join(smallest, "label").select("key", "component_id")
+    rows = staged.select("doc_id", "n_shingles", "key").join(found, "key", "left")
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``components``, and of each the xxhash64 of its text as ``text_key``."""
+def _linked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The staged rows, and the classes of equal words: key, row, first_id, first (the least id with its text_key) and label.
+
+    Classes with one label are one component. ``first`` is null where all ids are.
+    """
     staged = written(_sketched(texts(docs, id_col, text_col)), "sketches")
-    classes = written(staged.where("key is not null").groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id")), "classes")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("first")
+    classes = staged.where("key is not null").groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"), first)
+    classes = written(classes, "classes")
     banded = staged.select("row", "bands").join(classes.select("row"), "row").select("row", F.explode("bands").alias("bucket"))
     crowded = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = written(banded.join(crowded, "bucket"), "buckets")
@@ -236,20 +246,39 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     links = written(links.union(_links_in_blocks(apart, kept)), "links")
     labels = labelled(links)
 
-    named = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = named.join(smallest, "label").select("key", "component_id")
-    rows = staged.select("doc_id", "text_key", "n_shingles", "key").join(found, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return staged, classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``components`` keeps, with all their columns.
+    """One row of ``docs`` for each component, with all its columns: that with the smallest id.
+
+    Where the smallest id stands at several texts of a component, the text with the least xxhash64 is taken, and of rows with
+    equal id and text that whose other columns come first as JSON. Components with null ids only keep all their rows, as no
+    id tells these apart. A text without words is a component of its own; of equal ones with one id, one is kept.
 
-    Rows are told apart by their ids and texts, null ids included: what ``components`` says of a row holds for the rows
-    with its id and text only.
+    Rows that repeat neither id nor text need no comparison and pass a semi-join; only the others are grouped.
     """
-    kept = _judged(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key")).distinct()
-    same = column(id_col).eqNullSafe(F.col("__kept_id")) & (F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit(""))) == F.col("__kept_key"))
-    return docs.join(kept, same, "left_semi")
+    staged, named = _linked(docs, id_col, text_col)
+    named = written(named.select("key", "label", "first"), "named")
+    firsts = named.groupBy("label").agg(F.min("first").alias("first"))
+    nameless = named.join(firsts.where("first is null").select("label"), "label").select("key")
+    keyed = staged.select("doc_id", "text_key", "key")
+    chosen = (firsts.where("first is not null").select("first.*")
+              .union(keyed.where("key is null").select("doc_id", "text_key").distinct())
+              .union(keyed.where("doc_id is null").distinct().join(nameless, "key").select("doc_id", "text_key")).distinct())
+    repeats = keyed.where("doc_id is not null").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").withColumn("repeated", F.lit(True))
+    chosen = chosen.join(repeats, ["doc_id", "text_key"], "left")
+    chosen = chosen.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key"), F.coalesce("repeated", F.lit(False)).alias("repeated"))
+    crowd = Observation()  # counted while the choice is stored
+    chosen = written(chosen.observe(crowd, F.count_if("repeated").alias("n")), "chosen").select("__kept_id", "__kept_key", "repeated")
+
+    text_key = F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit("")))
+    same = column(id_col).eqNullSafe(F.col("__kept_id")) & (text_key == F.col("__kept_key"))
+    single = docs.join(chosen.where("not repeated"), same, "left_semi")
+    if not crowd.get["n"]:
+        return single
+    others = F.to_json(F.struct(*(column(c) for c in docs.columns if c not in (id_col, text_col)), F.lit(0).alias("__none")))
+    whole = docs.select(F.struct(*(column(c) for c in docs.columns)).alias("__whole"), column(id_col).alias("__id"), text_key.alias("__key"), others.alias("__others"))
+    several = whole.join(chosen.where("repeated"), (F.col("__id") == F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key")), "left_semi")
+    several = several.groupBy("__id", "__key").agg(F.min_by("__whole", "__others").alias("__whole"))
+    return single.union(several.select("__whole.*"))

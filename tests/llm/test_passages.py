@@ -1,5 +1,6 @@
 """Passage removal, near-duplicates and decontamination against plain versions."""
 
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -103,6 +104,20 @@ def test_one_of_each_keeps_rows_without_ids(documents, prose):
     assert sorted(got) == sorted(text for key, text in prose if key is None and text in kept) == ["only here and nowhere else at all"]
 
 
+def test_one_of_each_keeps_one_row_of_a_component(spark, documents, prose):
+    judged = brute.components(prose)
+    want = Counter({key: 1 for key, _, _, keep in judged if keep and key is not None}) + Counter(key for key, _, _, keep in judged if keep and key is None)
+    assert Counter(r.doc_id for r in one_of_each(documents).collect()) == want
+
+    words = [f"w{k}" for k in range(60)]
+    text, near, apart = " ".join(words), " ".join(words[:-1] + ["end"]), " ".join(words[::-1])
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "a"), (1, near, "c"), (2, text, "d"), (1, apart, "e"), (9, apart, "f"), (3, "", "g"), (3, "", "g"), (None, text, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    kept = tuples(one_of_each(docs))
+    first = min([text, near], key=lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0])
+    assert kept == ordered([(1, first, "a" if first == text else "c"), (1, apart, "e"), (3, "", "g")])
+
+
 def test_crowd_of_near_copies(spark):
     base = [f"w{k}" for k in range(60)]
     rows = [(k, " ".join(base[:k % 50] + [f"new{k}"] + base[k % 50 + 1:])) for k in range(120)] + [(500, " ".join(base[::-1]))]

@@ -46,6 +46,20 @@ SENTENCES = {
     "this work is dedicated to the public domain": "publicdomain",
     "released into the public domain": "publicdomain",
 }
+#: Sentences that the originals run together on one line or go on with, and the identifiers they stand for.
+#: They are looked up by ``scan`` only.
+_ASIS = "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"
+_WARRANTY = f"{_ASIS} without warranties or conditions of any kind either express or implied"
+_BY_ID = {identifier: sentence for sentence, identifier in SENTENCES.items()}
+JOINED = {
+    f"licensed under the apache license version 2 0 the license {_BY_ID['apache2comply']}": "apache2;apache2comply",
+    _WARRANTY: "apache2asis",
+    **{f"{_BY_ID['apache2copy']} {site} www apache org licenses license 2 0{rest}": ids
+       for site in ("http", "https") for rest, ids in (("", "apache2copy"), (f" {_ASIS}", "apache2copy;apache2asis"), (f" {_WARRANTY}", "apache2copy;apache2asis"))},
+    f"{_BY_ID['mitgrant']} {_BY_ID['mitnotice']}": "mitgrant;mitnotice",
+    f"{_BY_ID['bsdgrant']} 1": "bsdgrant",
+    f"{_BY_ID['bsdgrant']} {_BY_ID['bsdsource']}": "bsdgrant;bsdsource",
+}
 #: Ordered rules (pattern over the identifiers, each followed by a semicolon; licence; whether it permits reuse).
 #: A rule takes what it matches out of the sequence, so longer forms stand before the forms they contain.
 RULES = (
@@ -67,8 +81,9 @@ RULES = (
     ("publicdomain;", "public-domain", True),
     ("reserved;", "all-rights-reserved", False),
 )
-#: A sentence ends at a line's end, and after . ! or ? before white space.
-ENDS = r"\n|(?<=[.!?])[\x20\x09-\x0D]+"
+#: A sentence ends at a blank line, and after . ! or ? before white space, but not between "v." and a number. It may also end
+#: at any other line's end, but need not.
+ENDS = r"\n[\x20\x09-\x0D]*\n|(?<=[.!?])(?<!\b[vV]\.(?=[\x20\x09-\x0D]{1,9}[0-9]))[\x20\x09-\x0D]+"
 #: Text without any of these words has no known sentence. Fixed values.
 HINT = "(?i)licen[cs]e|rights reserved|redistribut|hereby granted|permission notice|public domain|endorse or promote"
 
@@ -79,12 +94,19 @@ def normal(sentence: Column) -> Column:
 
 
 def sequence_of(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order, each followed by a semicolon."""
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    # only sentences with a hint are normalised and looked up
+    """Identifiers of the known sentences of a text, in order, each followed by a semicolon.
+
+    Of the known sentences that begin at a line the longest counts, so a wrapped one comes before those within its lines.
+    """
+    sentences = SENTENCES | JOINED
+    known = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
+    longest = "|".join(s.replace(" ", "[ \n]") for s in sorted(sentences, key=len, reverse=True))
+    # only stretches with a hint are normalised, line by line, and searched; what HINT does not name is in the second list
     hinted = F.filter(F.split(text, ENDS, -1), lambda s: s.rlike(HINT) | s.rlike(r"(?i)you may not use|copy of the license|unless required|redistributions"))
-    ids = F.filter(F.transform(hinted, lambda s: F.element_at(known, normal(s))), lambda x: x.isNotNull())
-    return F.when(text.rlike(HINT), F.array_join(F.transform(ids, lambda x: F.concat(x, F.lit(";"))), "")).otherwise("")
+    lines = lambda s: F.array_join(F.filter(F.transform(F.split(s, "\n", -1), normal), lambda x: x != ""), "\n")
+    found = F.regexp_extract_all(F.array_join(F.transform(hinted, lines), "\n\n"), F.lit(rf"(?<![^\n])(?:{longest})(?![^\n])"), F.lit(0))
+    ids = F.transform(found, lambda s: F.concat(F.element_at(known, F.translate(s, "\n", " ")), F.lit(";")))
+    return F.when(text.rlike(HINT), F.array_join(ids, "")).otherwise("")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -110,7 +132,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def scan_sql(table: str = "documents") -> str:
-    """DuckDB SQL with the rows of ``scan``."""
+    """DuckDB SQL with the rows of ``scan`` for texts whose known sentences each stand on one line; it does not know ``JOINED``."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     known = ", ".join(f"({quote(s)}, {quote(i)})" for s, i in SENTENCES.items())
     steps, before = [], "sequences"

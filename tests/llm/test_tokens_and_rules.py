@@ -284,6 +284,68 @@ def test_licences(spark, nothing):
     assert scan(nothing).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+NAMES = """
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+CC = """This work is licensed under a Creative Commons
+Attribution 4.0 International License."""
+ORIGINALS = [
+    (APACHE, "Apache-2.0", "apache2;apache2comply;apache2copy;apache2asis;apache2see;"), (MIT, "MIT", "mitgrant;mitnotice;"),
+    (BSD, "BSD-2-Clause", "bsdgrant;bsdsource;bsdbinary;"), (BSD + NAMES, "BSD-3-Clause", "bsdgrant;bsdsource;bsdbinary;bsdnames;"),
+    (BSD.replace("1.", "*").replace("2.", "*"), "BSD-2-Clause", "bsdgrant;bsdsource;bsdbinary;"),
+    (GPL, "GPL-3.0", "gpl3;"), (GPL.replace("version 3", "version 2"), "GPL-2.0", "gpl2;"), (MPL, "MPL-2.0", "mpl2;"), (CC, "CC-BY-4.0", "ccby4;"),
+]
+
+
+def test_licences_wrapped_and_on_one_line(spark):
+    forms = [lambda t: t, lambda t: " ".join(t.split()), lambda t: t.replace("\n", "\r\n"), lambda t: "\n".join(f" * {x}" for x in t.split("\n")),
+             lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")), lambda t: f"Copyright 2020 Someone\n{t}\nMore text"]
+    rows = [(k, name, ids, form(text)) for text, name, ids in ORIGINALS for k, form in enumerate(forms)]
+    docs = spark.createDataFrame([(k, row[3]) for k, row in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.licences, r.sentences) for r in scan(docs).collect()}
+    assert [(rows[k][:3], got.get(k)) for k in range(len(rows)) if got.get(k) != rows[k][1:3]] == []
+    apart = spark.createDataFrame([(1, "Released into\n\nthe public domain"), (2, "Released into the. Public domain")], "doc_id long, text string")
+    assert scan(apart).count() == 0
+
+
 def test_every_licence_identifier_is_read_by_a_rule():
     for identifier in set(SENTENCES.values()):
         assert any(re.search(rf"\b{identifier};", pattern) for pattern, _, _ in RULES)

@@ -84,8 +84,8 @@ RULES = (
 #: A sentence ends at a blank line, and after . ! or ? before white space, but not between "v." and a number. It may also end
 #: at any other line's end, but need not.
 ENDS = r"\n[\x20\x09-\x0D]*\n|(?<=[.!?])(?<!\b[vV]\.(?=[\x20\x09-\x0D]{1,9}[0-9]))[\x20\x09-\x0D]+"
-#: Text without any of these words has no known sentence. Fixed values.
-HINT = "(?i)licen[cs]e|rights reserved|redistribut|hereby granted|permission notice|public domain|endorse or promote"
+#: Text without any of these words has no known sentence. Single words, as any run of other characters may stand between two. Fixed values.
+HINT = "(?i)licen[cs]e|reserved|redistribut|granted|notice|domain|endorse"
 
 
 def normal(sentence: Column) -> Column:
@@ -101,8 +101,8 @@ def sequence_of(text: Column) -> Column:
     sentences = SENTENCES | JOINED
     known = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
     longest = "|".join(s.replace(" ", "[ \n]") for s in sorted(sentences, key=len, reverse=True))
-    # only stretches with a hint are normalised, line by line, and searched; what HINT does not name is in the second list
-    hinted = F.filter(F.split(text, ENDS, -1), lambda s: s.rlike(HINT) | s.rlike(r"(?i)you may not use|copy of the license|unless required|redistributions"))
+    # only stretches with a hint are normalised, line by line, and searched
+    hinted = F.filter(F.split(text, ENDS, -1), lambda s: s.rlike(HINT))
     lines = lambda s: F.array_join(F.filter(F.transform(F.split(s, "\n", -1), normal), lambda x: x != ""), "\n")
     found = F.regexp_extract_all(F.array_join(F.transform(hinted, lines), "\n\n"), F.lit(rf"(?<![^\n])(?:{longest})(?![^\n])"), F.lit(0))
     ids = F.transform(found, lambda s: F.concat(F.element_at(known, F.translate(s, "\n", " ")), F.lit(";")))

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from ordermill.llm import quality
 from ordermill.llm.bpe import SETTLED, Encoder
 from ordermill.llm.frames import new_path
-from ordermill.llm.licenses import RULES, SENTENCES, scan
+from ordermill.llm.licenses import JOINED, RULES, SENTENCES, scan
 from ordermill.llm.mixing import mix, mixed_rows, water_filled, weighed
 from ordermill.llm.quality import clean_only, judged
 from ordermill.llm.token_counts import common_cut, count_tokens, spliced, with_offsets
@@ -346,6 +346,15 @@ def test_licences_wrapped_and_on_one_line(spark):
     assert scan(apart).count() == 0
 
 
+def test_licence_sentences_with_odd_gaps(spark):
+    known = list((SENTENCES | JOINED).items())
+    gaps = ["\t", "-", "  ", " , ", "\n", "\r\n\t", " — ", "\n# "]
+    rows = [(text.upper().replace(" ", gap) + ".", ids + ";") for text, ids in known for gap in gaps]
+    docs = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.sentences for r in scan(docs).collect()}
+    assert [(row, got.get(k)) for k, row in enumerate(rows) if got.get(k) != row[1]] == []
+
+
 def test_every_licence_identifier_is_read_by_a_rule():
     for identifier in set(SENTENCES.values()):
         assert any(re.search(rf"\b{identifier};", pattern) for pattern, _, _ in RULES)

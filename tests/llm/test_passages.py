@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ordermill.llm import suffix_dedup, superkmers
 from ordermill.llm.components import labelled
 from ordermill.llm.decontaminate import MASKS, SPAN, SUBSTITUTIONS, WINDOW, find_leaks, without_leaks
-from ordermill.llm.minhash import COORDINATES, components, one_of_each, sketches
+from ordermill.llm.minhash import AGREEING, COORDINATES, components, differing, one_of_each, sketch_bits, sketches
 from ordermill.llm.suffix_dedup import remove_repeats, repeated_windows
 from ordermill.llm.superkmers import deduplicate
 
@@ -135,6 +135,17 @@ def test_sketches_are_full_and_like_their_sets():
     assert (sketches(a[::-1].copy(), np.array([0, 400]))[0] == s[0]).all()
 
 
+def test_sketch_bits_tell_dissimilar_sets_apart():
+    rng = np.random.default_rng(3)
+    sets = rng.integers(0, 2**63, (200, 70)).astype(np.uint64)
+    near = sets.copy()
+    near[:, :10] = rng.integers(0, 2**63, (200, 10))  # 60 of 80 are shared
+    bits = sketch_bits(sketches(np.concatenate([sets, near]).ravel(), np.arange(401) * 70))
+    apart = differing(bits[:199], bits[1:200]).astype(int)
+    assert abs(apart.mean() - COORDINATES / 2) < 3 and apart.min() > COORDINATES - AGREEING
+    assert differing(bits[:200], bits[200:]).max() <= COORDINATES - AGREEING
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     assert {r.node: r.label for r in labelled(edges).collect()} == {k: 0 for k in range(41)} | {100: 100, 101: 100}

@@ -88,6 +88,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose texts overlap with no benchmark item (see ``find_leaks``)."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col, **columns).select(F.col("doc_id").alias("__leak_id"), F.col("text_key").alias("__leak_key")).distinct()
-    same = column(id_col).eqNullSafe(F.col("__leak_id")) & (F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit(""))) == F.col("__leak_key"))
-    return docs.join(leaks, same, "left_anti")
+    leaks = find_leaks(docs, benchmark, id_col, text_col, **columns).select("doc_id", "text_key").distinct()
+    # the row travels as a struct, so that its columns may have any names
+    rows = docs.select(F.struct(*(column(c) for c in docs.columns)).alias("whole"), column(id_col).alias("id"),
+                       F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit(""))).alias("key"))
+    return rows.join(leaks, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_anti").select("whole.*")

@@ -98,9 +98,10 @@ def mixed_rows(docs: DataFrame, weights: Sequence[int] | Mapping[str | None, int
     Rows with the same id and text share what is taken of them evenly, the rest going to any of them.
     """
     taken = mix(docs, weights, share, epochs, seed, id_col, text_col, source_col)
-    taken = taken.groupBy("tie").agg(F.sum("repeats").alias("__taken"), F.count("*").alias("__rows")).where("__taken > 0").withColumnRenamed("tie", "__tie")
-    rows = docs.withColumn("__key", tie(docs, seed, id_col, text_col)).join(taken, F.col("__key") == F.col("__tie"))
-    turn = F.row_number().over(Window.partitionBy("__tie").orderBy("__taken"))
-    times = F.floor(F.col("__taken") / F.col("__rows")) + (turn <= F.col("__taken") % F.col("__rows")).cast("int")
-    rows = rows.withColumn("__times", times).where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int"))))
-    return rows.select(*(column(c) for c in docs.columns))
+    taken = taken.groupBy("tie").agg(F.sum("repeats").alias("taken"), F.count("*").alias("rows")).where("taken > 0")
+    # the row travels as a struct, so that its columns may have any names
+    rows = docs.select(F.struct(*(column(c) for c in docs.columns)).alias("whole"), tie(docs, seed, id_col, text_col).alias("tie")).join(taken, "tie")
+    turn = F.row_number().over(Window.partitionBy("tie").orderBy("taken"))
+    times = F.floor(F.col("taken") / F.col("rows")) + (turn <= F.col("taken") % F.col("rows")).cast("int")
+    rows = rows.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return rows.select("whole.*")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .blocks import in_blocks
 from .components import labelled
 from .frames import arrow_map, buffer, column, id_type, slices, squeezed, texts, unsqueezed, written
 from .hashing import mixed, span_hashes, windows, words
@@ -21,8 +22,8 @@ COORDINATES, ROWS = 160, 4
 #: Pairs that no star links are confirmed only if this many of the sketches' bits agree: at 0.75 similarity 140 of 160
 #: do on average, with a standard deviation of 4.2; fewer than this with a probability of 7.6e-7.
 AGREEING = 118
-#: Members of a bucket that are compared in one task with as many others.
-BLOCK = 256
+#: Members of a bucket's block, and bytes of their packed texts, that are compared in one task with as many others.
+BLOCK, BLOCK_BYTES = 2048, 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -153,15 +154,10 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _links_in_blocks(apart: DataFrame, kept: DataFrame) -> DataFrame:
     """Links (a, b) between members of a bucket whose labels differ; of those that join the same two labels in one block, one.
 
-    A bucket is cut into blocks of about BLOCK members, and every two of its blocks meet in a task of their own: candidates
-    are compared and confirmed there and only links come out, so neither pairs nor a whole bucket are ever held together.
-    A pair is looked at in the first band it shares.
+    Candidates are compared and confirmed in bounded blocks (see ``in_blocks``) and only links come out: neither pairs nor a
+    whole bucket are ever held together. A pair is looked at in the first band it shares.
     """
-    sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = apart.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", "row", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    rows = rows.join(kept.select("row", "packed", "n_bytes", "n_shingles", "bits0", "bits1", "bits2", "bands"), "row")
+    rows = in_blocks(apart.join(kept.select("row", "packed", "n_bytes", "n_shingles", "bits0", "bits1", "bits2", "bands"), "row"), BLOCK, BLOCK_BYTES)
 
     def run(table: pa.Table) -> pa.Table:
         column_of = lambda c: table.column(c).to_numpy()
@@ -177,7 +173,7 @@ def _links_in_blocks(apart: DataFrame, kept: DataFrame) -> DataFrame:
                 x = parent[x]
             return x
 
-        @lru_cache(maxsize=4 * BLOCK)
+        @lru_cache(maxsize=2 * BLOCK)
         def shingle_set(i):
             return np.unique(shingles(unsqueezed(packed[i].as_py(), n_bytes[i]), np.array([0, n_bytes[i]]))[2])
 
@@ -278,17 +274,18 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
               .union(keyed.where("doc_id is null").distinct().join(nameless, "key").select("doc_id", "text_key")).distinct())
     repeats = keyed.where("doc_id is not null").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").withColumn("repeated", F.lit(True))
     chosen = chosen.join(repeats, ["doc_id", "text_key"], "left")
-    chosen = chosen.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_key"), F.coalesce("repeated", F.lit(False)).alias("repeated"))
+    chosen = chosen.select("doc_id", "text_key", F.coalesce("repeated", F.lit(False)).alias("repeated"))
     crowd = Observation()  # counted while the choice is stored
-    chosen = written(chosen.observe(crowd, F.count_if("repeated").alias("n")), "chosen").select("__kept_id", "__kept_key", "repeated")
+    chosen = written(chosen.observe(crowd, F.count_if("repeated").alias("n")), "chosen").select("doc_id", "text_key", "repeated")
 
-    text_key = F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit("")))
-    same = column(id_col).eqNullSafe(F.col("__kept_id")) & (text_key == F.col("__kept_key"))
-    single = docs.join(chosen.where("not repeated"), same, "left_semi")
+    # the row travels as a struct, so that its columns may have any names
+    others = F.to_json(F.struct(*(column(c) for c in docs.columns if c not in (id_col, text_col)), F.lit(0).alias("__none")))
+    whole = docs.select(F.struct(*(column(c) for c in docs.columns)).alias("whole"), column(id_col).alias("id"), others.alias("others"),
+                        F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit(""))).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    single = whole.drop("others").join(chosen.where("not repeated"), same, "left_semi").select("whole.*")
     if not crowd.get["n"]:
         return single
-    others = F.to_json(F.struct(*(column(c) for c in docs.columns if c not in (id_col, text_col)), F.lit(0).alias("__none")))
-    whole = docs.select(F.struct(*(column(c) for c in docs.columns)).alias("__whole"), column(id_col).alias("__id"), text_key.alias("__key"), others.alias("__others"))
-    several = whole.join(chosen.where("repeated"), (F.col("__id") == F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key")), "left_semi")
-    several = several.groupBy("__id", "__key").agg(F.min_by("__whole", "__others").alias("__whole"))
-    return single.union(several.select("__whole.*"))
+    several = whole.join(chosen.where("repeated"), (F.col("id") == F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left_semi")
+    several = several.groupBy("id", "key").agg(F.min_by("whole", "others").alias("whole"))
+    return single.union(several.select("whole.*"))

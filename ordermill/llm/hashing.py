@@ -55,10 +55,10 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return out
 
 
-def words(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of words before each text (one more entry: all)."""
+def words(values: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of words before each text (one more entry: all). ``apart``: the bytes that separate words."""
     solid = np.zeros(len(values) + 2, np.int8)
-    solid[1:-1] = ~SPACES[values]
+    solid[1:-1] = ~apart[values]
     change = np.diff(solid)
     # a text's first byte starts a word even if the text before it ends with one
     inner = offsets[1:-1]

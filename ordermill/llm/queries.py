@@ -5,12 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from .ball_search import search
 from .decontaminate import find_leaks
 from .frames import new_path
+from .group_join import join_groups
 from .licenses import scan, scan_sql
 from .minhash import components
 from .mixing import mix
 from .quality import judged
+from .spelling import variants
 from .suffix_dedup import remove_repeats
 from .superkmers import deduplicate
 from .token_counts import count_tokens
@@ -79,7 +82,22 @@ def op4_repeated_strings(spark, sf_dir):
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op4_repeated_strings": op4_repeated_strings, "op3_decontaminate": op3_decontaminate, "op2_url_filters": op2_url_filters, "op6_license_scans": op6_license_scans, "op8_repeated_passages": op8_repeated_passages, "op10_near_duplicates": op10_near_duplicates, "op9_quality_rules": op9_quality_rules, "op1_token_files": op1_token_files, "op5_mix_sources": op5_mix_sources, "op7_token_counts": op7_token_counts}
+def op11_spelling_variants(spark, sf_dir):
+    return variants(_read(spark, sf_dir, "documents"), slip=31, length=7, count=2, times=10)
+
+
+def op12_grouped_join(spark, sf_dir):
+    return join_groups(_read(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=20)
+
+
+QUERIES = {query.__name__: query for query in (
+    op4_repeated_strings, op3_decontaminate, op2_url_filters, op6_license_scans, op8_repeated_passages, op10_near_duplicates, op9_quality_rules,
+    op1_token_files, op5_mix_sources, op7_token_counts, op11_spelling_variants, op12_grouped_join, op13_ranked_search,
+)}
 SQL = {
     "op6_license_scans": scan_sql(),
     "op5_mix_sources": r"""

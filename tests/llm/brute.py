@@ -1,7 +1,9 @@
 """Plain versions of the text operators, for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -21,14 +23,14 @@ def quality(text):
             len(words) < 10 or 100 * len(covered) > 20 * len(words))
 
 
-def shingles(text):
+def shingles(text, size=5):
     words = WORD.findall((text or "").translate(LOWER))
-    return frozenset(tuple(words[k:k + 5]) for k in range(len(words) - 4)) if len(words) > 4 else frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k:k + size]) for k in range(len(words) - size + 1)) if len(words) >= size else frozenset([tuple(words)] if words else [])
 
 
-def components(rows):
+def components(rows, size=5, similar=75):
     """rows: (id, text) -> [(id, size, component, kept)]; ids may be null or repeat."""
-    sets = [shingles(text) for _, text in rows]
+    sets = [shingles(text, size) for _, text in rows]
     of = list(range(len(rows)))
 
     def root(x):
@@ -39,7 +41,7 @@ def components(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             same = len(a & sets[j])
-            if a and 100 * same >= 75 * (len(a) + len(sets[j]) - same):
+            if a and 100 * same >= similar * (len(a) + len(sets[j]) - same):
                 of[root(i)] = root(j)
     members = defaultdict(list)
     for i, (key, _) in enumerate(rows):
@@ -120,3 +122,57 @@ def poured(sizes, weights, share, epochs):
             open_.remove(s)
         left -= sum(target[s] for s in over)
     return target
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) + 1 == len(b) and any(a == b[:k] + b[k + 1:] for k in range(len(b)))
+
+
+def variants(rows, slip=31, length=7, count=2, times=10):
+    """rows: (id, text) -> [(word, form, root, n, near words, the form's n)]"""
+    n = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'null' if key is None else key}:{run}".encode())
+            if slip and h % slip == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] += 1
+    n = {w: k for w, k in n.items() if len(w) >= length and k >= count}
+    near = {w: [v for v in n if v != w and abs(len(v) - len(w)) < 2 and one_edit(v, w)] for w in n}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= times * n[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return [(w, form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n]
+
+
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranking(rows, items, k=20):
+    """rows, items: (id, text) -> [(item, rank, id, score)]"""
+    docs = [(key, Counter(TERM.findall((text or "").translate(LOWER)))) for key, text in rows]
+    docs = [(key, tf, sum(tf.values())) for key, tf in docs if tf]
+    total, length = len(docs), sum(n for _, _, n in docs)
+    df = Counter(t for _, tf, _ in docs for t in tf)
+    out = []
+    for item, text in items:
+        query = Counter(TERM.findall((text or "").translate(LOWER)))
+        weight = {t: math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) for t in query}
+        scored = []
+        for key, tf, n in docs:
+            m = 100 - 25 + (25 * n * total) // length
+            score = sum(times * weight[t] * ((1000000000 * tf[t]) // (1000 * tf[t] + 12 * m)) for t, times in query.items() if t in tf)
+            if score > 0:
+                scored.append((-score, key is None, key))
+        out += [(item, rank + 1, key, -minus) for rank, (minus, _, key) in enumerate(sorted(scored)[:k])]
+    return out

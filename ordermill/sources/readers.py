@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import CORRUPT, CUSTOMERS_CSV, ORDERS_CSV, PRODUCTS_CSV, RAW_ORDERS
+from .json_records import read_json_records
 
 
 def read_raw_orders(
@@ -14,17 +15,21 @@ def read_raw_orders(
     path: str | list[str],
     multiline: bool = True,
     schema: T.StructType | None = RAW_ORDERS,
+    split: bool = True,
 ) -> DataFrame:
     """Nested orders from JSON: with ``multiline`` a file is one array or object, otherwise one
-    object per line (such files split over tasks, so prefer them for large inputs).
+    object per line. Both kinds of files split over tasks (see ``read_json_records``); with ``split=False``, or without
+    a schema, a multi-line file is read by one task, which suits many small files.
 
-    Text that is not JSON ends up in ``_corrupt_record``. ``schema=None`` infers the schema, at
-    the price of a pass over the data.
+    Text that is not JSON ends up in ``_corrupt_record``: the record, but the whole file where it is read by one task.
+    ``schema=None`` infers the schema, at the price of a pass over the data.
     """
     reader = spark.read.option("columnNameOfCorruptRecord", CORRUPT)
     if schema is not None:
         if CORRUPT not in schema.names:
             schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        if multiline and split:
+            return read_json_records(spark, path, schema)
         reader = reader.schema(schema)
     return reader.json(path, multiLine=multiline)
 

@@ -10,13 +10,29 @@ from ..functions import day_of
 from ..operators import average_order_value, match
 from ..plans import raw_to_silver, run_daily_sales, silver_to_gold
 from ..sinks import upsert_partitions, write_partitions, write_snapshot
-from ..sources import read_table
+from ..sources import read_raw_orders, read_table
 from ..workspace import kept, stable, staging
 from .tables import LINES, RAW_SILVER, order_lines, orders, products, raw_orders, table, unpriced_lines
 
 DAY = "2025-09-25"
 
 
+def array_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw orders from JSON arrays of many records per file, which several tasks read: records and their products."""
+    rows = raw_orders(spark, folder)
+    number = spark.sparkContext.defaultParallelism
+    records = rows.select(F.pmod(F.xxhash64("order_id"), F.lit(number)).alias("part"), F.lit(1).alias("place"), F.concat(F.lit(",\n "), F.to_json(F.struct(*rows.columns))).alias("value"))
+    # A file's brackets are rows of their own; the first comes with an empty record, so that commas may follow.
+    ends = spark.range(number).select(F.col("id").alias("part"), F.explode(F.create_map(F.lit(0), F.lit("[{}"), F.lit(2), F.lit("]"))).alias("place", "value"))
+    with staging(spark) as root:
+        arrays = records.unionByName(ends).repartition(number, "part").sortWithinPartitions("part", "place").select("part", "value")
+        arrays.write.partitionBy("part").text(f"{root}/raw")
+        read = read_raw_orders(spark, f"{root}/raw/part=*").where("order_id IS NOT NULL OR _corrupt_record IS NOT NULL")
+        products = F.coalesce(F.size("products"), F.lit(0))
+        units = F.array_join(F.transform("products", lambda x: x["quantity"]), "|")
+        return kept(read.select("order_id", "customer_id", "purchase_date", products.alias("products"), units.alias("units"), "_corrupt_record"), "records")
+
+
 def _loaded(spark: SparkSession, folder: str, root: str, **options):
     """The raw orders as nested JSON files, loaded to silver. Most of the work is creating files, so all cores share it."""
     raw_orders(spark, folder).write.json(f"{root}/raw/ingest_date={DAY}")
@@ -138,6 +154,7 @@ def upserted_years(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "json_arrays": array_records,
     "silver_gold_roundtrip": gold_revenue,
     "order_kpis_snapshot": gold_figures,
     "csv_daily_sales": csv_sales,
@@ -161,6 +178,14 @@ _LATEST_SQL = """row_number() OVER (PARTITION BY order_id, product_id ORDER BY p
   product_name DESC NULLS LAST, quantity DESC NULLS LAST, price DESC NULLS LAST)"""
 
 SQL = {
+    "json_arrays": """SELECT 'O' || o_orderkey AS order_id, 'C' || o_custkey AS customer_id,
+  CASE WHEN o_orderkey % 23 = 0 THEN '2023-02-30'
+       WHEN o_orderkey % 5 = 0 THEN replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '/')
+       ELSE ' ' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS purchase_date,
+  CAST(CASE WHEN o_orderkey % 29 = 3 THEN 0 ELSE o_orderkey % 4 END AS INTEGER) AS products,
+  CASE WHEN o_orderkey % 29 <> 3 THEN array_to_string(list_transform(list_slice(['1', ' ', '2'], 1, o_orderkey % 4),
+    lambda d: d || CASE WHEN o_orderkey % 41 = 0 THEN 'x' ELSE o_orderkey % 9 || ',00' END), '|') END AS units,
+  NULL AS _corrupt_record FROM orders""",
     "csv_daily_sales_late": _DAILY_SQL,
     "silver_lines": f"""WITH {RAW_SILVER}, t AS (SELECT *, CAST(quantity * price AS DECIMAL(18,2)) AS line_amount FROM raw_unique),
 w AS (SELECT *, sum(line_amount) OVER (PARTITION BY customer_id) AS total FROM t)

@@ -5,7 +5,7 @@ from .lines import (
 )
 from .metrics import (
     average_order_value, category_revenue, daily_sales, daily_totals, line_counts, orders_by_country,
-    product_revenue, product_totals, rolling_daily, running_total, sales_lines, top_of_totals, top_products,
+    product_revenue, product_totals, rolling_daily, rolling_days, running_total, sales_lines, top_of_totals, top_products,
 )
 from .ordered import neighbour, prefix_sum, row_numbers
 from .quality import (
@@ -20,7 +20,7 @@ __all__ = [
     "duplicates", "explode_check", "explode_lines", "freshness", "grain", "islands",
     "join_counts", "json_fields", "line_counts", "match", "neighbour", "non_positive", "null_or_blank",
     "null_safe_totals", "orders_by_country", "pivot", "prefix_sum", "product_revenue", "product_totals",
-    "profile", "ranked", "reconcile", "rolling_daily", "row_numbers", "rule_breaks", "running_total",
+    "profile", "ranked", "reconcile", "rolling_daily", "rolling_days", "row_numbers", "rule_breaks", "running_total",
     "sales_lines", "scd2", "split_valid", "table_shape", "tag_errors", "top_of_totals", "top_products",
     "total_mismatches", "unpivot", "upsert", "with_customer_total", "with_line_amount",
 ]

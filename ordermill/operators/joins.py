@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .skew import GROUP_ROWS, crowded_keys, part_counts, same_key
 
@@ -57,3 +57,65 @@ def match(
         ).drop("_parts")
         equal = equal & (F.col("_part") == F.col("_right_part"))
     return left.join(right, equal, how).drop(*right_keys, "_parts", "_part", "_right_part")
+
+
+#: Keys of a build side up to which ``filtered_match`` leaves the join to a broadcast, about 100 bytes each.
+BROADCAST_KEYS = 500_000
+#: Bits of the key filter, and the hashes of a key in it. Blocks of 32,768 bits, 4 KB each: 64 MB for all.
+FILTER_BITS, FILTER_HASHES = 1 << 29, 2
+
+
+def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``block`` and ``bitmap``: the Bloom filter of the rows of ``keys``, one row per block of 32,768 bits that has any.
+
+    Of n keys it lets other keys pass with a probability of about (2n / bits)**2. Blocks are built by combining bitmaps before the shuffle.
+    """
+    places = F.explode(F.array(*_places(keys.columns, bits)))
+    return keys.select(places.alias("place")).groupBy((F.bitmap_bucket_number("place") - 1).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
+
+
+def _places(columns: Sequence[str], bits: int) -> list[Column]:
+    """The bits of a key, counted from 1 as the bitmap functions do. Null keys have places, but match nothing in a join."""
+    return [F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(bits)) + 1 for seed in range(FILTER_HASHES)]
+
+
+def maybe_in(df: DataFrame, on: Sequence[str], bitmaps: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``df`` whose key may be among those of a ``key_filter``; none that is there is lost.
+
+    The filter has a fixed largest size, so broadcasting it is safe; rows are tested where they are, before any shuffle.
+    """
+    for place in _places(on, bits):
+        block, at = F.floor((place - 1) / 32768), F.pmod(place - 1, F.lit(32768)).cast("int")
+        named = bitmaps.select(F.col("block").alias("_block"), F.col("bitmap").alias("_bitmap"))
+        byte = F.conv(F.hex(F.substring("_bitmap", F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        hit = F.shiftrightunsigned(byte, 0).bitwiseAND(F.pow(F.lit(2), F.col("_at") % 8).cast("int")) != 0
+        df = df.withColumns({"_own": block, "_at": at}).join(F.broadcast(named), F.col("_own") == F.col("_block")).where(hit)
+        df = df.drop("_own", "_at", "_block", "_bitmap")
+    return df
+
+
+def filtered_match(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", broadcast_keys: int = BROADCAST_KEYS, bits: int = FILTER_BITS
+) -> DataFrame:
+    """``match`` of a large ``left`` with a ``right`` that has few of its keys: inner or left_semi.
+
+    The rows of ``right`` are counted. Up to ``broadcast_keys`` they are broadcast. Beyond, both sides are shuffled, but rows of
+    ``left`` without a partner are dropped before, by a broadcast Bloom filter of the keys of ``right``, whose size is fixed.
+    """
+    if how not in ("inner", "left_semi"):
+        raise ValueError("only rows with a partner can be asked for")
+    on = [on] if isinstance(on, str) else list(on)
+    if right.limit(broadcast_keys + 1).count() <= broadcast_keys:
+        return match(left, F.broadcast(right), on, how)
+    return match(maybe_in(left, on, key_filter(right.select(*on), bits), bits), right, on, how)
+
+
+def on_chosen(facts: DataFrame, chosen: DataFrame, by: str, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """The rows of ``facts`` whose ``by`` is among the rows of ``chosen``, such as dates of a filtered calendar.
+
+    Where ``facts`` is partitioned by ``by``, Spark prunes the scan by the broadcast list: partitions that were not chosen are
+    not read. The list is counted first; a longer one than ``broadcast_keys`` is joined without a hint.
+    """
+    few = chosen.limit(broadcast_keys + 1).count() <= broadcast_keys
+    return match(facts, F.broadcast(chosen) if few else chosen, by)

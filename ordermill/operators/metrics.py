@@ -109,6 +109,33 @@ def rolling_daily(
     return daily.withColumn(out, F.sum(value).over(window))
 
 
+#: Calendar days of a slice: a group's days are summed slice by slice.
+SLICE_DAYS = 366
+
+
+def rolling_days(
+    lines: DataFrame, group: Sequence[str], day: str, value: str, days: int = 7, out: str = "rolling", slice_days: int = SLICE_DAYS
+) -> DataFrame:
+    """``group``, ``day``, the sum of ``value`` on that day, and ``out``: the sum over the ``days`` calendar days that end with it.
+
+    One row per group and day that has lines, as ``RANGE BETWEEN days - 1 PRECEDING AND CURRENT ROW`` gives. Days are added up
+    first, combined before the shuffle. A group's days are then cut into slices of the calendar, and each slice also gets the
+    last ``days - 1`` days before it, its halo, so slices of one group are summed by different tasks. Sums of decimals and whole
+    numbers do not depend on the slices; those of doubles may, in their last digits. Lines without a day are a day of their own.
+    """
+    if not isinstance(lines.schema[day].dataType, T.DateType):
+        raise ValueError(f"{day} must be a date")
+    width = max(days, slice_days)  # so a day is in the halo of one slice at most
+    daily = lines.groupBy(*group, day).agg(F.sum(value).alias(value))
+    number = F.unix_date(day)
+    slice_of = lambda n: F.floor(n / width).cast("int")
+    seen_by = F.sequence(slice_of(number), slice_of(number + days - 1))
+    sliced = daily.withColumn("_number", number).withColumn("_slice", F.explode_outer(seen_by))
+    window = Window.partitionBy(*group, "_slice").orderBy("_number").rangeBetween(1 - days, Window.currentRow)
+    summed = sliced.withColumn(out, F.sum(value).over(window))
+    return summed.where(F.col("_slice").eqNullSafe(slice_of(F.col("_number")))).drop("_number", "_slice")
+
+
 def running_total(
     df: DataFrame,
     group: Sequence[str],

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from ..operators.lines import (
     cleanse, deduplicate, explode_lines, split_valid, with_customer_total, with_line_amount,
 )
-from ..operators.metrics import average_order_value, product_totals, top_of_totals
+from ..operators.metrics import average_order_value, top_of_totals
 from ..schemas import CORRUPT
-from ..sinks import write_current, write_partitions, write_quarantine, write_snapshot
+from ..sinks import VersionedTable, write_current, write_partitions, write_quarantine, write_snapshot
 from ..sources import ingest_path, read_raw_orders
 from ..workspace import staged, staging
+from .states import daily_products, daily_states, order_amounts, overall_products, stale_dates, state_table, update_customer_totals
 
 
 @dataclass(frozen=True)
@@ -84,12 +85,6 @@ def raw_to_silver(
         )
 
 
-def _on_dates(df: DataFrame, dates: Sequence[datetime.date | str] | None) -> DataFrame:
-    if dates is None:
-        return df
-    return df.where(F.col("purchase_date").isin([datetime.date.fromisoformat(str(day)) for day in dates]))
-
-
 def silver_to_gold(
     spark: SparkSession,
     silver_root: str,
@@ -102,25 +97,40 @@ def silver_to_gold(
     changed_dates: Sequence[datetime.date | str] | None = None,
     tasks: int | None = None,
 ) -> None:
-    """Publish product revenue (daily and overall), top products and order figures.
+    """Publish product revenue (daily and overall), top products, customer totals and order figures.
 
-    ``changed_dates`` limits the daily tables to these purchase dates, whose silver partitions
-    alone are then read for them. Silver is read for daily totals, overall totals and order totals; top lists
-    are ranked from the stored revenue totals, which are far smaller. ``tasks`` is passed to ``write_partitions``.
+    ``changed_dates`` are the purchase dates that silver has anew; by default all. Silver is read once, and only these
+    dates of it, besides dates that gold has not seen. What each date adds up to is kept under ``<gold>/_state`` (see
+    ``plans.states``); overall tables are made from that, and customer totals from what changed of it. Daily
+    tables are written for the dates that were read; dates that silver has no longer are taken out of the overall tables.
+    ``tasks`` is passed to ``write_partitions``.
     """
-    gold = gold_root.rstrip("/")
-    silver = spark.read.parquet(f"{silver_root.rstrip('/')}/order_lines")
+    gold, lines_path = gold_root.rstrip("/"), f"{silver_root.rstrip('/')}/order_lines"
     day = snapshot_date or datetime.datetime.now(datetime.timezone.utc).date()
+    states, customers = state_table(spark, gold), VersionedTable(spark, f"{gold}/_state/customers")
+    dates, gone = stale_dates(states, lines_path, changed_dates)
 
     with staging(spark) as folder:
-        daily = staged(product_totals(_on_dates(silver, changed_dates), "daily"), f"{folder}/daily")
+        silver = spark.read.parquet(lines_path)
+        on_dates = F.col("purchase_date").isin([datetime.date.fromisoformat(value) for value in dates])
+        if dates or gone or states.version() is None:
+            narrow = ["purchase_date", "order_id", "customer_id", "product_id", "product_name", "quantity", "line_amount"]
+            changed = staged(silver.where(on_dates).select(*narrow), f"{folder}/lines")
+            states.replace(daily_states(changed), dates | gone, sort_by=["kind"])
+        update_customer_totals(states, customers)
+        states.vacuum()
+        customers.vacuum()
+
+        known = states.read()
+        daily = staged(daily_products(known.where(on_dates)), f"{folder}/daily")
         write_partitions(daily, f"{gold}/product_revenue", "purchase_date", tasks=tasks)
         write_partitions(top_of_totals(daily, top_n, "daily"), f"{gold}/top_products_daily", "purchase_date", tasks=tasks)
 
-        write_current(product_totals(silver, "overall"), f"{gold}/product_revenue_overall")
+        write_current(overall_products(known), f"{gold}/product_revenue_overall")
+        write_current(customers.read().select("customer_id", F.col("revenue").alias("customer_total_revenue"), "lines"), f"{gold}/customer_revenue")
         totals = spark.read.parquet(f"{gold}/product_revenue_overall")
         top = staged(top_of_totals(totals, top_n, "overall"), f"{folder}/top")
-        figures = staged(average_order_value(silver), f"{folder}/figures")
+        figures = staged(average_order_value(order_amounts(known)), f"{folder}/figures")
         if snapshot:
             write_snapshot(top, f"{gold}/top_products_snapshot", day)
             write_snapshot(figures, f"{gold}/order_kpis_snapshot", day)

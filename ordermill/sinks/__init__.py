@@ -1,9 +1,10 @@
+from .versioned import ChangedMeanwhile, VersionedTable
 from .writers import (
     save_table, upsert_partitions, write_current, write_one_file_each, write_partitions,
     write_quarantine, write_snapshot,
 )
 
 __all__ = [
-    "save_table", "upsert_partitions", "write_current", "write_one_file_each", "write_partitions",
-    "write_quarantine", "write_snapshot",
+    "ChangedMeanwhile", "VersionedTable", "save_table", "upsert_partitions", "write_current", "write_one_file_each",
+    "write_partitions", "write_quarantine", "write_snapshot",
 ]

@@ -85,9 +85,11 @@ def write_quarantine(bad: DataFrame, path: str) -> int:
     return bad.sparkSession.read.schema(bad.schema).parquet(path).count()
 
 
-def save_table(df: DataFrame, name: str, by: str | None = None) -> None:
-    """Create or replace a catalogue table, partitioned by ``by``."""
+def save_table(df: DataFrame, name: str, by: str | None = None, path: str | None = None) -> None:
+    """Create or replace a catalogue table, partitioned by ``by``; with ``path`` its files lie there, and stay if it is dropped."""
     writer = df.write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
     (writer if by is None else writer.partitionBy(by)).saveAsTable(name)
 
 

@@ -51,6 +51,13 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in ``folder``, which need not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[str]:
     """A fresh shared folder, removed at the end."""

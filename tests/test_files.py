@@ -106,8 +106,8 @@ def test_silver_to_gold(spark, tmp_path):
     for _ in range(2):
         silver_to_gold(spark, silver, gold, top_n=1, snapshot_date=DAY)
     silver_to_gold(spark, silver, gold, top_n=1, snapshot_date="2025-09-26", write_current_tables=False, changed_dates=["2023-01-01"])
-    assert sorted(os.listdir(gold)) == ["order_kpis_current", "order_kpis_snapshot", "product_revenue", "product_revenue_overall",
-                                        "top_products_current", "top_products_daily", "top_products_snapshot"]
+    assert sorted(os.listdir(gold)) == ["_state", "customer_revenue", "order_kpis_current", "order_kpis_snapshot", "product_revenue",
+                                        "product_revenue_overall", "top_products_current", "top_products_daily", "top_products_snapshot"]
     assert read_table(spark, f"{gold}/product_revenue").count() == 4
     assert tuples(read_table(spark, f"{gold}/top_products_daily"), "product_id", "rank") == [("p1", 1), ("p1", 1)]
     assert tuples(read_table(spark, f"{gold}/top_products_current"), "product_id", "rank") == [("p1", 1)]

@@ -12,6 +12,7 @@ from .group_join import join_groups
 from .licenses import scan, scan_sql
 from .minhash import components
 from .mixing import mix
+from .oracle import SQL as _ORACLE
 from .quality import judged
 from .spelling import variants
 from .suffix_dedup import remove_repeats
@@ -98,7 +99,7 @@ QUERIES = {query.__name__: query for query in (
     op4_repeated_strings, op3_decontaminate, op2_url_filters, op6_license_scans, op8_repeated_passages, op10_near_duplicates, op9_quality_rules,
     op1_token_files, op5_mix_sources, op7_token_counts, op11_spelling_variants, op12_grouped_join, op13_ranked_search,
 )}
-SQL = {
+SQL = _ORACLE | {
     "op6_license_scans": scan_sql(),
     "op5_mix_sources": r"""
         WITH sized AS (

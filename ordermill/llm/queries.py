@@ -19,7 +19,7 @@ from .suffix_dedup import remove_repeats
 from .superkmers import deduplicate
 from .token_counts import count_tokens
 from .token_files import read_tokens, with_starts, write_tokens
-from .url_rules import filter_urls
+from .url_rules import filter_urls, given_verdicts
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -62,11 +62,16 @@ def op8_repeated_passages(spark, sf_dir):
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _labelled_urls(spark, sf_dir):
+    """URLs that the given rules judge, and others by the label of their id, where there is one."""
+    labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("coalesce(quality = 0, false) or coalesce(toxic = 1, false)").alias("label"))
+    judged_urls = given_verdicts(_read(spark, sf_dir, "pages"), URL_RULES).join(labels, "page_id", "left")
+    return judged_urls.select("url", F.coalesce(F.col("given") == "block", F.col("label")).alias("bad"))
+
+
 def op2_url_filters(spark, sf_dir):
-    pages = _read(spark, sf_dir, "pages")
-    labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 or toxic = 1").alias("bad"))
-    labelled = pages.select("page_id", "url").join(labels, "page_id").select("url", F.coalesce("bad", F.lit(False)).alias("bad"))
-    return filter_urls(pages, labelled, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    found = filter_urls(_read(spark, sf_dir, "pages"), _labelled_urls(spark, sf_dir), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op6_license_scans(spark, sf_dir):

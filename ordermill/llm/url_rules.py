@@ -15,9 +15,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The item that says a labelled URL is bad.
 BAD = "label:block"
 #: Of all labelled URLs, the share that must hold a rule's tokens and be bad; of those that hold them, the share that must be bad.
-SUPPORT, CONFIDENCE = 0.001, 0.6
-#: A rule needs at least so many bad URLs, however few are labelled: fewer say nothing.
-LEAST_URLS = 20
+SUPPORT, CONFIDENCE = 0.02, 0.6
 
 
 def host_of(url: Column) -> Column:
@@ -48,28 +46,38 @@ def url_tokens(url: Column) -> Column:
 def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """rule (array of tokens), confidence, support and key of what FP-growth finds in ``labelled`` (url, bad).
 
-    Only rules that say bad, by support (LEAST_URLS at least) and confidence; a rule goes if another with some of its tokens is as confident.
-    ``key`` is the rule's rarest token (ties: the first by code point), under which the index holds it. There are at most
-    1 / support bad combinations of any length that are frequent without each other, so the table stays small.
+    Only rules that say bad, by support and confidence; a rule goes if another with some of its tokens is as confident. Rows
+    without url or label are left out. ``key`` is the rule's rarest token (ties: the first by code point), under which the index
+    holds it.
+
+    Before mining, two things that change no rule's figures make the combinations few. Tokens that too few bad URLs have can be
+    in no rule and go. Tokens that always stand together are one item, as any of them tells the same: rules name them all. So
+    a URL that occurs a thousand times, however many tokens it has, is one item, and not all combinations of its tokens.
     """
-    tokens = labelled.where("url is not null").select("bad", url_tokens(F.col("url")).alias("tokens"))
-    items = written(tokens.withColumn("items", F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))), "items")
-    counts = items.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    n = items.count()
-    if n == 0 or items.where("bad").isEmpty():
+    rows = labelled.where("url is not null and bad is not null").select("bad", url_tokens(F.col("url")).alias("tokens"))
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "labelled")
+    n, bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    if not bad:
         return labelled.sparkSession.createDataFrame([], "rule array<string>, confidence double, support double, key string")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, LEAST_URLS / n)), minConfidence=confidence).fit(items.select("items"))
-    found = written(model.associationRules.where(F.array_contains("consequent", BAD)).select(
-        F.array_sort("antecedent").alias("rule"), "confidence", "support"), "rules")
-    # a rule with a more general one at least as confident adds nothing; rules are compared where they share a token
-    shared = found.select("rule", "confidence", F.explode("rule").alias("token"))
-    general = found.select(F.col("rule").alias("less"), F.col("confidence").alias("as_sure"), F.col("rule")[0].alias("token"))
-    covered = (shared.join(general, "token").where((F.size("less") < F.size("rule")) & (F.col("as_sure") >= F.col("confidence"))
-                                                   & (F.size(F.array_except("less", "rule")) == 0)).select("rule").distinct())
-    kept = found.join(covered, "rule", "left_anti")
-    rarest = (kept.select("rule", F.explode("rule").alias("token")).join(counts, "token").groupBy("rule")
-              .agg(F.min(F.struct("n", "token")).alias("first")).select("rule", F.col("first.token").alias("key")))
-    return kept.join(rarest, "rule")
+    held = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "row")).alias(f"mark{seed}") for seed in (1, 2)]
+    counts = held.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"), *marks).where(F.col("bad") >= support * n)
+    items = counts.groupBy("n", "mark1", "mark2").agg(F.min("token").alias("item"), F.collect_list("token").alias("tokens"))
+    items = written(items.select("item", "n", "tokens"), "items")  # a URL has all tokens of an item, so an item has few
+    own = held.join(items.select(F.col("item").alias("token")), "token").groupBy("row").agg(F.collect_list("token").alias("items"))
+    none = F.array().cast("array<string>")
+    baskets = rows.select("row", "bad").join(own, "row", "left").select(F.concat(F.coalesce("items", none), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(none)).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    found = model.associationRules.where(F.array_contains("consequent", BAD)).select(F.array_sort("antecedent").alias("rule"), "confidence", "support")
+    each = found.select("rule", "confidence", "support", F.explode("rule").alias("item")).join(items, "item")
+    found = written(each.groupBy("rule", "confidence", "support").agg(
+        F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens"), F.min(F.struct("n", "item")).alias("rarest")), "rules")
+    # a rule with a more general one at least as confident adds nothing; it holds the other's rarest item
+    shared = found.select("rule", "confidence", F.explode("rule").alias("item"))
+    general = found.select(F.col("rule").alias("less"), F.col("confidence").alias("as_sure"), F.col("rarest.item").alias("item"))
+    covered = (shared.join(general, "item").where((F.size("less") < F.size("rule")) & (F.col("as_sure") >= F.col("confidence"))
+                                                  & (F.size(F.array_except("less", "rule")) == 0)).select("rule").distinct())
+    return found.join(covered, "rule", "left_anti").select(F.col("tokens").alias("rule"), "confidence", "support", F.col("rarest.item").alias("key"))
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -83,6 +91,18 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
             .agg(F.max(F.struct("confidence", "support", "rule")).alias("best")).select("url", "best.rule", "best.confidence"))
 
 
+def given_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """page_id, url, host, path, rule and given (verdict; null where no rule fits) for every row of ``pages``: see ``filter_urls``."""
+    pages = pages.select(column(id_col).alias("page_id"), column(url_col).cast("string").alias("url"))
+    host, path = F.col("host"), F.col("path")
+    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for decision, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[1] + r[2])):  # the last that fits is the longest
+        fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
+        rule, verdict = F.when(fits, rule_host + rule_path).otherwise(rule), F.when(fits, decision).otherwise(verdict)
+    rows = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
+    return rows.select("page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("given"))
+
+
 def filter_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str, str]], support: float = SUPPORT,
                 confidence: float = CONFIDENCE, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, mined (tokens of the association rule that blocked it) for every row of ``pages``.
@@ -95,15 +115,8 @@ def filter_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str
     repeated ids give a row each; equal urls are looked up once, so a url that a third of all pages have is no burden. An
     empty table gives an empty result, empty labels no mined rules. Other columns are ignored, whatever their names.
     """
-    pages = pages.select(column(id_col).alias("page_id"), column(url_col).cast("string").alias("url"))
-    best = matched(pages, mined_rules(labelled, support, confidence)).withColumnRenamed("url", "known")
-    host, path = F.col("host"), F.col("path")
-    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for decision, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[1] + r[2])):  # the last that fits is the longest
-        fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
-        rule, verdict = F.when(fits, rule_host + rule_path).otherwise(rule), F.when(fits, decision).otherwise(verdict)
-    rows = pages.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    rows = rows.select("page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("given"))
-    rows = rows.join(best.select("known", F.col("rule").alias("mined")), F.col("url") == F.col("known"), "left")
+    rows = given_verdicts(pages, rules, id_col, url_col)
+    best = matched(rows.select("url"), mined_rules(labelled, support, confidence)).select(F.col("url").alias("known"), F.col("rule").alias("mined"))
+    rows = rows.join(best, F.col("url") == F.col("known"), "left")
     return rows.select("page_id", "host", "path", "rule", F.coalesce("given", F.when(F.col("mined").isNotNull(), "block").otherwise("allow")).alias("verdict"),
                        F.when(F.col("given").isNull(), F.col("mined")).alias("mined"))

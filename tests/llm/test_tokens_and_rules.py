@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ordermill.llm import quality
+from ordermill.llm import quality, queries, url_rules
 from ordermill.llm.bpe import SETTLED, Encoder
 from ordermill.llm.frames import new_path
 from ordermill.llm.licenses import JOINED, RULES, SENTENCES, scan
@@ -257,6 +258,53 @@ def test_mined_rules_are_the_confident_ones(spark):
     assert found == {r.url for r in rows.where("url is not null").collect() if "//beta." in r.url and "?ref=" in r.url}
 
 
+def plain_rules(rows, support, confidence):
+    """All sets of tokens with their figures; those that are frequent and sure, and not more so without some tokens."""
+    n = len(rows)
+    sets = {frozenset(c) for tokens, _ in rows for k in range(1, len(tokens) + 1) for c in combinations(sorted(tokens), k)}
+    found = {}
+    for s in sets:
+        held = [bad for tokens, bad in rows if s <= tokens]
+        if sum(held) >= support * n and sum(held) / len(held) >= confidence:
+            found[s] = (sum(held) / len(held), sum(held) / n)
+    return {s: f for s, f in found.items() if not any(o < s and found[o][0] >= f[0] for o in found)}
+
+
+@pytest.mark.parametrize("seed, support, confidence", [(1, 0.05, 0.5), (2, 0.1, 0.3), (3, 0.01, 0.8)])
+def test_mined_rules_and_matches_are_those_of_a_plain_miner(spark, seed, support, confidence):
+    pick = random.Random(seed)
+    urls = [f"http://{pick.choice('ab')}.{pick.choice(['x', 'y'])}/{pick.choice(['en', 'es', 'fr'])}/{pick.choice(['p', 'q'])}{pick.choice(['', '?k=1', '#f'])}" for _ in range(160)]
+    rows = [(u, ("es" in u and "a." in u) or pick.random() < 0.25) for u in urls]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    tokens = {r.url: frozenset(r.t) for r in df.select("url", url_rules.url_tokens(F.col("url")).alias("t")).distinct().collect()}
+    plain = plain_rules([(tokens[u], bad) for u, bad in rows], support, confidence)
+    got = mined_rules(df, support, confidence).collect()
+    # tokens that always stand together are named together: such a rule holds the same rows as the plain one without some of them
+    rows_of = lambda s: frozenset(u for u in tokens if s <= tokens[u])
+    assert {(rows_of(frozenset(r.rule)), round(r.confidence, 9), round(r.support, 9)) for r in got} == {(rows_of(s), round(c, 9), round(p, 9)) for s, (c, p) in plain.items()}
+    hit = {r.url: r.confidence for r in matched(df.select("url"), mined_rules(df, support, confidence)).collect()}
+    assert hit.keys() == {u for u in tokens if any(s <= tokens[u] for s in plain)}
+    assert all(abs(c - max(f[0] for s, f in plain.items() if s <= tokens[u])) < 1e-9 for u, c in hit.items())
+
+
+def test_many_tokens_are_mined_in_seconds(spark):
+    long = "https://" + ".".join(f"h{chr(97 + k)}" for k in range(20)) + "/" + "/".join(f"p{chr(97 + k)}" for k in range(20))
+    rows = spark.createDataFrame([(long, True)] * 1000 + [(f"http://ok.org/{k}", False) for k in range(1000)], "url string, bad boolean")
+    rules = mined_rules(rows).collect()
+    assert [(len(r.rule), r.confidence) for r in rules] == [(41, 1.0)]
+    assert matched(rows.select("url"), mined_rules(rows)).count() == 1
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_rules_are_mined_from_the_tables_and_change_verdicts(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    labelled = queries._labelled_urls(spark, folder)
+    rules = mined_rules(labelled).collect()
+    assert rules and all(r.confidence >= url_rules.CONFIDENCE for r in rules)
+    got = queries.op2_url_filters(spark, folder)
+    assert got.where("rule is null and verdict = 'block'").count() > 0 < got.where("rule is null and verdict = 'allow'").count()
+
+
 def test_mined_rules_judge_what_no_rule_fits(spark):
     rows = labelled_urls(spark)
     pages = rows.select(F.monotonically_increasing_id().alias("page_id"), "url")

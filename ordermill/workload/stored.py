@@ -47,11 +47,11 @@ def stored_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _two_loads(spark: SparkSession, folder: str, root: str) -> None:
-    """Silver and gold by month after two loads, the second of which brings everything since 1995 anew, and comes twice."""
+    """Silver and gold by quarter after two loads, the second of which brings everything since 1995 anew, and comes twice."""
     lines = order_lines(spark, folder).select(
-        "order_id", "customer_id", F.trunc("purchase_date", "month").alias("purchase_date"), "product_id", "product_name", "quantity", "line_amount")
-    # every fifth line of an order is delivered a month later, so orders spread over months
-    lines = lines.withColumn("purchase_date", F.when(F.col("order_id") % 5 == 0, F.add_months("purchase_date", (F.col("product_id") % 2).cast("int"))).otherwise(F.col("purchase_date")))
+        "order_id", "customer_id", F.trunc("purchase_date", "quarter").alias("purchase_date"), "product_id", "product_name", "quantity", "line_amount")
+    # some lines of every fifth order come a quarter later, so that orders spread over dates
+    lines = lines.withColumn("purchase_date", F.when(F.col("order_id") % 5 == 0, F.add_months("purchase_date", (F.col("product_id") % 2 * 3).cast("int"))).otherwise(F.col("purchase_date")))
     later = lines.where("purchase_date >= '1995-01-01' AND order_id % 3 > 0").withColumn("line_amount", (F.col("line_amount") * 2).cast("decimal(18,2)"))
     for load in (lines, later, later):
         write_partitions(load, f"{root}/silver/order_lines", "purchase_date")
@@ -84,7 +84,7 @@ def changed_years(spark: SparkSession, folder: str) -> DataFrame:
     first = source.groupBy("year").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
     copy = match(source, first, "year")
     at_low, at_high = F.col("o_orderkey") == F.col("low"), F.col("o_orderkey") == F.col("high")
-    copy = copy.withColumn("total", F.when((F.col("year") == 1993) & at_low, F.col("total") + 1).otherwise(F.col("total")))
+    copy = copy.withColumn("total", F.when((F.col("year") == 1993) & at_low, (F.col("total") + 1).cast("decimal(18,2)")).otherwise(F.col("total")))
     # 1994: the customers of two orders change places, so all sums and counts of the columns stay the same
     pair = source.alias("s").join(first.where("year = 1994").alias("f"), F.col("s.o_orderkey").isin(F.col("f.low"), F.col("f.high"))).agg(F.sum("s.o_custkey").alias("both"))
     copy = copy.join(F.broadcast(pair), F.lit(True), "left")
@@ -183,8 +183,8 @@ QUERIES = {
 }
 
 _LOADED = f"""WITH {LINES},
-shifted AS (SELECT * EXCLUDE (purchase_date), CAST(CASE WHEN order_id % 5 = 0 THEN date_trunc('month', purchase_date) + to_months(CAST(product_id % 2 AS INTEGER))
-  ELSE date_trunc('month', purchase_date) END AS DATE) AS purchase_date FROM lines),
+shifted AS (SELECT * EXCLUDE (purchase_date), CAST(CASE WHEN order_id % 5 = 0 THEN date_trunc('quarter', purchase_date) + to_months(CAST(product_id % 2 * 3 AS INTEGER))
+  ELSE date_trunc('quarter', purchase_date) END AS DATE) AS purchase_date FROM lines),
 later AS (SELECT * FROM shifted WHERE purchase_date >= DATE '1995-01-01' AND order_id % 3 > 0),
 silver AS (SELECT customer_id, product_id, product_name, order_id, quantity, line_amount FROM shifted WHERE purchase_date NOT IN (SELECT purchase_date FROM later)
   UNION ALL SELECT customer_id, product_id, product_name, order_id, quantity, 2 * line_amount FROM later)"""

@@ -16,17 +16,23 @@ _BEST_FIRST = (("revenue", "desc"), ("product_id", "asc"), ("product_name", "asc
 
 
 def _product_keys(by: str) -> list[str]:
-    if by not in ("overall", "daily"):
-        raise ValueError("by must be 'overall' or 'daily'")
-    return ["purchase_date", "product_id", "product_name"] if by == "daily" else ["product_id", "product_name"]
+    extra = {"overall": [], "daily": ["purchase_date"]}
+    if by not in extra:
+        raise ValueError(f"no such grouping: {by!r}; there are {', '.join(extra)}")
+    return [*extra[by], "product_id", "product_name"]
 
 
 def product_totals(df: DataFrame, by: str = "overall") -> DataFrame:
-    """``product_revenue`` in no particular order, for use inside other plans."""
-    return df.groupBy(*_product_keys(by)).agg(
-        F.sum("line_amount").alias("revenue"),
-        F.sum("quantity").alias("total_quantity"),
-        F.count_distinct("order_id").alias("order_count"),
+    """``product_revenue`` in no particular order, for use inside other plans.
+
+    What a product adds up to within each order comes first; products are then summed over their orders, which also counts these.
+    """
+    keys = _product_keys(by)
+    within = df.groupBy(*keys, "order_id").agg(F.sum("line_amount").alias("amount"), F.sum("quantity").alias("units"))
+    kinds = dict(within.dtypes)
+    return within.groupBy(*keys).agg(
+        F.sum("amount").cast(kinds["amount"]).alias("revenue"), F.sum("units").cast(kinds["units"]).alias("total_quantity"),
+        F.count("order_id").alias("order_count"),
     )
 
 

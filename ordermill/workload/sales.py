@@ -124,7 +124,21 @@ def daily_by_date(spark: SparkSession, folder: str) -> DataFrame:
     return daily_totals(lines).orderBy("order_date")
 
 
+def named_statuses(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per status, under names that are literal rows; a status without a name stays."""
+    names = spark.createDataFrame([("F", "finished"), ("O", "open"), ("X", "unused")], "status string, name string")
+    counts = table(spark, folder, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("orders"))
+    return match(counts, names, "status", "left")
+
+
+def first_of_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The first order of all by date and id."""
+    return orders(spark, folder).orderBy("purchase_date", "order_id").limit(1)
+
+
 QUERIES = {
+    "literal_lookup": named_statuses,
+    "first_row": first_of_days,
     "product_revenue_overall": revenue_overall,
     "product_revenue_daily": revenue_daily,
     "top_products_overall": top_overall,
@@ -161,6 +175,9 @@ SELECT CAST(purchase_date AS VARCHAR) AS order_date, CAST(sum(line_amount) AS DO
 FROM lines GROUP BY purchase_date"""
 
 SQL = {
+    "literal_lookup": """SELECT o_orderstatus AS status, count(*) AS orders, CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS name FROM orders GROUP BY 1""",
+    "first_row": """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS purchase_date FROM orders
+ORDER BY CAST(o_orderdate AS DATE), o_orderkey LIMIT 1""",
     "product_revenue_overall": f"WITH {LINES}, r AS ({_OVERALL}) SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue) FROM r",
     "product_revenue_daily": f"""WITH {LINES}, r AS ({_DAILY})
 SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue, CAST(purchase_date AS VARCHAR) AS purchase_date) FROM r""",

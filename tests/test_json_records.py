@@ -38,7 +38,7 @@ def own(spark, path):
     return tuples(spark.read.schema(SCHEMA).json(str(path), multiLine=True))
 
 
-@pytest.mark.parametrize("size", [97, 700, 1 << 27])
+@pytest.mark.parametrize("size", [97, 1 << 27])
 def test_rows_are_those_of_sparks_reader(spark, orders, tmp_path, splits, size):
     texts = [json.dumps(orders, indent=2), json.dumps(orders[:40], ensure_ascii=False), json.dumps(orders[2], indent=1), "[]", "[ ]\n",
              "﻿ " + json.dumps(orders[5:9]) + "\n\n", json.dumps([orders[7]]), " " + json.dumps({}), "[{}, {}]", json.dumps(orders[3:5], indent="\t").replace("\n", "\r\n")]
@@ -73,7 +73,7 @@ def test_broken_records_stay_apart(spark, orders, tmp_path, splits, size):
     assert sorted(r.order_id for r in rows if not r[CORRUPT]) == sorted(o["order_id"] for o in orders[:30])
 
 
-@pytest.mark.parametrize("size", [150, 1 << 27])
+@pytest.mark.parametrize("size", [150])
 @pytest.mark.parametrize("text", ["not json", '{"order_id": "a"', '[{"order_id": "a"}, {"order_id": "b"', '{"order_id": "a"}}', '[1, {"order_id": "a"}]', '"text"'])
 def test_nothing_is_lost_of_broken_files(spark, tmp_path, splits, size, text):
     (tmp_path / "a.json").write_text(text)

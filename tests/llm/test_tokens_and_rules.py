@@ -429,3 +429,30 @@ def test_pipeline_is_its_stages(spark):
     assert set(ids["source_mixing"]) <= set(ids["decontamination"]) and max(ids["source_mixing"].values()) <= 2
     assert ids["token_output"] == ids["source_mixing"]
     assert sorted(map(tuple, corpus_pipeline.run(spark, folder).collect())) == sorted(map(tuple, rows))
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_with_nulls_ties_and_odd_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    clean = [f"A clean sentence number {k} about gardens, rivers and the quiet work of people who mend old boats in winter." for k in range(6)]
+    rows = [(k, clean[k], None, "x") for k in range(5)] + [(None, clean[5], "web", "y"), (None, None, "web", "z"), (7, None, None, None), (8, "", "web", None), (3, clean[3], None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `key` string").withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    passed = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        passed = stage(spark, passed, str(tmp_path))
+        assert passed.columns == docs.columns
+    kept = Counter((r.doc_id, r.text, r.key) for r in passed.collect())
+    assert {k for k in kept} <= {(a, b, d) for a, b, _, d in rows if b} and max(kept.values()) <= 2 and len(kept) >= 3
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in out) == Counter({k: sum(n for (i, _, _), n in kept.items() if i == k) for k in {i for i, _, _ in kept}})

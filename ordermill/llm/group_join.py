@@ -12,12 +12,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import in_blocks
 from .components import labelled
-from .frames import arrow_map, buffer, id_type, slices, squeezed, texts, unsqueezed, written
+from .frames import SLICE_BYTES, arrow_map, buffer, id_type, slices, squeezed, texts, unsqueezed, written
 from .hashing import mixed, span_hashes, windows, words
 
 #: Words of a shingle, and the least similarity of a link in hundredths.
@@ -29,6 +29,10 @@ TOKEN_BITS = 48
 #: into its part of them needs no others, so only this share travels. Documents with too few give all their shingles.
 ORDERED = 3 / 8
 _EDGE = int(ORDERED * (1 << TOKEN_BITS))
+#: Shingles of so many texts or more count as equally frequent, so that a task need not hold all rows of one to count them.
+FREQUENT = 1 << 20
+#: Rows handled at once inside a task, where each has lists or texts.
+PIECE = 500
 #: Members of a bucket's block, and bytes of their packed texts, that are compared in one task with as many others.
 BLOCK, BLOCK_BYTES = 2048, 8 << 20
 
@@ -90,6 +94,13 @@ def _cut(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, run, f"doc_id {id_type(docs)}, row long, n long, n_ordered long, n_tokens long, key binary, packed binary, n_bytes long")
 
 
+def _pieces(batches):
+    """Batches of PIECE rows at most."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE):
+            yield batch.slice(at, PIECE)
+
+
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     n = batch.column("n_bytes").to_numpy()
     parts = [unsqueezed(p, k) for p, k in zip(batch.column("packed").to_pylist(), n.tolist())]
@@ -100,36 +111,98 @@ def _tokens(firsts: DataFrame) -> DataFrame:
     """token, row: the ordered shingles of each text, or all where these do not fill its prefix."""
 
     def run(batches):
-        for whole in batches:
-            for low in range(0, whole.num_rows, 1000):
-                batch = whole.slice(low, 1000)
-                sets, of = sets_of(*_unpacked(batch))
-                token = (sets >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
-                owner = np.repeat(np.arange(batch.num_rows), np.diff(of))
-                few = batch.column("n_ordered").to_numpy() < prefix_length(np.diff(of))
-                sent = np.flatnonzero((token < _EDGE) | few[owner])
-                sent = sent[np.append(True, (np.diff(token[sent]) != 0) | (np.diff(owner[sent]) != 0))[:len(sent)]]
-                yield pa.RecordBatch.from_arrays([pa.array(token[sent]), batch.column("row").take(pa.array(owner[sent]))], ["token", "row"])
+        for batch in slices(batches, "packed", SLICE_BYTES // 4):
+            sets, of = sets_of(*_unpacked(batch))
+            token = (sets >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(of))
+            few = batch.column("n_ordered").to_numpy() < prefix_length(np.diff(of))
+            sent = np.flatnonzero((token < _EDGE) | few[owner])
+            sent = sent[np.append(True, (np.diff(token[sent]) != 0) | (np.diff(owner[sent]) != 0))[:len(sent)]]
+            yield pa.RecordBatch.from_arrays([pa.array(token[sent]), batch.column("row").take(pa.array(owner[sent]))], ["token", "row"])
 
     return arrow_map(firsts.select("row", "n_ordered", "packed", "n_bytes"), run, "token long, row long")
 
 
+def shared_runs(batches, most: int):
+    """Of batches sorted by token, the rows whose token stands in another row, too, with the number of its rows, ``most`` at most.
+
+    A token's rows are held until their number is known or is ``most``, also over the borders of batches.
+    """
+    token, rows, given = None, [], 0  # the last run: its rows that are not given out yet, and how many are
+    for batch in batches:
+        tokens, own = batch.column("token").to_numpy(), batch.column("row").to_numpy()
+        if not len(tokens):
+            continue
+        begin = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        size = np.diff(np.append(begin, len(tokens)))
+        out, first = [], int(size[0])
+        if token is not None and tokens[0] == token:  # the run goes on
+            rows.append(own[:first])
+        else:
+            out += _run(token, rows, given, most)
+            token, rows, given = int(tokens[0]), [own[:first]], 0
+        if len(begin) > 1:
+            out += _run(token, rows, given, most)
+            inner = np.repeat(size[1:-1], size[1:-1])
+            some = np.flatnonzero(inner > 1)
+            out.append((tokens[begin[1]:begin[-1]][some], own[begin[1]:begin[-1]][some], np.minimum(inner[some], most)))
+            token, rows, given = int(tokens[-1]), [own[begin[-1]:]], 0
+        held = sum(map(len, rows))
+        if given or held >= most:
+            out.append((np.full(held, token), np.concatenate(rows), np.full(held, most)))
+            rows, given = [], given + held
+        yield from _batches(out)
+    yield from _batches(_run(token, rows, given, most))
+
+
+def _run(token, rows, given, most):
+    """What is left of a run that has ended."""
+    held = sum(map(len, rows))
+    if held == 0 or given + held < 2:
+        return []
+    return [(np.full(held, token), np.concatenate(rows), np.full(held, min(given + held, most)))]
+
+
+def _batches(parts):
+    if parts:
+        columns = [np.concatenate(c).astype(np.int64) for c in zip(*parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "row", "df"])
+
+
 def _prefixes(firsts: DataFrame) -> DataFrame:
-    """row, n and prefix (token and its position in the sorted set): the prefix shingles that other texts have too."""
-    tokens = _tokens(firsts).withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
-    shared = tokens.groupBy("row").agg(F.array_sort(F.collect_list(F.struct((F.col("token") >= _EDGE).alias("late"), "df", "token"))).alias("shared"))
+    """row, n, prefix (token and its position in the sorted set; the prefix shingles that other texts have too) and a 128-bit hash of it."""
+    tokens = _tokens(firsts).repartition("token").sortWithinPartitions("token")
+    tokens = arrow_map(tokens, lambda batches: shared_runs(batches, FREQUENT), "token long, row long, df long")
+    shared = tokens.groupBy("row").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
     rows = shared.join(firsts.select("row", "n", "n_ordered", "n_tokens"), "row")
-    size = F.col("n") - F.floor((F.col("n") * SIMILAR + 99) / 100) + 1
-    part = lambda late: F.filter("shared", lambda x: x["late"] == late)
-
-    def taken(part: Column, own: Column, before: Column) -> Column:
-        """Of a part with ``own`` shingles, ``before`` others in front: what is in the prefix. Those that no other text has come first."""
-        alone = own - F.size(part)
-        some = F.slice(part, 1, F.greatest(size - before - alone, F.lit(0)).cast("int"))
-        return F.transform(some, lambda x, k: F.struct(x["token"].alias("token"), (before + alone + k).alias("at")))
 
-    prefix = F.concat(taken(part(False), F.col("n_ordered"), F.lit(0)), taken(part(True), F.col("n_tokens") - F.col("n_ordered"), F.col("n_ordered")))
-    return rows.select("row", "n", prefix.alias("prefix")).where(F.size("prefix") > 0)
+    def run(batches):
+        for batch in _pieces(batches):
+            shared = batch.column("shared")
+            of = shared.offsets.to_numpy().astype(np.int64)
+            df, token = (shared.values.field(c).to_numpy()[of[0]:of[-1]] for c in ("df", "token"))
+            of, owner = of - of[0], np.repeat(np.arange(batch.num_rows), np.diff(of))
+            late = token >= _EDGE
+            order = np.lexsort((token, df, late, owner))
+            token, late = token[order], late[order]
+            n, n_ordered, n_tokens = (batch.column(c).to_numpy() for c in ("n", "n_ordered", "n_tokens"))
+            n_late = np.bincount(owner, late, batch.num_rows).astype(np.int64)
+            n_early = np.diff(of) - n_late
+            # shingles that no other text has come first in either part
+            place = np.arange(len(token)) - of[owner]
+            alone_early, alone_late = n_ordered - n_early, n_tokens - n_ordered - n_late
+            at = np.where(late, (n_ordered + alone_late - n_early)[owner] + place, alone_early[owner] + place)
+            held = np.flatnonzero(at < prefix_length(n)[owner])
+            token, at, owner = token[held], at[held], owner[held]
+            some, first = np.unique(owner, return_index=True)
+            ends = np.append(first, len(owner))
+            marks = mixed(token.astype(np.uint64)) ^ mixed(at.astype(np.uint64) + np.uint64(1 << TOKEN_BITS))
+            pairs = pa.StructArray.from_arrays([pa.array(token), pa.array(at)], ["token", "at"])
+            hashes = [span_hashes(x, ends[:-1], ends[1:]).view(np.int64) for x in (marks, mixed(marks))]
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(some)), pa.array(n[some]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs), *map(pa.array, hashes)],
+                                             ["row", "n", "prefix", "one", "two"])
+
+    return arrow_map(rows, run, "row long, n long, prefix array<struct<token: long, at: long>>, one long, two long")
 
 
 def _fits(n_a: Column, n_b: Column, at_a: Column, at_b: Column) -> Column:
@@ -146,7 +219,7 @@ def _verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
         def set_of(row, packed, n):
             return sets_of(unsqueezed(packed, n), np.array([0, n]))[0]
 
-        for batch in batches:
+        for batch in _pieces(batches):
             columns = [batch.column(c).to_pylist() for c in ("a", "packed_a", "bytes_a", "b", "packed_b", "bytes_b")]
             good = [similar(set_of(*row[:3]), set_of(*row[3:])) for row in zip(*columns)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -155,25 +228,40 @@ def _verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     return arrow_map(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "packed_a", "bytes_a", "packed_b", "bytes_b"), run, "a long, b long")
 
 
+def _distinct_buckets(members: DataFrame) -> DataFrame:
+    """Of ``members`` (bucket, row, label; a row once per bucket) the buckets whose members have different labels, and of buckets
+    with the same members one. Near copies of a long text share hundreds of shingles, and so hundreds of equal buckets."""
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "row")).alias(f"mark{seed}") for seed in (1, 2)]
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("n"), *marks, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return members.join(buckets.groupBy("n", "mark1", "mark2").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+
+
 def _rest(apart: DataFrame, kept: DataFrame) -> DataFrame:
     """Links (a, b) between members of a bucket whose labels differ; of those that join the same two labels in one task, one.
 
-    Pairs of one group are looked at in the group's own bucket (below 0), others in the first shingle that they share.
+    Near copies share many buckets, so texts are not sent to each. Rows that buckets connect are a crowd; a crowd that fits into
+    one block is compared at once, every pair that shares a bucket, so its texts are sent once. Of larger crowds every
+    bucket is compared in blocks, a pair in the least bucket that it shares.
     """
-    held = apart.join(kept.select("row", "n", "prefix", "packed", "n_bytes"), "row")
-    held = held.withColumn("tokens", F.col("prefix.token")).withColumn("ats", F.col("prefix.at")).drop("prefix")
-
-    def run(table: pa.Table) -> pa.Table:
+    starts = apart.groupBy("bucket").agg(F.min("row").alias("a"))
+    crowds = labelled(apart.join(starts, "bucket").where("row <> a").select("a", F.col("row").alias("b"))).toDF("row", "crowd")
+    rows = apart.groupBy("row", "label").agg(F.array_sort(F.collect_list("bucket")).alias("buckets"))
+    rows = rows.join(crowds, "row").join(kept, "row")
+    sizes = rows.groupBy("crowd").agg(F.count("*").alias("size"), F.sum(F.octet_length("packed")).alias("bytes"))
+    fits = (F.col("size") <= BLOCK) & (F.col("bytes") <= BLOCK_BYTES)
+    rows = written(rows.join(sizes.select("crowd", fits.alias("fits")), "crowd"), "crowds")
+    at_once = rows.where("fits").withColumn("bucket", F.col("crowd")).withColumns({c: F.lit(0) for c in ("block", "low", "high")})
+    held = apart.select("bucket", "row").join(rows.where("not fits"), "row")
+    columns = ["bucket", "low", "high", "block", "row", "label", "n", "n_bytes", "packed", "buckets"]
+
+    def compared(table: pa.Table, at_once: bool) -> pa.Table:
         get = lambda c: table.column(c).to_numpy()
-        row, label, block, n, gid, n_bytes = (get(c) for c in ("row", "label", "block", "n", "gid", "n_bytes"))
+        row, label, block, n, n_bytes = (get(c) for c in ("row", "label", "block", "n", "n_bytes"))
         bucket, one_block = table.column("bucket")[0].as_py(), table.column("low")[0] == table.column("high")[0]
         packed = table.column("packed")
-        tokens, ats = (table.column(c).to_pylist() for c in ("tokens", "ats"))
-        here = [t.index(bucket) if bucket >= 0 else 0 for t in tokens]
-        at = np.array([a[k] for a, k in zip(ats, here)])
-        earlier = [t[:k] for t, k in zip(tokens, here)]
-        of = np.concatenate([[0], np.cumsum([len(e) for e in earlier])])
-        _, code = np.unique(np.array([x for e in earlier for x in e], np.int64), return_inverse=True)
+        told = [b if at_once else b[:b.index(bucket)] for b in table.column("buckets").to_pylist()]
+        of = np.concatenate([[0], np.cumsum([len(e) for e in told])])
+        _, code = np.unique(np.array([x for e in told for x in e], np.int64), return_inverse=True)
         mark = np.zeros(len(code) + 1, np.int64)
         parent: dict[int, int] = {}
 
@@ -190,12 +278,11 @@ def _rest(apart: DataFrame, kept: DataFrame) -> DataFrame:
         for i in np.argsort(row).tolist():
             fits = (label != label[i]) & ((row > row[i]) if one_block else (block > block[i]))
             fits &= (n * 100 >= n[i] * SIMILAR) & (n[i] * 100 >= n * SIMILAR)
-            if bucket >= 0 and fits.any():
-                fits &= (gid != gid[i]) & (np.minimum(n - at, n[i] - at[i]) * (100 + SIMILAR) >= (n + n[i]) * SIMILAR)
+            if fits.any():
                 mark[code[of[i]:of[i + 1]]] = 1
                 common = np.concatenate([[0], np.cumsum(mark[code])])
                 mark[code[of[i]:of[i + 1]]] = 0
-                fits &= common[of[1:]] == common[of[:-1]]
+                fits &= (common[of[1:]] > common[of[:-1]]) if at_once else (common[of[1:]] == common[of[:-1]])
             for j in np.flatnonzero(fits).tolist():
                 if root(label[i]) != root(label[j]) and similar(set_of(i), set_of(j)):
                     parent[root(label[i])] = root(label[j])
@@ -203,7 +290,15 @@ def _rest(apart: DataFrame, kept: DataFrame) -> DataFrame:
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    return in_blocks(held, BLOCK, BLOCK_BYTES).groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long")
+    def of_crowd(table: pa.Table) -> pa.Table:
+        return compared(table, True)
+
+    def of_bucket(table: pa.Table) -> pa.Table:
+        return compared(table, False)
+
+    links = at_once.select(*columns).groupBy("bucket", "low", "high").applyInArrow(of_crowd, "a long, b long")
+    blocks = in_blocks(held, BLOCK, BLOCK_BYTES).select(*columns)
+    return links.union(blocks.groupBy("bucket", "low", "high").applyInArrow(of_bucket, "a long, b long"))
 
 
 def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,7 +318,7 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = staged.where("packed is not null")
     classes = written(staged.where("key is not null").groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id")), "classes")
     prefixes = _prefixes(firsts).join(classes.select("row"), "row")
-    prefixes = written(prefixes.withColumn("group", F.struct("n", F.xxhash64("prefix").alias("one"), F.xxhash64(F.lit(1), "prefix").alias("two"))), "prefixes")
+    prefixes = written(prefixes.withColumn("group", F.struct("n", "one", "two")), "prefixes")
     groups = prefixes.groupBy("group").agg(F.min("row").alias("gid"), F.count("*").alias("members"))
     members = written(prefixes.select("row", "n", "group").join(groups, "group").select("row", "gid", "members"), "members")
 
@@ -239,17 +334,15 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = pairs.union(members.where("row <> gid").select(F.col("gid").alias("a"), F.col("row").alias("b")))
 
     touched = index.select("gid").union(members.where("row <> gid").select("gid")).distinct()
-    kept = firsts.select("row", "packed", "n_bytes").join(prefixes.select("row", "n", "prefix"), "row").join(members.join(touched, "gid").select("row", "gid"), "row")
-    kept = written(kept, "candidates")
+    kept = written(firsts.select("row", "n", "packed", "n_bytes").join(members.join(touched, "gid").select("row"), "row"), "candidates")
     links = written(_verified(pairs, kept), "links")
     labels = labelled(links)
 
-    inside = members.where("members > 2 and row <> gid").select((-1 - F.col("gid")).alias("bucket"), "row", "gid")
+    inside = members.where("members > 2 and row <> gid").select((-1 - F.col("gid")).alias("bucket"), "row")
     others = index.join(centres.select("bucket", "c.centre"), "bucket").join(members.select("gid", "row"), "gid").where(F.col("row") != F.col("centre"))
-    apart = others.select("bucket", "row", "gid").union(inside).join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    mixed_up = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
-    apart = written(apart.join(mixed_up, "bucket"), "apart")
-    labels = labelled(written(links.union(_rest(apart, kept.drop("gid"))), "links"))
+    apart = others.select("bucket", "row").union(inside).join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+    apart = written(_distinct_buckets(apart), "apart")
+    labels = labelled(written(links.union(_rest(apart, kept)), "links"))
 
     named = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     smallest = named.groupBy("label").agg(F.min("first_id").alias("component_id"))

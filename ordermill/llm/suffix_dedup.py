@@ -19,8 +19,8 @@ from .hashing import BASE, INVERSE, mixed, powers, span_hashes
 
 #: Bytes of a string that must not repeat, of the grams that anchor it, and of a symbol of the suffix order.
 WINDOW, GRAM, SYMBOL = 200, 32, 8
-#: Text of a part: the documents one task call handles together; and how much of it is hashed at once.
-PART_BYTES, STEP_BYTES = 8 << 20, 1 << 20
+#: Text of a part: the documents one task call handles together; and how much of it is hashed at once, so that it stays in cache.
+PART_BYTES, STEP_BYTES = 8 << 20, 1 << 16
 #: Buckets per part.
 BUCKETS = 4
 #: A gram is crowded if it anchors more than this share of all places, and more than LEAST of them. Fewer than 1 / CROWDED are.
@@ -174,9 +174,9 @@ def crowded_grams(docs: DataFrame) -> np.ndarray:
 
     def run(batches):
         for batch in slices(batches):
-            for values, offsets, _ in _steps(batch.column("text")):
-                gram, n = np.unique(Runs(values, offsets, np.zeros(0, np.uint64)).places, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n, pa.int64())], ["gram", "n"])
+            places = [Runs(values, offsets, np.zeros(0, np.uint64)).places for values, offsets, _ in _steps(batch.column("text"))]
+            gram, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *places]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n, pa.int64())], ["gram", "n"])
 
     counts = arrow_map(docs.select("text"), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > LEAST)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -106,8 +106,9 @@ def explode_check(raw: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def table_shape(spark: SparkSession, table: str) -> tuple[DataFrame, DataFrame]:
-    """(row count, extended description) of a catalogue table."""
-    return spark.table(table).agg(F.count(F.lit(1)).alias("row_count")), spark.sql(f"DESCRIBE EXTENDED {table}")
+    """(row count, extended description) of a catalogue table; the description's order is its ``position``, as rows of a frame have none."""
+    description = spark.sql(f"DESCRIBE EXTENDED {table}").withColumn("position", F.monotonically_increasing_id())
+    return spark.table(table).agg(F.count(F.lit(1)).alias("row_count")), description
 
 
 def join_counts(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -139,7 +139,7 @@ def shape_of_orders(spark: SparkSession, folder: str) -> DataFrame:
         save_table(source, name, path=f"{root}/{name}")
         try:
             rows, described = table_shape(spark, name)
-            columns = described.limit(3).select(F.concat_ws(" ", "col_name", "data_type").alias("what"), F.lit(None).cast("bigint").alias("n"))
+            columns = described.orderBy("position").limit(3).select(F.concat_ws(" ", "col_name", "data_type").alias("what"), F.lit(None).cast("bigint").alias("n"))
             return stable(columns.unionByName(rows.select(F.lit("rows").alias("what"), F.col("row_count").alias("n"))))
         finally:
             spark.sql(f"DROP TABLE {name}")

@@ -75,6 +75,8 @@ def test_catalogue_table(spark, silver):
     count, description = table_shape(spark, "order_lines_test")
     assert count.first().row_count == 6
     assert "# Partition Information" in [r.col_name for r in description.collect()]
+    moved = description.repartition(5, F.reverse("col_name"))  # as rows come from several executors
+    assert [r.col_name for r in moved.orderBy("position").limit(3).collect()] == silver.drop("purchase_date").columns[:3]
     save_table(silver.limit(1), "order_lines_test")
     assert spark.table("order_lines_test").count() == 1
     spark.sql("DROP TABLE order_lines_test")

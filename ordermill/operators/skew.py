@@ -13,9 +13,11 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..workspace import stable
+from ..workspace import file_bytes, stable
 
 GROUP_ROWS = 5_000_000
+#: Bytes of input files per task of ``dealt``: about 550,000 order lines in Parquet.
+TASK_BYTES = 8 << 20
 
 
 class GroupSizes(NamedTuple):
@@ -56,6 +58,17 @@ def crowded_keys(counts: DataFrame, keys: Sequence[str], group_rows: int = GROUP
     return None if crowded.isEmpty() else crowded
 
 
+def dealt(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` shuffled by ``by``, in as many tasks as the files it is made from have ``TASK_BYTES``, so that a task gets no more
+    rows when the input grows. Small input, and frames that come from no files, stay as they are.
+
+    Adaptive execution joins partitions until they have 64 MB as shuffled, which can be ten million short rows; sorts and hash tables
+    that meet in one task then take gigabytes. It leaves a given number of tasks alone.
+    """
+    tasks = -(-file_bytes(df) // TASK_BYTES)
+    return df.repartition(tasks, *by) if tasks > 1 else df
+
+
 def same_key(left: Sequence[str], right: Sequence[str]) -> Column:
     """Null-safe equality of two key lists."""
     condition = F.lit(True)

@@ -58,6 +58,13 @@ def folder_names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(path)] if system.exists(path) else []
 
 
+def file_bytes(df: DataFrame) -> int:
+    """The size of all files that ``df`` is made from; no job is started."""
+    spark = df.sparkSession
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name)) for name in df.inputFiles()]
+    return sum(path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen() for path in paths)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[str]:
     """A fresh shared folder, removed at the end."""

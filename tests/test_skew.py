@@ -1,10 +1,15 @@
 """The paths for crowded keys give the same rows as the plain ones."""
 
+import re
+
 import pytest
 from pyspark.sql import Window, functions as F
 
 from ordermill.operators import match, neighbour, prefix_sum, ranked, row_numbers, running_total, scd2, with_customer_total
+from ordermill.operators.metrics import product_totals
 from ordermill.operators.skew import crowded_keys, group_sizes
+from ordermill.workload.tables import order_lines
+from ordermill.workspace import file_bytes
 from tests.conftest import plan, tuples
 
 
@@ -160,3 +165,12 @@ def test_history_of_a_crowded_key(spark, facts):
         F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
     dim = spark.sql("SELECT 7 AS k, 1L AS state, DATE '2019-01-01' AS valid_from")
     assert tuples(scd2(dim, changes, ["k"], ["state"], "day", group_rows=40)) == tuples(scd2(dim, changes, ["k"], ["state"], "day"))
+
+
+def test_product_totals_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    lines = order_lines(spark, "/root/testdata/sf0.001")
+    before = {by: tuples(product_totals(lines, by)) for by in ("overall", "daily")}
+    monkeypatch.setattr("ordermill.operators.skew.TASK_BYTES", file_bytes(lines) // 9)
+    for by, rows in before.items():
+        assert re.search(r"hashpartitioning\(.*order_id#\d+L?, \d+\), REPARTITION_BY_NUM", plan(product_totals(lines, by)))
+        assert tuples(product_totals(lines, by)) == rows

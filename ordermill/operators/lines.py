@@ -10,7 +10,7 @@ from ..functions import blank_to_null, line_amount, parse_date, parse_number
 from ..schemas import CRITICAL, ORDER_KEY
 from ..workspace import stable
 from .joins import match
-from .skew import GROUP_ROWS
+from .skew import GROUP_ROWS, dealt
 
 
 def explode_lines(raw: DataFrame, keep: str | None = None) -> DataFrame:
@@ -68,7 +68,9 @@ def deduplicate(
     with very many copies stays cheap.
     """
     if strategy == "drop":
-        return df.dropDuplicates(list(keys))
+        # Dealt by key and task, so that the copies of one key are still met by many tasks, none of which gets more when the input grows.
+        spread = dealt(df.withColumn("_task", F.spark_partition_id()), [*keys, "_task"])
+        return spread.drop("_task").dropDuplicates(list(keys))
     if strategy != "prefer_latest":
         raise ValueError("strategy must be 'prefer_latest' or 'drop'")
     if order_by is None:

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import Window, functions as F
 
-from ordermill.operators import match, neighbour, prefix_sum, ranked, row_numbers, running_total, scd2, with_customer_total
+from ordermill.operators import deduplicate, match, neighbour, prefix_sum, ranked, row_numbers, running_total, scd2, with_customer_total
 from ordermill.operators.metrics import product_totals
 from ordermill.operators.skew import crowded_keys, group_sizes
+from ordermill.workload import QUERIES
 from ordermill.workload.tables import order_lines
 from ordermill.workspace import file_bytes
 from tests.conftest import plan, tuples
@@ -174,3 +175,21 @@ def test_product_totals_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
     for by, rows in before.items():
         assert re.search(r"hashpartitioning\(.*order_id#\d+L?, \d+\), REPARTITION_BY_NUM", plan(product_totals(lines, by)))
         assert tuples(product_totals(lines, by)) == rows
+
+
+@pytest.mark.parametrize("name, by", [("dedup_drop_keys", "_task")])
+def test_large_groupings_are_made_in_tasks_of_bounded_size(spark, monkeypatch, name, by):
+    folder = "/root/testdata/sf0.001"
+    before = tuples(QUERIES[name](spark, folder))
+    monkeypatch.setattr("ordermill.operators.skew.TASK_BYTES", 1 << 13)
+    dealt = QUERIES[name](spark, folder)
+    assert re.search(rf"hashpartitioning\(.*{by}#\d+L?, \d+\), REPARTITION_BY_NUM", plan(dealt))
+    assert tuples(dealt) == before
+
+
+def test_dropping_copies_of_one_key_is_shared_by_tasks(spark, tmp_path, monkeypatch):
+    spark.range(8000).select((F.col("id") % 1).alias("k")).repartition(8).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr("ordermill.operators.skew.TASK_BYTES", -(-file_bytes(rows) // 8))
+    assert tuples(deduplicate(rows, ["k"], "drop")) == [(0,)]
+    assert "_task" in plan(deduplicate(rows, ["k"], "drop"))

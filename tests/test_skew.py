@@ -177,7 +177,7 @@ def test_product_totals_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
         assert tuples(product_totals(lines, by)) == rows
 
 
-@pytest.mark.parametrize("name, by", [("dedup_drop_keys", "_task"), ("dedup_recheck", "product_id")])
+@pytest.mark.parametrize("name, by", [("dedup_drop_keys", "_task"), ("dedup_recheck", "product_id"), ("daily_sales", "order_id")])
 def test_large_groupings_are_made_in_tasks_of_bounded_size(spark, monkeypatch, name, by):
     folder = "/root/testdata/sf0.001"
     before = tuples(QUERIES[name](spark, folder))

@@ -16,7 +16,7 @@ from ..schemas import CORRUPT
 from ..sinks import VersionedTable, write_current, write_partitions, write_quarantine, write_snapshot
 from ..sources import ingest_path, read_raw_orders
 from ..workspace import staged, staging
-from .states import daily_products, daily_states, order_amounts, overall_products, stale_dates, state_table, update_customer_totals
+from .states import bring_up_to_date, daily_products, on_dates, order_amounts, overall_products, stale_dates, state_table, update_customer_totals
 
 
 @dataclass(frozen=True)
@@ -99,10 +99,11 @@ def silver_to_gold(
 ) -> None:
     """Publish product revenue (daily and overall), top products, customer totals and order figures.
 
-    ``changed_dates`` are the purchase dates that silver has anew; by default all. Silver is read once, and only these
+    ``changed_dates`` are the purchase dates that silver has anew; by default all. Silver is read in one step, and only these
     dates of it, besides dates that gold has not seen. What each date adds up to is kept under ``<gold>/_state`` (see
-    ``plans.states``); overall tables are made from that, and customer totals from what changed of it. Daily
-    tables are written for the dates that were read; dates that silver has no longer are taken out of the overall tables.
+    ``plans.states``), and made anew where the date's lines are others than before; overall tables are made from that, and
+    customer totals from what changed of it. Daily tables are written for the dates that were read; dates that silver has no
+    longer are taken out of the overall tables.
     ``tasks`` is passed to ``write_partitions``.
     """
     gold, lines_path = gold_root.rstrip("/"), f"{silver_root.rstrip('/')}/order_lines"
@@ -112,21 +113,19 @@ def silver_to_gold(
 
     with staging(spark) as folder:
         silver = spark.read.parquet(lines_path)
-        on_dates = F.col("purchase_date").isin([datetime.date.fromisoformat(value) for value in dates])
         if dates or gone or states.version() is None:
             narrow = ["purchase_date", "order_id", "customer_id", "product_id", "product_name", "quantity", "line_amount"]
-            changed = staged(silver.where(on_dates).select(*narrow), f"{folder}/lines")
-            states.replace(daily_states(changed), dates | gone, sort_by=["kind"])
+            bring_up_to_date(states, silver.where(on_dates(dates)).select(*narrow), dates, gone)
         update_customer_totals(states, customers)
         states.vacuum()
         customers.vacuum()
 
         known = states.read()
-        daily = staged(daily_products(known.where(on_dates)), f"{folder}/daily")
-        write_partitions(daily, f"{gold}/product_revenue", "purchase_date", tasks=tasks)
+        daily = daily_products(known.where(on_dates(dates)))
+        write_partitions(daily, f"{gold}/product_revenue", "purchase_date", tasks=tasks, gather=False)  # a date's states are in few files
         write_partitions(top_of_totals(daily, top_n, "daily"), f"{gold}/top_products_daily", "purchase_date", tasks=tasks)
 
-        write_current(overall_products(known), f"{gold}/product_revenue_overall")
+        write_current(overall_products(known, f"{folder}/spread"), f"{gold}/product_revenue_overall")
         write_current(customers.read().select("customer_id", F.col("revenue").alias("customer_total_revenue"), "lines"), f"{gold}/customer_revenue")
         totals = spark.read.parquet(f"{gold}/product_revenue_overall")
         top = staged(top_of_totals(totals, top_n, "overall"), f"{folder}/top")

@@ -1,42 +1,80 @@
 """Gold figures that follow silver without reading its history again.
 
-Of every purchase date the gold folder keeps partial aggregates, its state: what that day's lines add up to per product, per
-order, per customer, and which products each order has. A load replaces the states of the dates it brought. Sums add up over
+Of every purchase date the gold folder keeps its state: what that day's products add up to, and the lines themselves, in the
+columns that figures of orders and customers need. A load replaces the states of the dates it brought. Sums add up over
 days. Distinct orders do not: an order with lines on several days counts on each, so these orders, which are found in the states,
 are taken off again. All states are one versioned table, so a load replaces them in one step.
+
+Lines of one day hardly ever share an order and a product, and not many share a customer, so what orders and customers add up to
+per day would have nearly as many rows as the lines, and would have to be shuffled for it. Lines go into the state as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import datetime
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.fingerprint import fingerprint
+from ..operators.joins import FILTER_BITS, filtered_match, match
 from ..sinks import VersionedTable
-from ..workspace import folder_names
+from ..workspace import folder_names, staged
 
 _PRODUCT = ["product_id", "product_name"]
-#: What a state of each kind is about, besides its date.
-_KEYS = {"product": _PRODUCT, "order": ["order_id"], "customer": ["customer_id"], "product of order": ["order_id", *_PRODUCT]}
 _DAY = "purchase_date"
+#: Lines per slice of a date and, on average, per task: half of what ``dealt`` gives a task, as some tasks get several slices.
+TASK_ROWS = 275_000
+
+
+def _by_day(lines: DataFrame, rows: Collection[int]) -> DataFrame:
+    """``lines`` with ``_slice``, shuffled by date and slice of the products, so that a task gets no more rows when the input grows and a
+    date's rows are in few tasks. The largest of the dates' ``rows`` gives the slices of a date, all of them the tasks."""
+    tasks, slices = -(-sum(rows) // TASK_ROWS), max(1, -(-max(rows, default=0) // TASK_ROWS))
+    sliced = lines.withColumn("_slice", F.pmod(F.xxhash64("product_id"), F.lit(slices)))
+    return sliced.repartition(tasks, _DAY, "_slice") if tasks > 1 else sliced
+
+
+def _product_days(lines: DataFrame, rows: Collection[int]) -> DataFrame:
+    """``product_totals(lines, "daily")`` from one shuffle: the same rows serve the sums within each order and those of the products."""
+    keys = [_DAY, "_slice", *_PRODUCT]
+    within = _by_day(lines.select(_DAY, "order_id", *_PRODUCT, "quantity", "line_amount"), rows).groupBy(*keys, "order_id").agg(
+        F.sum("line_amount").alias("amount"), F.sum("quantity").alias("units"))
+    kinds = dict(within.dtypes)
+    return within.groupBy(*keys).agg(
+        F.sum("amount").cast(kinds["amount"]).alias("revenue"), F.sum("units").cast(kinds["units"]).alias("quantity"), F.count("order_id").alias("orders"))
+
+
+def daily_states(lines: DataFrame, rows: Collection[int] = ()) -> DataFrame:
+    """All states of the dates of ``lines``: ``kind``, the date and the product; of products revenue, quantity and orders (distinct), of
+    lines the order, the customer and the amount. Other columns are null. ``rows`` are the numbers of lines of the dates, where known."""
+    sums, own = ["revenue", "quantity", "orders"], ["order_id", "customer_id", "line_amount"]
+    products = _product_days(lines, rows)
+    product = products.select(F.lit("product").alias("kind"), _DAY, *_PRODUCT, *sums, *[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in own])
+    line = lines.select(F.lit("line").alias("kind"), _DAY, *_PRODUCT, *[F.lit(None).cast(products.schema[c].dataType).alias(c) for c in sums], *own)
+    return product.unionByName(line)
+
+
+def bring_up_to_date(states: VersionedTable, lines: DataFrame, dates: set[str], gone: set[str]) -> None:
+    """Make the states of ``dates`` from ``lines``, silver's lines of these dates, and take out those of the dates ``gone``.
+
+    A version notes the fingerprint of the lines that each date's state was made from. A date whose lines have the same one has the
+    same state, and keeps it: a load that comes again only costs a scan.
+    """
+    manifest = states.manifest()
+    known = manifest.note.get("lines", {}) if manifest else {}
+    days = fingerprint(lines, _DAY).select(F.col(_DAY).cast("string"), "rows", F.col("sum_a").cast("string"), F.col("sum_b").cast("string")).collect()  # a row per date
+    found = {row[0]: list(row[1:]) for row in days}
+    fresh = {day for day in dates if found.get(day) != known.get(day)}
+    if manifest and not fresh and not gone:
+        return
+    noted = {day: of for day, of in known.items() if day not in fresh | gone} | {day: found[day] for day in fresh if day in found}
+    rows = [found[day][0] for day in fresh if day in found]
+    states.replace(daily_states(lines.where(on_dates(fresh)), rows), fresh | gone, note={"lines": noted}, sort_by=["kind", "order_id"], gather=False)
 
 
-def daily_states(lines: DataFrame) -> DataFrame:
-    """All states of the dates of ``lines``: ``kind``, the date, the keys of that kind (others null), revenue, priced (lines with
-    an amount), lines, quantity and orders (distinct, of products)."""
-    ids = list(dict.fromkeys(key for keys in _KEYS.values() for key in keys))
-    parts = []
-    for kind, keys in _KEYS.items():
-        grouped = lines.groupBy(_DAY, *keys).agg(
-            F.sum("line_amount").alias("revenue"), F.count("line_amount").alias("priced"), F.count(F.lit(1)).alias("lines"),
-            F.sum("quantity").alias("quantity"),
-            (F.count_distinct("order_id") if kind == "product" else F.lit(None).cast("bigint")).alias("orders"))
-        columns = [F.col(i) if i in keys else F.lit(None).cast(lines.schema[i].dataType).alias(i) for i in ids]
-        parts.append(grouped.select(F.lit(kind).alias("kind"), _DAY, *columns, "revenue", "priced", "lines", "quantity", "orders"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def on_dates(dates: Iterable[str]) -> Column:
+    return F.col(_DAY).isin([datetime.date.fromisoformat(day) for day in dates])
 
 
 def state_table(spark: SparkSession, gold_root: str) -> VersionedTable:
@@ -63,28 +101,37 @@ def _sum_like(name: str, states: DataFrame) -> Column:
     return F.sum(name).cast(states.schema[name].dataType).alias(name)
 
 
-def overall_products(states: DataFrame) -> DataFrame:
-    """``product_totals`` over all dates, from states alone."""
+def overall_products(states: DataFrame, folder: str | None = None) -> DataFrame:
+    """``product_totals`` over all dates, from states alone. With ``folder`` the orders with lines on several days are staged there, so
+    that lines of others can be left out before they are shuffled."""
     days = _of(states, "product").groupBy(*_PRODUCT).agg(_sum_like("revenue", states), _sum_like("quantity", states), F.sum("orders").alias("orders"))
-    spread = _of(states, "order").groupBy("order_id").agg(F.count(F.lit(1)).alias("days")).where("days > 1 AND order_id IS NOT NULL").select("order_id")
-    again = (
-        _of(states, "product of order").join(spread, "order_id", "left_semi")
-        .groupBy("order_id", *_PRODUCT).agg((F.count(F.lit(1)) - 1).alias("again")).groupBy(*_PRODUCT).agg(F.sum("again").alias("again"))
-    )
+    lines = _of(states, "line").select(_DAY, "order_id", *_PRODUCT)
+    spread = lines.groupBy("order_id").agg(F.min(_DAY).alias("first"), F.max(_DAY).alias("last")).where("first < last AND order_id IS NOT NULL").select("order_id")
+    if folder is None:
+        several = match(lines, spread, "order_id", "left_semi")
+    else:
+        spread = staged(spread, folder)
+        several = filtered_match(lines, spread, "order_id", "left_semi", bits=_filter_bits(spread.count()))
+    again = several.groupBy("order_id", *_PRODUCT).agg((F.count_distinct(_DAY) - 1).alias("again")).groupBy(*_PRODUCT).agg(F.sum("again").alias("again"))
     same = [F.col(f"d.{key}").eqNullSafe(F.col(f"a.{key}")) for key in _PRODUCT]
     joined = days.alias("d").join(again.alias("a"), same[0] & same[1], "left")
     return joined.select(*[f"d.{key}" for key in _PRODUCT], "revenue", F.col("quantity").alias("total_quantity"),
                          (F.col("orders") - F.coalesce("again", F.lit(0))).alias("order_count"))
 
 
+def _filter_bits(keys: int) -> int:
+    """At least 8 bits a key, up to ``FILTER_BITS``: of other keys at most one in 16 passes the filter."""
+    return min(FILTER_BITS, 1 << max(20, (8 * keys - 1).bit_length()))
+
+
 def daily_products(states: DataFrame) -> DataFrame:
     """``product_totals(..., "daily")`` from states."""
     return _of(states, "product").select(_DAY, *_PRODUCT, "revenue", F.col("quantity").alias("total_quantity"), F.col("orders").alias("order_count"))
 
 
 def order_amounts(states: DataFrame) -> DataFrame:
-    """An amount per order and date, from which ``average_order_value`` is the same as from all lines."""
-    return _of(states, "order").select("order_id", F.col("revenue").alias("line_amount"))
+    """The amounts of all lines with their orders, for ``average_order_value``."""
+    return _of(states, "line").select("order_id", "line_amount")
 
 
 def update_customer_totals(states: VersionedTable, totals: VersionedTable) -> int | None:
@@ -97,15 +144,17 @@ def update_customer_totals(states: VersionedTable, totals: VersionedTable) -> in
     until, old = states.version(), totals.manifest()
     if until is None or (old and old.note.get("states") == until):
         return old and old.number
-    columns = ["customer_id", "revenue", "priced", "lines"]
+    kind = states.manifest().schema["revenue"].dataType
+
+    def summed_up(lines: DataFrame, sign: int = 1) -> DataFrame:
+        priced = F.col("line_amount").isNotNull().cast("int")
+        return lines.select("customer_id", (F.col("line_amount") * sign).cast(kind).alias("revenue"), (priced * sign).alias("priced"), F.lit(sign).alias("lines"))
+
     if old and old.note.get("states") in states.versions():
         went, came = states.changes(old.note["states"], until)
-        negative = [(-F.col(c)).alias(c) for c in columns[1:]]
-        parts = totals.read().select(*columns).unionByName(_of(came, "customer").select(*columns))
-        parts = parts.unionByName(_of(went, "customer").select("customer_id", *negative))
+        parts = totals.read().select("customer_id", "revenue", "priced", "lines").unionByName(summed_up(_of(came, "line"))).unionByName(summed_up(_of(went, "line"), -1))
     else:  # no totals yet, or what they follow is gone
-        parts = _of(states.read(), "customer").select(*columns)
-    kind = states.manifest().schema["revenue"].dataType
+        parts = summed_up(_of(states.read(), "line"))
     summed = parts.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"), F.sum("priced").alias("priced"), F.sum("lines").alias("lines"))
     revenue = F.when(F.col("priced") > 0, F.coalesce("revenue", F.lit(0))).cast(kind)
     return totals.replace(summed.where("lines > 0").withColumn("revenue", revenue), note={"states": until})

@@ -138,18 +138,19 @@ class VersionedTable:
 
     # Writing
 
-    def replace(self, df: DataFrame, values: Iterable | None = None, note: dict | None = None, sort_by: Sequence[str] = ()) -> int:
+    def replace(self, df: DataFrame, values: Iterable | None = None, note: dict | None = None, sort_by: Sequence[str] = (), gather: bool = True) -> int:
         """Put ``df`` in the place of the partition ``values`` and of those it has rows for, or, without ``values``, of the whole
-        table; returns the new version. Values without rows are gone then. ``note`` is kept with the version."""
+        table; returns the new version. Values without rows are gone then. ``note`` is kept with the version. Without ``gather`` the
+        rows are not shuffled by value first: every task writes those it has."""
         old = self.manifest()
         if old is not None and values is not None and set(df.columns) != set(old.schema.names):
             raise ValueError(f"columns {df.columns}, but the table has {old.schema.names}")
         load = f"v{uuid.uuid4().hex}"
         folder = f"{self.path}/data/{_LOAD}={load}"
         kept = df if old is None or values is None else df.select(*old.schema.names)
-        gathered = kept.hint("rebalance", *([self.by] if self.by else []))
+        gathered = kept.hint("rebalance", *([self.by] if self.by else [])) if gather else kept
         order = [*([self.by] if self.by else []), *sort_by]
-        (gathered.sortWithinPartitions(*order) if order else gathered).write.parquet(folder)
+        (gathered.sortWithinPartitions(*order) if order else gathered).write.option("compression", "zstd").parquet(folder)
         stored = self.spark.read.schema(kept.schema).parquet(folder)
         held = self._values(stored)
         gone = {None if v is None else str(v) for v in values} | set(held) if values is not None else None

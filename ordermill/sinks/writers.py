@@ -31,17 +31,22 @@ def write_partitions(
     incremental: bool = True,
     sort_by: Sequence[str] = (),
     tasks: int | None = None,
+    gather: bool = True,
 ) -> None:
     """Write ``df`` partitioned by ``by``.
 
     With ``incremental`` an overwrite replaces only the partitions that ``df`` has rows for; the
     setting belongs to this write, not to the session. ``sort_by`` orders the rows inside the
     files, which makes their statistics selective. Adaptive execution spreads the rows over tasks, unless
-    ``tasks`` gives their number; then a partition is one file.
+    ``tasks`` gives their number; then a partition is one file. Without ``gather`` every task writes the rows it has, which saves
+    the shuffle where a task has few partition values, as of a table that is partitioned by ``by`` already.
     """
-    if tasks is None and df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+    if gather and tasks is None and df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         raise RuntimeError("spark.sql.adaptive.enabled is off: pass tasks, as nothing else gathers the rows")
-    gathered = df.hint("rebalance", by) if tasks is None else _by_value(df, by, tasks)
+    if tasks is not None:
+        gathered = _by_value(df, by, tasks)
+    else:
+        gathered = df.hint("rebalance", by) if gather else df
     gathered = gathered.sortWithinPartitions(by, *sort_by)
     (
         gathered.write.mode(mode)

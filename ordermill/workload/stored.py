@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import day_of
+from ..functions import day_of, line_amount
 from ..operators import match, rolling_days
 from ..operators.fingerprint import differing_groups
 from ..operators.joins import filtered_match, on_chosen
@@ -16,7 +16,7 @@ from ..sinks.clustering import write_clustered
 from ..sources import calendar, read_table
 from ..workspace import kept, stable, staging
 from .reshaping import _priorities
-from .tables import LINES, order_lines, orders, products, table
+from .tables import LINES, order_lines, orders, products, table, unpriced_lines
 
 DATES = ("1995-01-02", "1996-02-29", "1996-12-31", "1998-08-02")
 
@@ -48,14 +48,21 @@ def stored_history(spark: SparkSession, folder: str) -> DataFrame:
 
 def _two_loads(spark: SparkSession, folder: str, root: str) -> None:
     """Silver and gold by quarter after two loads, the second of which brings everything since 1995 anew, and comes twice."""
-    lines = order_lines(spark, folder).select(
+    # joined with the orders last, so that lines of an order lie together
+    lines = match(match(unpriced_lines(spark, folder), products(spark, folder), "product_id"), orders(spark, folder), "order_id")
+    lines = lines.withColumn("line_amount", line_amount("quantity", "price")).select(
         "order_id", "customer_id", F.trunc("purchase_date", "quarter").alias("purchase_date"), "product_id", "product_name", "quantity", "line_amount")
     # some lines of every fifth order come a quarter later, so that orders spread over dates
     lines = lines.withColumn("purchase_date", F.when(F.col("order_id") % 5 == 0, F.add_months("purchase_date", (F.col("product_id") % 2 * 3).cast("int"))).otherwise(F.col("purchase_date")))
-    later = lines.where("purchase_date >= '1995-01-01' AND order_id % 3 > 0").withColumn("line_amount", (F.col("line_amount") * 2).cast("decimal(18,2)"))
-    for load in (lines, later, later):
-        write_partitions(load, f"{root}/silver/order_lines", "purchase_date")
-        changed = None if load is lines else [row[0] for row in load.select("purchase_date").distinct().collect()]
+    write_partitions(lines, f"{root}/silver/order_lines", "purchase_date", sort_by=["order_id"], gather=False)
+    # what comes anew is made once, from silver, whose files are gathered by date
+    later = read_table(spark, f"{root}/silver/order_lines").where("purchase_date >= '1995-01-01' AND order_id % 3 > 0")
+    write_partitions(later.withColumn("line_amount", (F.col("line_amount") * 2).cast("decimal(18,2)")), f"{root}/later", "purchase_date", sort_by=["order_id"], gather=False)
+    later = read_table(spark, f"{root}/later")
+    for load in (None, later, later):
+        changed = None if load is None else [row[0] for row in load.select("purchase_date").distinct().collect()]
+        if load is not None:
+            write_partitions(load, f"{root}/silver/order_lines", "purchase_date", sort_by=["order_id"], gather=False)
         silver_to_gold(spark, f"{root}/silver", f"{root}/gold", changed_dates=changed, snapshot=False)
 
 

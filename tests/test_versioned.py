@@ -268,6 +268,37 @@ def test_overall_figures_need_no_silver(spark, tmp_path):
         assert "gold/_state/days" in plan(df) and "/silver/" not in plan(df)
 
 
+def test_a_load_that_comes_again_leaves_the_states(spark, tmp_path):
+    silver_path, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    for seed, days, version in ((1, [1, 2, 3], 1), (2, [2, 3], 2), (2, [2, 3], 2), (3, [3], 3)):
+        write_partitions(lines(spark, seed, days), f"{silver_path}/order_lines", "purchase_date")
+        silver_to_gold(spark, silver_path, gold, changed_dates=[f"2024-07-0{d}" for d in days])
+        states, now = state_table(spark, gold), read_table(spark, f"{silver_path}/order_lines")
+        assert states.version() == version
+        assert tuples(read_table(spark, f"{gold}/product_revenue_overall")) == tuples(product_totals(now))
+    # one amount changes by a swap between two lines of a day: all sums of the day stay
+    first, second = sorted(now.where("purchase_date = '2024-07-03' AND line_amount IS NOT NULL").select("order_id", "line_amount").distinct().collect())[:2]
+    amount = F.when(F.col("order_id") == first.order_id, F.col("line_amount") + 1).when(F.col("order_id") == second.order_id, F.col("line_amount") - 1).otherwise(F.col("line_amount"))
+    write_partitions(spark.createDataFrame(now.where("purchase_date = '2024-07-03'").collect(), now.schema).withColumn("line_amount", amount.cast("decimal(18,2)")), f"{silver_path}/order_lines", "purchase_date")
+    silver_to_gold(spark, silver_path, gold, changed_dates=["2024-07-03"])
+    now = read_table(spark, f"{silver_path}/order_lines")
+    assert state_table(spark, gold).version() == 4 and tuples(read_table(spark, f"{gold}/customer_revenue")) == customers_of(now)
+
+
+def test_states_are_made_with_one_shuffle_of_the_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("ordermill.plans.states.TASK_ROWS", 10)
+    write_partitions(lines(spark, 1, [1, 2, 3]), str(tmp_path / "silver"), "purchase_date")
+    silver = read_table(spark, str(tmp_path / "silver"))
+    made = daily_states(silver, [27, 27, 26])
+    assert plan(made).count("hashpartitioning(") == 1
+    totals = made.where("kind = 'product'").select("revenue", F.col("quantity").alias("total_quantity"), F.col("orders").alias("order_count"), "purchase_date", "product_id", "product_name")
+    want = product_totals(silver, "daily")
+    assert tuples(totals, *want.columns) == tuples(want)
+    states = state_table(spark, str(tmp_path))
+    states.replace(made, [], gather=False)
+    assert tuples(overall_products(states.read(), str(tmp_path / "spread"))) == tuples(overall_products(states.read())) == tuples(product_totals(silver))
+
+
 def test_dates_that_silver_lost_are_taken_out(spark, tmp_path):
     import shutil
 

@@ -28,11 +28,11 @@ def _fragments(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = spark.read.text(path, lineSep=_END).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_size").alias("file_size"), F.monotonically_increasing_id().alias("at"))
-    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    bare = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))  # few texts have escapes
     flips = (F.length(bare) - F.length(F.translate(bare, '"', ""))) % 2
     strings = r'"[^"]*("|\z)'
     outside = F.regexp_replace(bare, strings, "")
-    after_string = F.regexp_replace(F.regexp_replace(bare, r'^[^"]*("|\z)', ""), strings, "")
+    after_string = F.regexp_replace(F.concat(F.lit('"'), bare), strings, "")
 
     def opened(text: Column) -> Column:
         return F.length(F.translate(text, "]", "")) - F.length(F.translate(text, "{[", ""))  # what opens less what closes

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .frames import column, written
 
-SPACE, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 #: A unit is a run of letters and digits, or a run of other solid characters.
 UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
@@ -35,9 +35,9 @@ def repeated_words(words: Column, size: int = 5) -> Column:
         return F.when(F.size(w) > size, F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(size)))))
 
     def positions(h):
-        pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))  # array_sort would call a lambda per comparison
         same = lambda s, x, j: F.get(s, j - 1)["h"].eqNullSafe(x["h"]) | F.get(s, j + 1)["h"].eqNullSafe(x["h"])
-        return _let(pairs, lambda s: F.array_sort(F.transform(F.filter(s, lambda x, j: same(s, x, j)), lambda x: x["i"])))
+        return _let(pairs, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, j: same(s, x, j)), lambda x: x["i"])))
 
     def covered(p):
         ahead = F.transform(p, lambda v, k: F.least(F.coalesce(F.get(p, k + 1) - v, F.lit(size)), F.lit(size)))
@@ -65,7 +65,10 @@ def fitted(docs: DataFrame, trusted: DataFrame, trusted_rows: int = TRUSTED_ROWS
     """
     chosen = trusted.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
     marked = docs.join(F.broadcast(chosen.withColumn("trusted", F.lit(1))), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(0)).alias("trusted"))
-    counts = (marked.select("trusted", F.explode(_let(_units(F.col("text")), _buckets)).alias("bucket")).where("bucket is not null")
+    # A column of its own, so that Spark generates code for the explode; a plain explode of it would add a filter on the array's
+    # size, for which the classes would be made a second time.
+    classes = marked.select("trusted", _let(_units(F.col("text")), _buckets).alias("classes"))
+    counts = (classes.select("trusted", F.explode_outer("classes").alias("bucket")).where("bucket is not null")
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")).collect())
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, all_rows, trusted_rows in counts:
@@ -108,9 +111,10 @@ def _counted(docs, trusted, threshold, id_col, text_col, carried):
     score = _let(_let(_units(F.col("text")), _buckets), lambda b: F.when(F.size(b) > 1, total(b) / (F.size(b) - 1)).otherwise(0.0))
     return (
         docs.select(*carried, text.alias("text"))
-        .withColumn("measured", _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"))))
+        .withColumn("measured", _let(words, lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).alias("n_repeat_words"))))
         .withColumn("n_words", F.col("measured.n_words"))
-        .withColumn("word_chars", (F.char_length("text") - F.regexp_count("text", F.lit(SPACE))).cast("long"))
+        .withColumn("word_chars", F.col("measured.word_chars"))
         .withColumn("n_symbols", F.regexp_count("text", F.lit(SYMBOL)).cast("long"))
         .withColumn("n_dup_lines", _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"))
         .withColumn("n_repeat_words", F.col("measured.n_repeat_words"))

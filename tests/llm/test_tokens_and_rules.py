@@ -23,7 +23,7 @@ from ordermill.llm.token_files import pack, read_tokens, unpack, with_starts, wr
 from ordermill.llm.url_rules import filter_urls, matched, mined_rules
 
 from . import brute
-from tests.conftest import tuples
+from tests.conftest import plan, tuples
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 ODD = "ab1 2.,'  \n\t\r'strevldm't\x85\xa0é½²ªß-_\x1c\x00Ā中😀"
@@ -193,6 +193,19 @@ def test_lines_and_symbols(spark):
         k: (*brute.quality(text), 0.0) for k, text in rows}
 
 
+def test_base_counts_of_odd_texts(spark):
+    texts = ["", " \t", "\n\n", "a b c d e", "a b c d e a b c d e", "é ü\u00a0x\n é ü\u00a0x\né ü\u00a0x\n", "x " * 9, "\u2028 # 漢字 😀 <\r\n#\r\n#",
+             "q w e r t\n" * 4, "0 1 2 3 4 5 6 0 1 2 3 4 9 2 3 4 5 6"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = judged(rows, rows.select("doc_id").limit(0)).drop("score", "kept")
+    assert tuples(got) == sorted(((k, *brute.quality(text)) for k, text in enumerate(texts)), key=repr)
+
+
+def test_words_are_cut_once_and_sorted_without_lambdas(documents, spark):
+    for rows in (judged(documents, spark.range(1).toDF("doc_id")), clean_only(documents, spark.range(1).toDF("doc_id"))):
+        assert r", [\x20\x09-\x0D]" not in plan(rows) and "array_sort" not in plan(rows)
+
+
 def test_scores_part_junk_from_clean_text(spark):
     pick = random.Random(1)
     clean = lambda: " ".join(pick.choice(["river", "stone", "light", "under", "grows", "slowly", "the", "a"]) + str(pick.randint(0, 99)) for _ in range(40)) + "."

@@ -27,6 +27,8 @@ BUCKETS = 4
 CROWDED, LEAST = 1 / 50_000, 64
 #: Set in a crowded gram's hash, so that any other gram is less.
 _HIGH = np.uint64(1 << 63)
+#: Low grams, the first that are looked at: about 8 in a window.
+_LOW = np.uint64((1 << 63) * 8 // (WINDOW - GRAM + 1))
 
 
 # --- the suffix order of one bucket
@@ -54,7 +56,7 @@ def _joint(*groups: tuple[np.ndarray, ...]) -> list[np.ndarray]:
 def _named(at: np.ndarray, keys: tuple[np.ndarray, ...], n: int) -> np.ndarray:
     """For all n places the rank of their key among those of ``at``, from 1; 0 elsewhere."""
     key = _joint(keys)[0]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     names = np.zeros(n, np.int64)
     names[at[order]] = np.cumsum(np.append(True, key[order][1:] != key[order][:-1]))
     return names
@@ -87,16 +89,46 @@ def suffix_ranks(at: np.ndarray, names: np.ndarray, step: int) -> np.ndarray:
 
 
 def repeated_windows(values: np.ndarray, judged: np.ndarray) -> np.ndarray:
-    """Which of the windows at ``judged`` have the same bytes as another of them."""
+    """Which of the windows at ``judged`` (ascending) have the same bytes as another of them.
+
+    A window that holds a symbol which stands nowhere else is discarded; the others are ordered, in a text that only holds what they cover.
+    """
     found = np.zeros(len(judged), bool)
-    if len(judged) < 2:
+    symbol, single = _symbols(values)
+    before = np.concatenate([[0], np.cumsum(single)])
+    left = np.flatnonzero(before[judged + (WINDOW - SYMBOL + 1)] == before[judged])
+    if len(left) < 2:
         return found
+    cover = np.zeros(len(values) + 1, np.int64)
+    stretch = np.flatnonzero(np.append(True, np.diff(judged[left]) >= WINDOW))
+    cover[judged[left][stretch]] = 1
+    cover[judged[left][np.append(stretch[1:], len(left)) - 1] + WINDOW] -= 1
+    covered = np.cumsum(cover[:-1]) > 0
+    place = np.cumsum(covered) - 1
+    found[left] = _ordered_repeats(values[covered], place[judged[left]])
+    return found
+
+
+def _symbols(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The SYMBOL bytes at every place (zeros past the end) as a number, and which of them stand nowhere else."""
     n = len(values)
     symbol = np.zeros(n + WINDOW, np.uint64)
     for k in range(SYMBOL):
         symbol[:n - k] |= values[k:].astype(np.uint64) << np.uint64(8 * (SYMBOL - 1 - k))
+    order = np.argsort(symbol[:n])
+    new = np.append(True, np.diff(symbol[order]) != 0)
+    single = np.zeros(n, bool)
+    single[order] = new & np.append(new[1:], True)
+    return symbol, single
+
+
+def _ordered_repeats(values: np.ndarray, judged: np.ndarray) -> np.ndarray:
+    """``repeated_windows`` by the suffix order alone."""
+    n = len(values)
+    found = np.zeros(len(judged), bool)
+    symbol, _ = _symbols(values)
     ranks = suffix_ranks(np.arange(n), _named(np.arange(n), (symbol[:n],), n), SYMBOL)
-    order = np.argsort(ranks[judged], kind="stable")
+    order = np.argsort(ranks[judged])
     a, b = judged[order[:-1]], judged[order[1:]]
     same = np.arange(len(a))
     for k in range(0, WINDOW, SYMBOL):
@@ -109,46 +141,87 @@ def repeated_windows(values: np.ndarray, judged: np.ndarray) -> np.ndarray:
 # --- anchors and runs of texts
 
 
-def _reach(x: np.ndarray, width: int, pick) -> np.ndarray:
-    """``pick`` (minimum or maximum) of every ``width`` neighbouring values."""
-    done = 1
-    while done < width:
-        by = min(done, width - done)
-        x = pick(x[:len(x) - by], x[by:])
-        done += by
-    return x
+def _member(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which values of ``x`` stand in the ascending ``ordered``."""
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
+def _extremes(x: np.ndarray, low: np.ndarray, high: np.ndarray, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) of x[low:high] for each pair; none may be empty."""
+    out = np.empty(len(low), x.dtype)
+    size, width = high - low, 1
+    while len(x):
+        own = np.flatnonzero((size >= width) & (size < 2 * width))
+        out[own] = pick(x[low[own]], x[high[own] - width])
+        x = pick(x[:-width], x[width:]) if (size >= 2 * width).any() else x[:0]
+        width *= 2
+    return out
+
+
+def _gram_hashes(values: np.ndarray) -> np.ndarray:
+    """``mixed`` of a rolling hash of the GRAM bytes at each place, without its highest bit; worked out in place."""
+    n = len(values)
+    terms = values.astype(np.uint64)
+    terms += np.uint64(1)
+    terms *= powers(BASE, n)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(terms, out=sums[1:])
+    gram = np.subtract(sums[GRAM:], sums[:-GRAM])
+    gram *= powers(INVERSE, n)[:len(gram)]
+    shifted = terms[:len(gram)]
+    for by, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        np.right_shift(gram, np.uint64(by), out=shifted)
+        gram ^= shifted
+        if times > 1:
+            gram *= np.uint64(times)
+    gram &= ~_HIGH
+    return gram
 
 
 class Runs:
-    """Runs of neighbouring windows with one anchor: ``first`` window (byte), ``size`` in windows, ``anchor``; and ``places``, the anchors' hashes wherever they stand (``at``)."""
+    """Runs of neighbouring windows with one anchor: ``first`` window (byte), ``size`` in windows, ``anchor``; and ``places``, the anchors' hashes wherever they stand (``at``).
+
+    Only low grams are looked at, of which nearly every window holds some; and all grams of a stretch as wide as a window's without one.
+    """
 
     def __init__(self, values: np.ndarray, offsets: np.ndarray, crowded: np.ndarray):
         none = np.zeros(0, np.int64)
         self.first, self.size, self.anchor, self.places, self.at = none, none, none.astype(np.uint64), none.astype(np.uint64), none
         n, width = len(values), WINDOW - GRAM + 1
-        if n < WINDOW:
-            return
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
-        gram = mixed((sums[GRAM:] - sums[:-GRAM]) * powers(INVERSE, n)[:n - GRAM + 1]) & ~_HIGH
-        if len(crowded):
-            place = np.minimum(np.searchsorted(crowded, gram), len(crowded) - 1)
-            gram[crowded[place] == gram] |= _HIGH
-        least = _reach(gram, width, np.minimum)
-        length = np.diff(offsets)
-        ends = np.repeat(offsets[1:], length)[:len(least)]
-        whole = np.arange(len(least)) + WINDOW <= ends
-        at = np.flatnonzero(whole)
-        if not len(at):
+        long = np.flatnonzero(np.diff(offsets) >= WINDOW)
+        if not len(long):
             return
-        own = least[at]
-        begin = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (own[1:] != own[:-1])))
-        self.first, self.size, self.anchor = at[begin], np.diff(np.append(begin, len(at))), own[begin]
-        # a gram anchors some window if the largest of the least hashes of the windows around it is its own
-        around = np.zeros(len(gram) + width - 1, np.uint64)
-        around[width - 1:width - 1 + len(least)] = np.where(whole, least, np.uint64(0))
-        self.at = np.flatnonzero(_reach(around, width, np.maximum) == gram)
-        self.places = gram[self.at]
+        gram = _gram_hashes(values)
+        at = np.flatnonzero(gram <= _LOW)
+        at = at[~_member(gram[at], crowded)]
+        edges = np.concatenate([[-1], at, [len(gram)]])
+        gap = np.flatnonzero(np.diff(edges) > width)
+        if len(gap):
+            length = edges[gap + 1] - edges[gap] - 1
+            between = np.repeat(edges[gap] + 1 - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            gram[between[_member(gram[between], crowded)]] |= _HIGH
+            at = np.sort(np.concatenate([at, between]))
+        own = gram[at]
+        # the grams that windows hold change only here; between ``start`` and ``stop`` of a text all windows are whole
+        start, stop = offsets[long], offsets[long + 1] - WINDOW + 1
+        begin = np.sort(np.concatenate([start, stop, at - width + 1, at + 1]))
+        begin = begin[np.append(True, begin[1:] != begin[:-1]) & (begin >= 0) & (begin <= n - WINDOW + 1)]
+        text = np.searchsorted(start, begin, "right") - 1
+        whole = np.flatnonzero((text >= 0) & (begin < stop[text]))
+        end, begin = begin[whole + 1], begin[whole]
+        least = _extremes(own, np.searchsorted(at, begin), np.searchsorted(at, begin + width), np.minimum)
+        new = np.flatnonzero(np.append(True, (begin[1:] != end[:-1]) | (least[1:] != least[:-1])))
+        self.first, self.anchor = begin[new], least[new]
+        last = end[np.append(new[1:], len(end)) - 1] - 1
+        self.size = last - self.first + 1
+        # a gram anchors some window if the largest of the anchors of the runs around it is its own
+        low, high = np.searchsorted(last, at - width + 1), np.searchsorted(self.first, at, "right")
+        near = np.flatnonzero(low < high)
+        near = near[_extremes(self.anchor, low[near], high[near], np.maximum) == own[near]]
+        self.at, self.places = at[near], own[near]
 
     def alone(self) -> np.ndarray:
         """Which runs hold their anchor only once."""
@@ -262,7 +335,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         seen: dict[bytes, list] = {}
         for values, offsets, _ in _steps(_column(table, "text")):
             runs = Runs(values, offsets, crowded)
-            some = np.isin(runs.anchor, repeated)
+            some = _member(runs.anchor, repeated)
             text = values.tobytes()
             for a, n, gram, alone in zip(*(x[some].tolist() for x in (runs.first, runs.size, runs.anchor, runs.alone()))):
                 seen.setdefault(text[a:a + n + WINDOW - 1], [0, gram, alone])[0] += 1
@@ -333,13 +406,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             bits = np.concatenate([np.unpackbits(unsqueezed(x, int(-(-n.sum() // 8))))[:n.sum()] for x, n in zip(answers.column("bits").to_pylist(), each)]).astype(bool)
         begin = np.cumsum(sizes) - sizes
         order = np.argsort(known[:, 0], kind="stable")
+        known, begin = known[order], begin[order]
+        halves = np.ascontiguousarray(known[:, 0])
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for values, offsets, _ in _steps(_column(table, "text")):
             covered = np.zeros(len(values) + 1, np.int64)
             if len(known):
                 runs = Runs(values, offsets, crowded)
                 keys = _keys(values, runs.first, runs.size)
-                place = order[np.minimum(np.searchsorted(known[order, 0], keys[:, 0]), len(order) - 1)]
+                place = np.minimum(np.searchsorted(halves, keys[:, 0]), len(halves) - 1)
                 hit = np.flatnonzero((known[place] == keys).all(axis=1))
                 size = runs.size[hit]
                 inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)

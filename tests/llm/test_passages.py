@@ -80,6 +80,41 @@ def test_suffix_order_finds_every_repeat(letters):
     assert (repeated_windows(text, judged) == want).all()
 
 
+def test_only_what_may_repeat_is_ordered(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = rng.integers(0, 256, 20_000).astype(np.uint8)
+    text[15_000:15_300] = text[2_000:2_300]
+    ordered_places, plain = [], suffix_dedup.suffix_ranks
+    monkeypatch.setattr(suffix_dedup, "suffix_ranks", lambda at, names, step: ordered_places.append(len(at)) or plain(at, names, step))
+    found = repeated_windows(text, np.arange(len(text) - 199))
+    assert np.flatnonzero(found).tolist() == [*range(2_000, 2_101), *range(15_000, 15_101)]
+    assert ordered_places[0] == 600
+
+
+@pytest.mark.parametrize("letters", [1, 2, 256])
+def test_runs_are_those_of_every_windows_least_gram(letters):
+    rng = np.random.default_rng(letters)
+    offsets = np.cumsum([0, 500, 0, 199, 200, 31, 1200])
+    values = rng.integers(0, letters, offsets[-1]).astype(np.uint8)
+    values[1_000:1_400] = 7  # one gram, low or not
+    grams = suffix_dedup._gram_hashes(values)
+    width = suffix_dedup.WINDOW - suffix_dedup.GRAM + 1
+    for crowded in (grams[:0], np.unique(grams)[::2], np.unique(grams)):
+        marked = grams | (np.isin(grams, crowded).astype(np.uint64) << np.uint64(63))
+        want, places = [], set()
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            for k in range(a, b - 199):
+                least = marked[k:k + width].min()
+                places |= set((k + np.flatnonzero(marked[k:k + width] == least)).tolist())
+                if want and want[-1][0] + want[-1][1] == k > a and want[-1][2] == least:
+                    want[-1][1] += 1
+                else:
+                    want.append([k, 1, least])
+        runs = suffix_dedup.Runs(values, offsets, crowded)
+        assert list(map(list, zip(runs.first.tolist(), runs.size.tolist(), runs.anchor.tolist()))) == want
+        assert runs.at.tolist() == sorted(places) and (runs.places == marked[runs.at]).all()
+
+
 def test_long_names_fall_back_to_sorting_columns():
     wide = np.array([2**40, 5, 2**40, 7]), np.array([2**40, 1, 2**40, 2**41])
     one, two = suffix_dedup._joint(wide, (wide[0][:1], wide[1][:1]))

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -68,6 +70,23 @@ def fits(spec: dict) -> bool:
             and not spec.get("post_processor") and not spec.get("truncation") and not spec.get("padding"))
 
 
+#: A blank after something that is surely no blank in any table. Fixed values.
+STABLE = re.compile(r"(?<=[\w!-~])[ \t\n\v\f\r]")
+
+
+def stretches(text: str, size: int) -> Iterator[str]:
+    """``text`` in stretches of at least ``size`` characters that are encoded independently, where the encoder is ``cuttable``.
+
+    Proof: no piece of the pre-tokenizer goes from a solid character on to a blank, so one ends where a stretch does; and special
+    strings hold no blank and take none with them.
+    """
+    start = 0
+    while cut := STABLE.search(text, start + size):
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 def shared_encoder(path: str) -> Encoder:
     """One encoder per worker, kept from task to task with the pieces it remembers."""
     if path not in _encoders:
@@ -78,6 +97,51 @@ def shared_encoder(path: str) -> Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+class Places:
+    """In which place each key was added, for whole arrays of spread 64-bit keys: a table with open addressing, half full at most."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.added = bits, 0
+        self.keys, self.places = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
+    def __len__(self) -> int:
+        return self.added
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Their places, -1 for keys that were not added."""
+        at = self._home(keys)
+        out = self.places[at].astype(np.int64)
+        other = np.flatnonzero((self.keys[at] != keys) & (out >= 0))
+        while len(other):
+            next_ = (at[other] + 1) & (len(self.keys) - 1)
+            at[other] = next_
+            out[other] = self.places[next_]
+            other = other[(self.keys[next_] != keys[other]) & (out[other] >= 0)]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Add distinct keys that are not there, in this order."""
+        places = np.arange(self.added, self.added + len(keys), dtype=np.int32)
+        self.added += len(keys)
+        if 2 * self.added > len(self.keys):
+            full = self.places >= 0
+            keys, places = np.concatenate([self.keys[full], keys]), np.concatenate([self.places[full], places])
+            self.bits = (2 * self.added - 1).bit_length()
+            self.keys, self.places = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
+        at = self._home(keys)
+        while len(keys):
+            free = np.flatnonzero(self.places[at] < 0)
+            self.places[at[free]] = places[free]  # of several keys at one free place the last one written has it
+            put = free[self.places[at[free]] == places[free]]
+            self.keys[at[put]] = keys[put]
+            left = np.ones(len(keys), bool)
+            left[put] = False
+            keys, places, at = keys[left], places[left], (at[left] + 1) & (len(self.keys) - 1)
+
+
 class Encoder:
     """Ids of whole texts, as the library gives them with ``add_special_tokens=False``."""
 
@@ -97,13 +161,15 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_pieces = fits(spec)
-        self.special = [token["content"] for token in spec.get("added_tokens", [])]
+        added = spec.get("added_tokens", [])
+        self.special = [token["content"] for token in added]
+        self.cuttable = self.by_pieces and not any(token.get("lstrip") or token.get("rstrip") or re.search(r"\s", token["content"]) for token in added)
         line = self.whole("\n")
         self.line = int(line[0]) if len(line) == 1 else None
         self.forget()
 
     def forget(self):
-        self.known: dict[int, int] = {}
+        self.known = Places()
         self.ids = np.zeros(1 << 20, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
@@ -129,8 +195,7 @@ class Encoder:
         if total > len(self.ids):
             self.ids = np.concatenate([self.ids[:start], np.zeros(max(total, len(self.ids)), np.uint32)])
         self.ids[start:total] = ids
-        at = len(self.ends) - 1
-        self.known.update(zip(keys.tolist(), range(at, at + len(lengths))))
+        self.known.add(keys)
         self.ends = np.concatenate([self.ends, start + np.cumsum(lengths)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,16 +231,19 @@ class Encoder:
     def _pieces(self, joined, codes, begin, end):
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        keys, at, back = np.unique(span_hashes(codes, begin, end), return_index=True, return_inverse=True)
-        if len(self.known) + len(keys) > self.REMEMBERED:
-            self.forget()
-        known = self.known
-        missing = np.array([i for i, key in enumerate(keys.tolist()) if key not in known], np.int64)
+        keys = span_hashes(codes, begin, end)
+        slot = self.known.find(keys)
+        missing = np.flatnonzero(slot < 0)
         if len(missing):
-            new = at[missing]
-            self._learn(keys[missing], [joined[a:b] for a, b in zip(begin[new].tolist(), end[new].tolist())])
-        slot = np.fromiter(map(known.__getitem__, keys.tolist()), np.int64, len(keys))
-        from_, size = self.ends[slot], self.ends[slot + 1] - self.ends[slot]
-        lengths, sources = size[back], from_[back]
+            new, at = np.unique(keys[missing], return_index=True)
+            at = missing[at]
+            if len(self.known) + len(new) > self.REMEMBERED:
+                self.forget()
+                new, at = np.unique(keys, return_index=True)
+                missing = slice(None)
+            self._learn(new, [joined[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])
+            slot[missing] = self.known.find(keys[missing])
+        sources = self.ends[slot]
+        lengths = self.ends[slot + 1] - sources
         shift = np.repeat(sources - (np.cumsum(lengths) - lengths), lengths)
         return self.ids[shift + np.arange(len(shift))], lengths

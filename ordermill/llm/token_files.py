@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import shared_encoder
-from .frames import arrow_map, id_type, new_path, remove, slices, squeezed, texts, unsqueezed
-from .token_counts import encoded
+from .bpe import Encoder, shared_encoder, stretches
+from .frames import SLICE_BYTES, arrow_map, id_type, new_path, remove, slices, squeezed, texts, unsqueezed
+from .token_counts import CHUNK, encoded
 
+#: Ids counted at once.
+TOGETHER = 1 << 18
 #: For each control byte: the bytes of its four ranks, and which of 16 places (four per rank) they fill.
 WIDTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 PLACES = np.arange(4) < WIDTHS[:, :, None]
@@ -58,13 +60,39 @@ def _ids(planes: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).reshape(-1).view("<u4")
 
 
+def encoded_once(encoder: Encoder, values: list[str], chunk: int = CHUNK, together: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after another and the number before each text. Texts over ``chunk`` characters are cut where that changes
+    nothing, and about ``together`` characters are encoded at once."""
+    if not encoder.cuttable:
+        return encoded(encoder, values)
+    parts, sizes = [np.zeros(0, np.uint32)], np.zeros(len(values), np.int64)
+    group, of, held = [], [], 0
+    for i, text in enumerate(values):
+        for part in stretches(text, chunk) if len(text) > chunk else (text,):
+            group.append(part)
+            of.append(i)
+            held += len(part)
+            if held >= together:
+                parts.append(_add(encoder, group, of, sizes))
+                group, of, held = [], [], 0
+    parts.append(_add(encoder, group, of, sizes))
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _add(encoder: Encoder, group: list[str], of: list[int], sizes: np.ndarray) -> np.ndarray:
+    """The ids of a group of stretches, whose numbers are added to the ``sizes`` of their texts."""
+    ids, before = encoder.encode(group)
+    np.add.at(sizes, np.array(of, np.int64), np.diff(before))
+    return ids
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
     """doc_id, tie, n_tokens and the ids of every row, in the binary form used between the passes."""
 
     def run(batches):
         encoder = shared_encoder(tokenizer)
         for batch in slices(batches):
-            ids, before = encoded(encoder, batch.column("text").to_pylist())
+            ids, before = encoded_once(encoder, batch.column("text").to_pylist())
             out = []
             for a, b in zip(before[:-1], before[1:]):
                 own = ids[a:b]
@@ -82,15 +110,22 @@ def token_ranks(tokens: DataFrame) -> np.ndarray:
 
     def run(batches):
         counts = np.zeros(1, np.int64)
+        held: list[np.ndarray] = []
+
+        def counted():
+            new = np.bincount(np.concatenate(held)) if held else counts[:0]
+            held.clear()
+            return np.pad(counts, (0, max(0, len(new) - len(counts)))) + np.pad(new, (0, max(0, len(counts) - len(new))))
+
         for batch in batches:
+            size = 0
             for n, planes in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist()):
                 if n:
-                    own = np.bincount(_ids(planes, n))
-                    if len(own) > len(counts):
-                        own[:len(counts)] += counts
-                        counts = own
-                    else:
-                        counts[:len(own)] += own
+                    held.append(_ids(planes, n))
+                    size += n
+                    if size >= TOGETHER:
+                        counts, size = counted(), 0
+            counts = counted()
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["token", "n"])
 

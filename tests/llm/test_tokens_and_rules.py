@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ordermill.llm import quality, queries, url_rules
-from ordermill.llm.bpe import SETTLED, Encoder
+from ordermill.llm.bpe import SETTLED, Encoder, Places, stretches
 from ordermill.llm.frames import new_path
 from ordermill.llm.licenses import JOINED, RULES, SENTENCES, scan
 from ordermill.llm.mixing import mix, mixed_rows, water_filled, weighed
 from ordermill.llm.quality import clean_only, judged
 from ordermill.llm.token_counts import common_cut, count_tokens, spliced, with_offsets
-from ordermill.llm.token_files import pack, read_tokens, unpack, with_starts, write_tokens
+from ordermill.llm.token_files import encoded_once, pack, read_tokens, unpack, with_starts, write_tokens
 from ordermill.llm.url_rules import filter_urls, matched, mined_rules
 
 from . import brute
@@ -65,6 +65,37 @@ def test_forgetting_changes_nothing(library):
         assert small.encode([text])[0].tolist() == plain_ids(library, text)
 
 
+def test_places_of_keys():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 2**64, 3000, np.uint64))
+    keys = np.concatenate([keys, np.arange(40, dtype=np.uint64), np.uint64(2**64 - 1) - np.arange(40, dtype=np.uint64)])  # crowds at both ends of the table
+    rng.shuffle(keys)
+    places = Places(4)
+    for part in np.split(keys, [1, 7, 8, 900]):
+        assert (places.find(part) == -1).all()
+        places.add(part)
+    assert len(places) == len(keys) and (places.find(keys) == np.arange(len(keys))).all()
+    assert (places.find(keys + np.uint64(2**40)) == -1).all() and len(places.find(keys[:0])) == 0
+
+
+@pytest.mark.parametrize("chunk,together", [(1, 1), (20, 50), (300, 10_000)])
+def test_stretches_of_long_texts(encoder, library, chunk, together):
+    pick = random.Random(chunk)
+    texts = ["".join(pick.choice(ODD + "     abcdefgh") for _ in range(pick.randint(0, 900))) + "<|endoftext|>" * (k % 3) + " unbroken" * (k % 40) for k in range(60)]
+    ids, before = encoded_once(encoder, texts, chunk, together)
+    assert len(before) == len(texts) + 1
+    for k, text in enumerate(texts):
+        assert "".join(stretches(text, chunk)) == text
+        assert ids[before[k]:before[k + 1]].tolist() == plain_ids(library, text), repr(text)
+
+
+def test_known_pieces_of_long_texts_need_no_library(library):
+    encoder, text = Encoder(BPE), "a plain text " * 10_000
+    encoded_once(encoder, [text])
+    encoder.library = None
+    assert encoded_once(encoder, ["", text])[0].tolist() == plain_ids(library, text)
+
+
 @pytest.mark.parametrize("chunk,overlap", [(20, 2), (64, 8), (300, 1)])
 def test_spliced_chunks(encoder, library, chunk, overlap):
     pick = random.Random(chunk)

@@ -27,6 +27,7 @@ def scd2(
     tracked: Sequence[str],
     effective: str,
     group_rows: int = GROUP_ROWS,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """Type-2 history: ``keys``, ``tracked``, ``valid_from``, ``valid_to``, ``is_current``.
 
@@ -34,7 +35,8 @@ def scd2(
     A change on the day of an older version replaces it, and a change to the same values opens no
     version. Changes may arrive late and in any order; each version ends where the next begins.
     When ``dim`` is an earlier result, with ``valid_to`` and ``is_current``, the rows of keys
-    without a change pass through as they are.
+    without a change pass through as they are. A ``group_bound`` on the rows of a key, known to the
+    caller, saves counting them.
     """
     keys, tracked = list(keys), list(tracked)
     columns = [*keys, *tracked, "valid_from"]
@@ -46,7 +48,9 @@ def scd2(
         changes.select(*keys, *tracked, F.col(effective).alias("valid_from"), F.lit(1).alias("_source"))
     )
     # Neither duplicate removal nor the filter below adds rows, so one count bounds both windows.
-    bound = group_sizes(versions, keys).largest
+    bound = group_sizes(versions, keys).largest if group_bound is None else group_bound
+    if bound <= group_rows:
+        versions = versions.repartition(*keys)  # the one shuffle that duplicate removal and both windows need
     versions = deduplicate(versions, [*keys, "valid_from"], order_by=[F.desc("_source")]).drop("_source")
     order = [F.col("valid_from").asc()]
     states = versions.withColumn("_state", F.struct(*tracked))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.history import scd2
 from ..operators.joins import match
+from ..operators.skew import group_sizes
 from ..sinks import VersionedTable
 from ..workspace import staged, staging
 
@@ -49,24 +50,26 @@ def apply_changes(table: VersionedTable, changes: DataFrame, keys: Sequence[str]
         changes = staged(changes.select(*keys, *tracked, effective), f"{folder}/changes")
         first_load = table.version() is None
         if first_load:
-            history, rest, replaced = changes.limit(0).select(*keys, *tracked, F.col(effective).alias("valid_from")), [], None
+            history, rest, replaced, bound = changes.limit(0).select(*keys, *tracked, F.col(effective).alias("valid_from")), [], None, None
         else:
             parts = [row[0] for row in changes.select(_open_part(keys, buckets)).distinct().collect()]  # at most ``buckets``
             opened = table.read(values=parts)
-            earliest = changes.groupBy(*keys).agg(F.min(effective).alias("_first"))
-            mine = match(opened, earliest, keys, null_safe=True)
+            earliest = staged(changes.groupBy(*keys).agg(F.min(effective).alias("_first"), F.count(F.lit(1)).alias("_n")), f"{folder}/earliest")
+            bound = 1 + (earliest.agg(F.max("_n")).first()[0] or 0)  # a key has one open version
+            mine = match(opened, earliest.drop("_n"), keys, null_safe=True)
             # A change on the day of an open version may undo it, so the version before it is needed as well.
             late = staged(mine.where(F.col("_first") <= F.col("valid_from")).select(*keys), f"{folder}/late")
-            rest, replaced, history = [match(opened, changes, keys, "left_anti", null_safe=True)], parts, mine.select(*states)
+            rest, replaced, history = [match(opened, earliest, keys, "left_anti", null_safe=True)], parts, mine.select(*states)
             if not late.isEmpty():
                 closed = table.read(values=[value for value in table.manifest().live if value.startswith(_CLOSED)])
                 earlier = staged(match(closed, late, keys, "left_semi", null_safe=True), f"{folder}/earlier")
+                bound += group_sizes(earlier, keys).largest
                 torn = [row[0] for row in earlier.select(_PART).distinct().collect()]  # one per load that closed a version of these keys
                 rest.append(match(table.read(values=torn), late, keys, "left_anti", null_safe=True))
                 replaced, history = [*parts, *torn], history.unionByName(earlier.select(*states))
-        versions = scd2(history, changes, keys, tracked, effective)
+        versions = scd2(history, changes, keys, tracked, effective, group_bound=bound)
         part = F.when(F.col("is_current"), _open_part(keys, buckets)).otherwise(this_load)
         rows = versions.withColumn(_PART, part)
         for others in rest:
             rows = rows.unionByName(others)
-        return table.replace(staged(rows, f"{folder}/rows"), replaced, sort_by=keys)
+        return table.replace(rows, replaced, sort_by=keys)

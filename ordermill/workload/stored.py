@@ -14,7 +14,7 @@ from ..plans.dimension import apply_changes, history_table, read_history
 from ..sinks import VersionedTable, save_table, write_partitions
 from ..sinks.clustering import write_clustered
 from ..sources import calendar, read_table
-from ..workspace import kept, stable, staging
+from ..workspace import kept, stable, staged, staging
 from .reshaping import _priorities
 from .tables import LINES, order_lines, orders, products, table, unpriced_lines
 
@@ -37,9 +37,10 @@ def merged_versions(spark: SparkSession, folder: str) -> DataFrame:
 def stored_history(spark: SparkSession, folder: str) -> DataFrame:
     """The customers' history after four loads, of which the last comes twice."""
     customers, changes = _priorities(spark, folder)
-    loads = [customers.withColumnRenamed("valid_from", "seen").select(*changes.columns)]
-    loads += [changes.where(F.col("seen").between(*span)) for span in (("1900-01-01", "1993-12-31"), ("1994-01-01", "1996-06-30"), ("1996-07-01", "2100-01-01"))]
     with staging(spark) as root:
+        changes = staged(changes, f"{root}/changes")  # not made anew for each load
+        loads = [customers.withColumnRenamed("valid_from", "seen").select(*changes.columns)]
+        loads += [changes.where(F.col("seen").between(*span)) for span in (("1900-01-01", "1993-12-31"), ("1994-01-01", "1996-06-30"), ("1996-07-01", "2100-01-01"))]
         stored = history_table(spark, f"{root}/customers")
         for load in [*loads, loads[-1]]:
             apply_changes(stored, load, ["customer_id"], ["priority"], "seen", buckets=8)
